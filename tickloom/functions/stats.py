@@ -1,0 +1,50 @@
+"""Aggregate expressions shared by the daily statistics and the feature windows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import functions as F
+
+
+def total(x: Column, exact_scale: int | None = None) -> Column:
+    """Sum; with ``exact_scale`` in fixed point, so independent of row order."""
+    if exact_scale is None:
+        return F.sum(x)
+    return from_units(F.sum(to_units(x, exact_scale)), exact_scale)
+
+
+def to_units(x: Column, scale: int) -> Column:
+    """``x`` as a whole number of ``10**-scale`` units (cheaper than a decimal cast)."""
+    return F.rint(x * F.lit(10.0**scale)).cast("bigint")
+
+
+def from_units(units: Column, scale: int) -> Column:
+    return units.cast("double") / F.lit(10.0**scale)
+
+
+def mean(x: Column, exact_scale: int | None = None) -> Column:
+    if exact_scale is None:
+        return F.avg(x)
+    return total(x, exact_scale) / F.nullif(F.count(x), F.lit(0))
+
+
+def adjusted_skewness(x: Column, window: WindowSpec | None = None) -> Column:
+    """Sample-adjusted skewness (G1): null below three values.
+
+    Spark's ``skewness`` is the population form g1.
+    """
+    n, g1 = F.count(x), F.skewness(x)
+    if window is not None:
+        n, g1 = n.over(window), g1.over(window)
+    n = n.cast("double")
+    return F.when(n >= 3, g1 * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0)))
+
+
+def rows_frame(n: int, partition: str = "symbol_id", order: str = "date") -> WindowSpec:
+    """The current row and the ``n - 1`` before it, per symbol."""
+    return Window.partitionBy(partition).orderBy(order).rowsBetween(1 - n, 0)
+
+
+def zscore(x: Column, window: WindowSpec) -> Column:
+    mean_, std = F.avg(x).over(window), F.stddev_samp(x).over(window)
+    return (x - mean_) / F.nullif(std, F.lit(0.0))
