@@ -32,9 +32,11 @@ def from_units(units: str, scale: int) -> str:
     return f"CAST({units} AS DOUBLE) / {10**scale}D"
 
 
-def adjusted_skewness(x: str, over: str = "") -> str:
-    """Sample-adjusted skewness (G1): null below three values."""
-    n = f"CAST(count({x}){over} AS DOUBLE)"
-    return (
-        f"CASE WHEN {n} >= 3 THEN skewness({x}){over} * sqrt({n} * ({n} - 1)) / nullif({n} - 2, 0D) END"
-    )
+def adjusted(g1: str, n: str) -> str:
+    """Sample-adjusted skewness (G1) from the population form and the count."""
+    return f"CASE WHEN {n} >= 3 THEN {g1} * sqrt({n} * ({n} - 1)) / nullif({n} - 2, 0D) END"
+
+
+def adjusted_skewness(x: str) -> str:
+    """Aggregate form of G1: null below three values."""
+    return adjusted(f"skewness({x})", f"CAST(count({x}) AS DOUBLE)")

@@ -23,7 +23,7 @@ CHUNK_ROWS = 50_000
 
 
 def read_zip_csv(
-    spark: SparkSession, path: str, n_fields: int, files_per_task: int = 1, content_limit: int = CONTENT_LIMIT
+    spark: SparkSession, path: str, n_fields: int, content_limit: int = CONTENT_LIMIT
 ) -> DataFrame:
     """Text rows ``c0..`` of every ``*.zip`` below ``path``, and outcome rows.
 
@@ -36,7 +36,8 @@ def read_zip_csv(
         .option("recursiveFileLookup", "true")
         .load(path)
     )
-    # The length filter is evaluated on the listing, before any content is read.
+    # The length filter is evaluated on the listing, before any content is read.  A task is
+    # given files up to spark.sql.files.maxPartitionBytes in total, which bounds a batch.
     small = files.where(F.col("length") <= content_limit).select("path", "content")
     large = files.where(F.col("length") > content_limit).select(
         "path", F.lit(None).cast("binary").alias("content")

@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 _MINUTE = "CAST(date_trunc('minute', {c}) AS {ntz})"
@@ -72,6 +74,17 @@ SELECT asset_id_base, asset_id_quote, exchange_id,
 FROM ({trades}) t GROUP BY asset_id_base, asset_id_quote, exchange_id
 """
 
+# A pair listing from the part table, with dollar and non-dollar assets on both sides.
+LISTING = """
+SELECT concat(CASE p_size % 7 WHEN 0 THEN 'USD' WHEN 1 THEN 'USTC' ELSE 'P' END,
+              CAST(p_partkey AS VARCHAR(20))) AS baseAsset,
+       CASE p_size % 5 WHEN 0 THEN 'USDT' WHEN 1 THEN 'USDC' WHEN 2 THEN 'BUSD'
+                       WHEN 3 THEN 'BTC' ELSE 'EUR' END AS quoteAsset,
+       p_size <= 40 AS isSpotTradingAllowed,
+       p_retailprice >= 920 AS isMarginTradingAllowed
+FROM part
+"""
+
 _ENGINES = {
     "spark": {
         "q": "`",
@@ -104,6 +117,7 @@ def view_sql(engine: str) -> dict[str, str]:
         )
 
     return {
+        "listing": LISTING,
         "spot_trades": spot,
         "futures_trades": futures,
         "bars_1m": BARS_1M.format(minute=_MINUTE.format(c="ts", ntz=e["ntz"])),
@@ -115,7 +129,7 @@ def view_sql(engine: str) -> dict[str, str]:
     }
 
 
-_SOURCES = ("lineitem", "orders", "events")
+_SOURCES = ("lineitem", "orders", "events", "part")
 
 
 def load_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -124,3 +138,51 @@ def load_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     for name in _SOURCES:
         spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
     return {name: spark.sql(sql) for name, sql in view_sql("spark").items()}
+
+
+# Archive lines as text, c0, c1, ..., made from whole tables.  Klines are stamped off the
+# minute, half of the spot trades in microseconds, flags in mixed case, and every symbol's
+# futures file has a header line.
+_KEY_COLUMNS = "asset_id_base, asset_id_quote, exchange_id"
+_TEXT = {
+    "candle": """
+SELECT ms(time_period_start) + 400 AS c0, open AS c1, high AS c2, low AS c3, close AS c4,
+       volume AS c5, ms(time_period_end) - 1 AS c6, 0 AS c7, trades AS c8, 0 AS c9, 0 AS c10,
+       0 AS c11, {keys} FROM bars_1m""",
+    "futures_candle": """
+SELECT ms(time_period_start) AS c0, open AS c1, high AS c2, low AS c3, close AS c4,
+       volume AS c5, ms(time_period_end) - 1 AS c6, volume * 2 AS c7, trades AS c8,
+       volume / 2 AS c9, volume AS c10, 0 AS c11, {keys} FROM futures_bars""",
+    "trade": """
+SELECT trade_id AS c0, price AS c1, quantity AS c2, quote_quantity AS c3,
+       CASE WHEN side = 'buy' THEN ms(timestamp) * 1000 ELSE ms(timestamp) END AS c4,
+       CASE WHEN side = 'buy' THEN 'False' ELSE 'True' END AS c5, 'true' AS c6,
+       {keys} FROM spot_trades""",
+    "futures_trade": """
+SELECT trade_id AS c0, price AS c1, quantity AS c2, quote_quantity AS c3, ms(timestamp) AS c4,
+       CASE WHEN side = 'buy' THEN 'false' ELSE 'true' END AS c5, {keys} FROM futures_trades""",
+    "funding_rate": """
+SELECT ms(timestamp) AS c0, 8 AS c1, price / 1000000 AS c2, {keys} FROM futures_trades""",
+    "order_book_depth": """
+SELECT date_format(timestamp, 'yyyy-MM-dd HH:mm:ss') AS c0, quantity AS c1, price AS c2,
+       quote_quantity AS c3, {keys} FROM spot_trades""",
+    "futures_metrics": """
+SELECT date_format(time_period_start, 'yyyy-MM-dd HH:mm:ss') AS c0, 'S' AS c1, open AS c2,
+       high AS c3, low AS c4, close AS c5, volume AS c6, 'NaN' AS c7, {keys} FROM bars_1m""",
+}
+_HEADED = ("futures_candle", "futures_trade", "funding_rate", "order_book_depth", "futures_metrics")
+
+
+def raw_text(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
+    """Text rows as the archive reader would give them."""
+    for name, df in load_views(spark, sf_dir).items():
+        df.createOrReplaceTempView(name)
+    millis = re.sub(r"\bms\((\w+)\)", r"unix_millis(CAST(\1 AS TIMESTAMP))", _TEXT[dataset])
+    rows = spark.sql(millis.format(keys=_KEY_COLUMNS))
+    fields = [c for c in rows.columns if c.startswith("c") and c[1:].isdigit()]
+    keys = [c for c in rows.columns if c not in fields]
+    rows = rows.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in fields], *keys)
+    if dataset in _HEADED:
+        header = rows.select(*keys).distinct().selectExpr(*[f"'{c}' AS {c}" for c in fields], *keys)
+        rows = rows.unionByName(header)
+    return rows
