@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -89,7 +90,9 @@ def ingest_stream(
         stream = prepare(stream)
     if watermark is not None:
         keys = ["asset_id_base", "asset_id_quote", "exchange_id", "trade_id"]
-        stream = stream.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(keys)
+        # Event time must be a zoned timestamp.
+        timed = stream.withColumn("_at", F.col("timestamp").cast("timestamp"))
+        stream = timed.withWatermark("_at", watermark).dropDuplicatesWithinWatermark(keys).drop("_at")
     staged = f"{checkpoint.rstrip('/')}-staged"
 
     def load(batch: DataFrame, number: int) -> None:
