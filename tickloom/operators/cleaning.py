@@ -29,9 +29,12 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 
 def dedupe_trades(
-    trades: DataFrame, keys: Sequence[str] = (*KEYS, "trade_id"), order: Sequence[str] = ("timestamp",)
+    trades: DataFrame, keys: Sequence[str] = ("trade_id", *KEYS), order: Sequence[str] = ("timestamp",)
 ) -> DataFrame:
-    """One row per trade id and symbol, the earliest."""
+    """One row per trade id and symbol, the earliest.
+
+    The id comes first in the key: sorting by a number settles nearly every comparison.
+    """
     return keep_first(trades, keys, order)
 
 
@@ -55,7 +58,7 @@ def gap_fill(
         raise ValueError("fill is 'reference' or 'zero_volume'")
     end = "time_period_end"
     if dedupe:
-        bars = keep_first(bars, [*KEYS, end], ["time_period_start"])
+        bars = keep_first(bars, [end, *KEYS], ["time_period_start"])
     day = F.to_date(F.coalesce(F.col("time_period_start"), F.col(end)))
     order = Window.partitionBy(*KEYS, "_day").orderBy(end)
     past = order.rowsBetween(Window.unboundedPreceding, 0)

@@ -6,8 +6,9 @@ which no task ever holds a group:
 
 1. a mergeable sketch gives, per wanted percentile, two values that enclose it;
 2. the rows below the lower value are only counted (map-side partial sums);
-3. the few values between the two, about 0.1 % of the group, are pre-aggregated to
-   (value, count) and ranked to find the two order statistics to interpolate.
+3. the values between the two, about 0.1 % of the group, are pre-aggregated to
+   (value, count) and counted in equal steps; only the step or two that hold the wanted
+   ranks are ranked value by value, to find the order statistics to interpolate.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 # Hot groups number at most rows / hot_rows; up to this many are broadcast.
-BROADCAST_GROUPS = 100_000
+BROADCAST_GROUPS = 20_000
 # Rank error of the sketch is rows / SKETCH_ACCURACY; the enclosing values are taken
 # this many errors to either side.
 SKETCH_ACCURACY = 10_000
@@ -27,6 +28,8 @@ ENCLOSING_ERRORS = 4
 # Below this many values (one side of a large group may be small) a few sketch errors can
 # be less than one rank, so the extremes enclose instead; that is a bounded number of rows.
 SKETCH_MIN_VALUES = 25_000
+# Steps the enclosed values are divided into before any are ranked.
+CELLS = 4_096
 
 
 def sorted_values(x: str) -> str:
@@ -72,6 +75,15 @@ def _same_group(df: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
+def _join_small(df: DataFrame, small: DataFrame, on: Sequence[str], n_groups: int) -> DataFrame:
+    """Null-safe join with a table of a few rows per large group."""
+    renamed = small.withColumnsRenamed({k: f"_s_{k}" for k in on})
+    if n_groups <= BROADCAST_GROUPS:
+        renamed = F.broadcast(renamed)
+    same = " AND ".join(f"`{k}` <=> `_s_{k}`" for k in on)
+    return df.join(renamed, F.expr(same), "inner").drop(*[f"_s_{k}" for k in on])
+
+
 def ranked_percentiles(
     rows: DataFrame,
     keys: Sequence[str],
@@ -143,14 +155,33 @@ def ranked_percentiles(
                 ]
             )
         ),
-    ).withColumnsRenamed({**{k: f"_hot_{k}" for k in keys}, "_slot": "_t_slot"})
-    same = _same_group(near, keys) & (near["_slot"] == F.col("_t_slot"))
-    running = Window.partitionBy(*keys, "_slot").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.col("_below") + F.sum("_c").over(running)
+    )
+    span = near.groupBy(*keys, "_slot").agg(F.min("_x").alias("_first"), F.max("_x").alias("_last"))
+    at = [*keys, "_slot"]
+    placed = _join_small(near, _join_small(span, targets, at, n_groups), at, n_groups)
+    # Equal steps between the first and last near value: a bounded number of cells, whose
+    # counts tell which one or two hold the wanted ranks.  Only those are ranked row by row.
+    cell = F.when(
+        F.col("_last") > F.col("_first"),
+        F.least(
+            F.floor((F.col("_x") - F.col("_first")) / (F.col("_last") - F.col("_first")) * F.lit(float(CELLS))),
+            F.lit(CELLS - 1),
+        ),
+    ).otherwise(F.lit(0))
+    placed = placed.select(*at, "_x", "_c", "_below", "_pos", cell.cast("int").alias("_cell"))
+    upto_cell = Window.partitionBy(*at).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    cells = placed.groupBy(*at, "_below", "_pos", "_cell").agg(F.sum("_c").alias("_n")).select(
+        *at, "_pos", "_cell", "_n", (F.col("_below") + F.sum("_n").over(upto_cell)).alias("_end")
+    )
+    start = F.col("_end") - F.col("_n")
+    holds = [(start <= rank) & (rank < F.col("_end")) for rank in (F.floor("_pos"), F.ceil("_pos"))]
+    chosen = cells.where(holds[0] | holds[1]).select(*at, "_cell", "_pos", start.alias("_start"))
+    running = Window.partitionBy(*at, "_cell").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("_start") + F.sum("_c").over(running)
     picked = (
-        near.join(targets, same, "inner")
-        .select(*keys, "_slot", "_pos", "_x", upto.alias("_upto"))
-        .groupBy(*keys, "_slot", "_pos")
+        _join_small(placed.select(*at, "_cell", "_x", "_c"), chosen, [*at, "_cell"], n_groups)
+        .select(*at, "_pos", "_x", upto.alias("_upto"))
+        .groupBy(*at, "_pos")
         .agg(
             F.min(F.when(F.col("_upto") > F.floor("_pos"), F.col("_x"))).alias("_x0"),
             F.min(F.when(F.col("_upto") > F.ceil("_pos"), F.col("_x"))).alias("_x1"),

@@ -47,7 +47,8 @@ def ingest(
     archives.read_zip_csv(spark, landing, n_fields).write.parquet(staged)
     unpacked = spark.read.parquet(staged)
     wanted = universe.quoted_in(symbols, *quote_assets)
-    rows = parse(archives.symbols_from_path(archives.data_rows(unpacked), wanted))
+    n_broken = unpacked.where("status = 'error'").count()
+    rows = parse(archives.symbols_from_path(archives.data_rows(unpacked, n_broken), wanted))
     at = "timestamp"
     if dataset in BARS:
         at = "time_period_start"

@@ -20,6 +20,7 @@ from tickloom.functions.scalar import KEYS
 
 CONTENT_LIMIT = 64 * 1024 * 1024
 CHUNK_ROWS = 50_000
+BROADCAST_PATHS = 100_000  # at about 200 bytes a path
 
 
 def read_zip_csv(
@@ -121,11 +122,16 @@ def outcomes(rows: DataFrame) -> DataFrame:
     )
 
 
-def data_rows(rows: DataFrame) -> DataFrame:
+def data_rows(rows: DataFrame, n_broken: int | None = None) -> DataFrame:
     """Rows of the archives that were read to the end.
 
     An archive that broke half-way contributes nothing, like one that cannot be opened.
+    ``n_broken``, when known, spares the join or lets the short list be broadcast.
     """
-    broken = rows.where(F.col("status") == "error").select("path")
     data = rows.where(F.col("status").isNull()).drop("status", "error", "rows")
+    if n_broken == 0:
+        return data
+    broken = rows.where(F.col("status") == "error").select("path")
+    if n_broken is not None and n_broken <= BROADCAST_PATHS:
+        broken = F.broadcast(broken)
     return data.join(broken, "path", "left_anti")

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,8 +90,10 @@ _ENGINES = {
     "spark": {
         "q": "`",
         "ntz": "TIMESTAMP_NTZ",
-        "first": "min_by(price, struct(trade_id, price))",
-        "last": "max_by(price, struct(trade_id, price))",
+        # One number that orders by id, then price (prices are below a million), so that
+        # the aggregate keeps a fixed-width buffer.
+        "first": "min_by(price, trade_id + price * 1e-6D)",
+        "last": "max_by(price, trade_id + price * 1e-6D)",
         "ms": "unix_millis(CAST({x} AS TIMESTAMP))",
     },
     "duckdb": {
@@ -132,12 +135,31 @@ def view_sql(engine: str) -> dict[str, str]:
 _SOURCES = ("lineitem", "orders", "events", "part")
 
 
-def load_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The views as DataFrames over the Parquet tables in ``sf_dir``."""
+class Views(Mapping):
+    """The views as DataFrames; tables are opened when a view first needs them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir, self._sql = spark, sf_dir, view_sql("spark")
+
+    def __getitem__(self, name: str) -> DataFrame:
+        sql = self._sql[name]
+        for source in _SOURCES:
+            if re.search(rf"\b{source}\b", sql):
+                table = self._spark.read.parquet(f"{self._dir}/{source}.parquet")
+                table.createOrReplaceTempView(source)
+        return self._spark.sql(sql)
+
+    def __iter__(self):
+        return iter(self._sql)
+
+    def __len__(self):
+        return len(self._sql)
+
+
+def load_views(spark: SparkSession, sf_dir: str) -> Views:
+    """The views over the Parquet tables in ``sf_dir``."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    for name in _SOURCES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-    return {name: spark.sql(sql) for name, sql in view_sql("spark").items()}
+    return Views(spark, sf_dir)
 
 
 # Archive lines as text, c0, c1, ..., made from whole tables.  Klines are stamped off the
@@ -175,8 +197,8 @@ _HEADED = ("futures_candle", "futures_trade", "funding_rate", "order_book_depth"
 
 def raw_text(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     """Text rows as the archive reader would give them."""
-    for name, df in load_views(spark, sf_dir).items():
-        df.createOrReplaceTempView(name)
+    source = re.search(r"FROM (\w+)", _TEXT[dataset]).group(1)
+    load_views(spark, sf_dir)[source].createOrReplaceTempView(source)
     millis = re.sub(r"\bms\((\w+)\)", r"unix_millis(CAST(\1 AS TIMESTAMP))", _TEXT[dataset])
     rows = spark.sql(millis.format(keys=_KEY_COLUMNS))
     fields = [c for c in rows.columns if c.startswith("c") and c[1:].isdigit()]
