@@ -247,6 +247,13 @@ def z(c: str, n: int) -> str:
     return f'("{c}" - avg("{c}") {over(n)}) / nullif(stddev_samp("{c}") {over(n)}, 0)'
 
 
+def steady_z(c: str, n: int) -> str:
+    """z-score, null where the frame's spread is rounding error."""
+    low, high = f'min("{c}") {over(n)}', f'max("{c}") {over(n)}'
+    apart = f"{high} - {low} > 1e-9 * greatest(abs({high}), abs({low}))"
+    return f"CASE WHEN {apart} THEN {z(c, n)} END"
+
+
 def add_time(c: Chain) -> Chain:
     return c.add(
         ints={
@@ -338,7 +345,7 @@ def add_trade(c: Chain, windows=(1, 7), lookbacks=(30,)) -> Chain:
             for d in windows:
                 (int_delta if col in ints else delta)[f"{col}_delta_{d}"] = f'"{col}" - lag("{col}", {d}) {DAY}'
             for n in lookbacks:
-                score[f"{col}_zscore_{n}"] = z(col, n)
+                score[f"{col}_zscore_{n}"] = steady_z(col, n)
     return c.add({**delta, **score}, int_delta)
 
 
@@ -367,7 +374,7 @@ CALENDAR = ("day_of_week", "month", "day_of_month")
 
 def add_rz(c: Chain, windows=(30,)) -> Chain:
     columns = [x for x in (*c.ints, *c.floats) if x not in CALENDAR]
-    return c.add({f"{x}_rz_{n}": z(x, n) for x in columns for n in windows})
+    return c.add({f"{x}_rz_{n}": steady_z(x, n) for x in columns for n in windows})
 
 
 def training() -> str:

@@ -19,6 +19,7 @@ from tickloom.functions.scalar import KEYS
 from tickloom.functions.sqltext import adjusted, q, rows
 
 MARKETS = ("spot", "futures")
+NOISE = 1e-9  # relative spread below which a frame counts as constant
 _BY_DATE = "(PARTITION BY symbol_id ORDER BY date)"
 _FLOW_FAMILIES = (
     "total_dollar_volume",
@@ -75,16 +76,22 @@ def _with_zscores(df: DataFrame, wanted: Mapping[str, tuple[str, int]]) -> DataF
 
 
 def _rolling_zscores(x: np.ndarray, n: int) -> np.ndarray:
-    """NaN marks a missing value, in and out; a frame without spread has no z-score."""
+    """NaN marks a missing value, in and out.
+
+    A frame without spread has no z-score, and neither has one whose spread is only
+    rounding error, such as a constant that was computed in different orders.
+    """
     frames = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(n - 1, np.nan), x]), n)
     seen = ~np.isnan(frames)
     count = seen.sum(axis=1)
     mean = np.where(seen, frames, 0.0).sum(axis=1) / np.maximum(count, 1)
     spread = np.where(seen, frames - mean[:, None], 0.0)
     std = np.sqrt((spread * spread).sum(axis=1) / np.maximum(count - 1, 1))
-    low = np.where(seen, frames, np.inf).min(axis=1)
-    high = np.where(seen, frames, -np.inf).max(axis=1)
-    return np.divide(x - mean, std, out=np.full(len(x), np.nan), where=(high > low) & (std > 0))
+    # Frames without values get 0 and 0, hence no spread.
+    low = np.where(count > 0, np.where(seen, frames, np.inf).min(axis=1), 0.0)
+    high = np.where(count > 0, np.where(seen, frames, -np.inf).max(axis=1), 0.0)
+    apart = (high - low) > NOISE * np.maximum(np.abs(high), np.abs(low))
+    return np.divide(x - mean, std, out=np.full(len(x), np.nan), where=apart & (std > 0))
 
 
 def _with(df: DataFrame, *new: str) -> DataFrame:
