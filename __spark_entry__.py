@@ -442,9 +442,20 @@ _QUERIES = (
 )
 
 
+def _training_data():
+    """The queries of the training-data operators, where that subpackage is present."""
+    try:
+        from tickloom.llm import queries as module
+    except ImportError:
+        return None
+    return module
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in _QUERIES}
+    module = _training_data()
+    return {q.__name__: q for q in _QUERIES} | (module.queries() if module else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.all_sql()
+    module = _training_data()
+    return oracles.all_sql() | (module.oracle_sql() if module else {})
