@@ -95,10 +95,10 @@ _QUERIES = (
 
 _NEAR_SQL = """
 WITH RECURSIVE words AS (
-    SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '\\s+'), x -> x <> '') AS w FROM documents
+    SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '\\s+'), lambda x: x <> '') AS w FROM documents
 ), shingled AS (
     SELECT doc_id, unnest(CASE WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')] ELSE
-        list_transform(range(1, len(w) - 3), i -> list_aggregate(w[i:i + 4], 'string_agg', ' ')) END) AS s FROM words
+        list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) END) AS s FROM words
 ), counted AS (
     SELECT doc_id, coalesce(s, '') AS s, count(*) AS n FROM shingled GROUP BY ALL
 ), totals AS (
@@ -121,9 +121,9 @@ SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size FRO
 
 _TOP_SQL = """
 WITH whole AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
     FROM embeddings WHERE embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
     SELECT q.vec_id AS query_id, c.vec_id,
         CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
