@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.fingerprints import shingle_hashes
-from tickloom.llm.linking import fold, near_classes
+from tickloom.llm.linking import fold, likeness, near_classes
 
 COORDINATES = 128
 BAND_ROWS = 4
@@ -108,11 +108,8 @@ def signature(elements: np.ndarray, weights: np.ndarray, coordinates: int = COOR
 
 
 def weighted_jaccard(one: str, other: str) -> float:
-    """Exact: the sum of least weights over the sum of greatest."""
-    (x, wx), (y, wy) = weighted_shingles(one), weighted_shingles(other)
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    least = np.minimum(wx[i], wy[j]).sum()
-    return float(least / (wx.sum() + wy.sum() - least))
+    """Exact likeness of two texts."""
+    return likeness(weighted_shingles(one), weighted_shingles(other))
 
 
 def band_keys(text: str) -> np.ndarray:
@@ -121,7 +118,7 @@ def band_keys(text: str) -> np.ndarray:
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``class_id`` and ``class_size`` of every row."""
-    return near_classes(docs, band_keys, weighted_jaccard, threshold)
+    return near_classes(docs, band_keys, weighted_shingles, threshold)
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import slices, table_batch, whole_text
 from tickloom.llm.linking import fold, near_classes
+from tickloom.llm.linking import likeness as weighted_likeness
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 128
@@ -218,13 +219,16 @@ def _describe(out: dict[str, list], row: _Seen, following: _Seen, a: np.ndarray,
     out["near_next"].append(likeness(row.own, following.own))
 
 
+def shingle_set(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles, each of weight 1; texts without words share one element."""
+    hashes = np.unique(shingle_hashes(text))
+    hashes = hashes if len(hashes) else np.zeros(1, np.uint64)
+    return hashes, np.ones(len(hashes))
+
+
 def jaccard(one: str, other: str) -> float:
     """Exact likeness of two texts' shingle sets; 1 for two texts without words."""
-    x, y = np.unique(shingle_hashes(one)), np.unique(shingle_hashes(other))
-    if not len(x) and not len(y):
-        return 1.0
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both)
+    return weighted_likeness(shingle_set(one), shingle_set(other))
 
 
 def band_keys(text: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -237,4 +241,4 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFram
     """``doc_id``, ``class_id`` and ``class_size``: documents chained by a Jaccard likeness of
     the threshold or more, found by joining signature bands."""
     a, b = permutations(BANDS * BAND_ROWS)
-    return near_classes(docs, lambda text: band_keys(text, a, b), jaccard, threshold)
+    return near_classes(docs, lambda text: band_keys(text, a, b), shingle_set, threshold)

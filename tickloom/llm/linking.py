@@ -1,12 +1,13 @@
 """From band keys to classes of near-equal texts.
 
-Equal texts are one node.  Nodes that share a band key form a bucket.  A bucket is never
-paired off in full: its members are compared with its first member, the links found join
-nodes into components, and only buckets that still hold several components are looked at
-again.  There a bucket of up to SMALL members is paired off between components; a larger one is cut by a second
-band key, then a third, and so on, since two alike texts share many bands while texts that
-merely share a passage do not.  So pairs stay in proportion to members, whatever the size
-of a bucket, and no bucket is capped.
+Equal texts are one node.  Nodes that share a band key form a bucket.  A bucket's members
+are compared with its first member, which joins most of them into one component; only
+buckets that still hold several components are looked at again, and there only pairs of
+different components.  Up to SMALL members those pairs are rows.  Larger buckets are dealt
+into blocks, and a task takes a pair of blocks: it counts what each member outside the
+blocks' largest component shares with all others through an inverted index of their
+shingles, and returns one link per component that it finds.  So the pairs of a large group
+of copies are never rows, no task holds more than two blocks, and no bucket is capped.
 """
 
 from __future__ import annotations
@@ -20,8 +21,48 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import slices, stored, table_batch, whole_text
 
-#: Members of a bucket that are paired off between components.
+#: Members of a bucket whose pairs are rows, and members of a block of a larger bucket.
 SMALL = 16
+BLOCK = 1024
+#: Distinct elements of a text with their weights.
+Bag = tuple[np.ndarray, np.ndarray]
+
+
+def likeness(one: Bag, other: Bag) -> float:
+    """Weighted Jaccard likeness: the sum of least weights over the sum of greatest."""
+    (x, wx), (y, wy) = one, other
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    least = np.minimum(wx[i], wy[j]).sum()
+    return float(least / (wx.sum() + wy.sum() - least))
+
+
+def links_between(
+    nodes: np.ndarray, roots: np.ndarray, bags: list[Bag], threshold: float
+) -> list[tuple[int, int]]:
+    """Links (a < b) between components: for each node outside the largest component, one per
+    other component that has a node alike enough."""
+    sizes = [len(x) for x, _ in bags]
+    elements, place = np.unique(np.concatenate([x for x, _ in bags]), return_inverse=True)
+    weights = np.concatenate([w for _, w in bags])
+    owners = np.repeat(np.arange(len(bags)), sizes)
+    order = np.argsort(place, kind="stable")
+    owners, held = owners[order], weights[order]
+    starts = np.searchsorted(place[order], np.arange(len(elements) + 1))
+    totals = np.array([w.sum() for _, w in bags])
+    names, number = np.unique(roots, return_counts=True)
+    largest = names[np.argmax(number)]
+    ends, out = np.cumsum(sizes), []
+    for i in np.flatnonzero(roots != largest):
+        own = place[ends[i] - sizes[i] : ends[i]]
+        run = starts[own + 1] - starts[own]
+        after = np.cumsum(run)
+        at = np.repeat(starts[own] - (after - run), run) + np.arange(after[-1])
+        least = np.minimum(held[at], np.repeat(bags[i][1], run))
+        shared = np.bincount(owners[at], least, len(bags))
+        alike = (shared / (totals + totals[i] - shared) >= threshold) & (roots != roots[i])
+        _, first = np.unique(roots[alike], return_index=True)
+        out += [(int(min(nodes[i], n)), int(max(nodes[i], n))) for n in nodes[alike][first]]
+    return out
 
 
 def fold(values: np.ndarray) -> np.ndarray:
@@ -55,7 +96,7 @@ def sketch_nodes(docs: DataFrame, keys_of: Callable[[str], np.ndarray]) -> DataF
 
 
 def _buckets(keyed: DataFrame) -> DataFrame:
-    """``key``, ``band``, ``node``, ``hub``, ``size`` of the buckets with several members."""
+    """``key``, ``node``, ``hub``, ``size`` of the buckets with several members."""
     sizes = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("size")).where("size > 1")
     return stored(keyed.join(sizes, "key"), "members")
 
@@ -65,15 +106,19 @@ def _pairs(left: Column, right: Column) -> tuple[Column, Column]:
 
 
 def _verified(
-    pairs: DataFrame, texts: DataFrame, alike: Callable[[str, str], float], threshold: float
+    pairs: DataFrame, texts: DataFrame, bag_of: Callable[[str], Bag], threshold: float
 ) -> DataFrame:
     """The pairs (a < b) whose texts are alike enough."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(slices(batches, "one"), "other"):
-            rows = zip(*(batch[c].to_pylist() for c in ("a", "b", "one", "other")))
-            good = [(a, b) for a, b, one, other in rows if alike(one, other) >= threshold]
+            good, last, bag = [], None, None
+            for a, b, one, other in zip(*(batch[c].to_pylist() for c in ("a", "b", "one", "other"))):
+                if one != last:
+                    last, bag = one, bag_of(one)
+                if likeness(bag, bag_of(other)) >= threshold:
+                    good.append((a, b))
             yield table_batch(schema, a=[g[0] for g in good], b=[g[1] for g in good])
 
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("one"))
@@ -111,44 +156,52 @@ def components(edges: DataFrame) -> DataFrame:
     return found.union(rows.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
 
+def _settled(rows: DataFrame, texts: DataFrame, bag_of: Callable[[str], Bag], threshold: float) -> DataFrame:
+    """Links between the components of large buckets (``key``, ``node``, ``root``, ``size``)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(group: pa.Table) -> pa.Table:
+        nodes, roots = (group[c].to_numpy() for c in ("node", "root"))
+        found = links_between(nodes, roots, [bag_of(t) for t in group["text"].to_pylist()], threshold)
+        return pa.table({"a": [f[0] for f in found], "b": [f[1] for f in found]}, schema=schema)
+
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = rows.select(
+        "key", "node", "root", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("own"),
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"),
+    )
+    dealt = dealt.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+    whole = dealt.select("key", "low", "high", "node", "root").join(texts, "node")
+    return whole.groupBy("key", "low", "high").applyInArrow(run, "a long, b long").distinct()
+
+
 def link(
-    nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], alike: Callable[[str, str], float], threshold: float
+    nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], bag_of: Callable[[str], Bag], threshold: float
 ) -> DataFrame:
     """``node`` and ``root`` of the nodes that some alike node was found for."""
-    keyed = nodes.select("node", F.posexplode("keys").alias("band", "key"))
-    members = _buckets(keyed)
+    members = _buckets(nodes.select("node", F.explode("keys").alias("key")))
     texts = stored(texts_of(members.select("node").distinct()), "texts")
     stars = members.where("node <> hub").select(*_pairs(F.col("hub"), F.col("node"))).distinct()
-    edges = stored(_verified(stars, texts, alike, threshold), "links")
+    edges = stored(_verified(stars, texts, bag_of, threshold), "links")
     found = stored(components(edges), "components")
-    last_band = nodes.select(F.max(F.size("keys"))).first()[0] or 0
-    for _ in range(last_band):
-        placed = members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        mixed = mixed.where("low < high").select("key")
-        open_rows = stored(placed.join(mixed, "key"), "open")
-        if open_rows.isEmpty():
-            break
-        small, large = open_rows.where(F.col("size") <= SMALL), open_rows.where(F.col("size") > SMALL)
-        left = small.select("key", F.col("node").alias("x"), F.col("root").alias("x_root"))
-        right = small.select("key", F.col("node").alias("y"), F.col("root").alias("y_root"))
-        crossed = left.join(right, "key").where("x < y AND x_root <> y_root")
-        finer = large.select("node", F.col("key").alias("held"), F.col("band").alias("after"))
-        finer = finer.join(keyed, "node").where("band > after")
-        members = _buckets(finer.select("node", "band", F.xxhash64("held", "key").alias("key")))
-        hubs = members.where("node <> hub").select(F.col("hub").alias("x"), F.col("node").alias("y"))
-        pairs = crossed.select("x", "y").union(hubs).select(*_pairs(F.col("x"), F.col("y"))).distinct()
-        more = stored(_verified(pairs, texts, alike, threshold), "links")
-        edges = edges.union(more)
-        if not more.isEmpty():
-            found = stored(components(edges), "components")
-    return found
+    placed = members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    open_rows = stored(placed.join(mixed.where("low < high").select("key"), "key"), "open")
+    small = open_rows.where(F.col("size") <= SMALL)
+    left = small.select("key", F.col("node").alias("x"), F.col("root").alias("x_root"))
+    right = small.select("key", F.col("node").alias("y"), F.col("root").alias("y_root"))
+    crossed = left.join(right, "key").where("x < y AND x_root <> y_root").select(*_pairs(F.col("x"), F.col("y")))
+    # Pairs with the bucket's first member have been looked at.
+    crossed = crossed.distinct().join(stars, ["a", "b"], "left_anti")
+    more = _verified(crossed, texts, bag_of, threshold)
+    more = stored(more.union(_settled(open_rows.where(F.col("size") > SMALL), texts, bag_of, threshold)), "links")
+    return found if more.isEmpty() else components(edges.union(more))
 
 
 def near_classes(
     docs: DataFrame,
     keys_of: Callable[[str], np.ndarray],
-    alike: Callable[[str, str], float],
+    bag_of: Callable[[str], Bag],
     threshold: float,
 ) -> DataFrame:
     """``doc_id``, ``class_id`` (the least id of the class) and ``class_size`` of every row.
@@ -165,7 +218,7 @@ def near_classes(
         held = stored(texts.join(named, "digest").select("node", "text"), "copies")
         return held.dropDuplicates(["node"])
 
-    found = link(nodes.select("node", "keys"), texts_of, alike, threshold)
+    found = link(nodes.select("node", "keys"), texts_of, bag_of, threshold)
     known = nodes.select("node", "digest").join(found, "node", "left")
     known = known.select("digest", F.coalesce("root", "node").alias("root"))
     placed = stored(rows.join(known, "digest").select("doc_id", "root"), "placed")

@@ -128,7 +128,9 @@ class Block:
         self.ids = np.frombuffer(parts[2], f"<u{width}")
 
     def doc_ids(self) -> list[int | None]:
-        return [None] * self.n_null + [self.base + int(g) for g in self._docs.select_all()]
+        # Gaps are modulo 2**64, so ids may span all of a long's range.
+        known = self._docs.select_all().astype(np.uint64) + np.int64(self.base).astype(np.uint64)
+        return [None] * self.n_null + known.astype(np.int64).tolist()
 
     def document(self, i: int) -> np.ndarray:
         return self.ids[self.edges.select(i) : self.edges.select(i + 1)]
