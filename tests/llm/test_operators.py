@@ -447,13 +447,15 @@ def test_line_dedup_with_equal_hashes(spark, monkeypatch):
     """Chunks of different bytes under one hash are found by comparing bytes, and kept."""
     rng = random.Random(14)
     rows = [(i, sentences(rng, 12), "s") for i in range(6)]
-    monkeypatch.setattr(line_chunks, "_hash", lambda text, seed: 5 if seed == 0 else hash_of(text))
-    got = {r.doc_id: r.text for r in line_chunks.remove_repeated_chunks(table(spark, rows)).collect()}
-    assert got == {i: t for i, t, _ in rows}
 
+    def weak(text, seed):
+        import hashlib
+
+        return 5 if seed == 0 else int.from_bytes(hashlib.sha256(text.encode()).digest()[:7], "big")
 
-def hash_of(text):
-    return int.from_bytes(hashlib.sha256(text.encode()).digest()[:7], "big")
+    monkeypatch.setattr(line_chunks, "_hash", weak)
+    got = {r.doc_id: r.text for r in line_chunks.remove_repeated_chunks(table(spark, rows)).collect()}
+    assert got == {i: t for i, t, _ in rows}
 
 
 def test_line_dedup_of_odd_rows(odd):
