@@ -52,11 +52,14 @@ def gap_fill(
 
     Each bar is stretched up to the next one, which needs one window over the day and no
     join with a minute grid.  A partition is one symbol-day, at most 1,440 distinct bars;
-    repeated bars are dropped before.
+    repeated bars are dropped before.  A bar whose end is unreadable ends one step after its
+    start; without a start either it stays as it is.
     """
     if fill not in ("reference", "zero_volume"):
         raise ValueError("fill is 'reference' or 'zero_volume'")
     end = "time_period_end"
+    one = F.expr(f"INTERVAL {step}")
+    bars = bars.withColumn(end, F.coalesce(F.col(end), F.col("time_period_start") + one))
     if dedupe:
         bars = keep_first(bars, [end, *KEYS], ["time_period_start"])
     day = F.to_date(F.coalesce(F.col("time_period_start"), F.col(end)))
@@ -70,9 +73,9 @@ def gap_fill(
         ],
         F.lead(end).over(order).alias("_next"),
     )
-    one = F.expr(f"INTERVAL {step}")
-    until = F.coalesce(F.col("_next") - one, F.col(end))
-    grid = stretched.withColumn("_at", F.explode(F.sequence(F.col(end), until, one)))
+    # Bars closer than a step leave nothing to fill.
+    until = F.greatest(F.coalesce(F.col("_next") - one, F.col(end)), F.col(end))
+    grid = stretched.withColumn("_at", F.explode_outer(F.sequence(F.col(end), until, one)))
     filled = F.col("_at") > F.col(end)
 
     def value(c: str):

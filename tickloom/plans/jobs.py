@@ -14,7 +14,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.constants import LOOKBACK_DAYS, SPOT_QUOTE_ASSET, TRAINING_DAYS
+from tickloom.constants import DERIVATIVE_QUOTE_ASSETS, LOOKBACK_DAYS, SPOT_QUOTE_ASSET, TRAINING_DAYS
 from tickloom.operators import aggregate, cleaning, features, incremental, rolling, training, universe
 from tickloom.session import scratch_path
 from tickloom.sources import archives, datasets, layouts
@@ -33,11 +33,14 @@ def ingest(
     dataset: str,
     symbols: DataFrame,
     out: str,
-    quote_assets: tuple[str, ...] = (SPOT_QUOTE_ASSET,),
+    quote_assets: tuple[str, ...] | None = None,
     fill: str = "reference",
 ) -> DataFrame:
     """Landed archives to typed raw rows by symbol and day; returns the outcome table.
 
+    Unless ``quote_assets`` says otherwise, bars keep symbols quoted in the spot asset, the
+    derivative feeds those quoted in the derivative assets, and trades keep all symbols.
+
     The archives are unpacked once, into the shared scratch folder: the outcome report,
     the exclusion of broken archives and the data itself all read from there.  Archives
     that are missing, empty or broken are reported and do not stop the others.
@@ -46,7 +49,9 @@ def ingest(
     staged = scratch_path(spark, f"ingest-{dataset}")
     archives.read_zip_csv(spark, landing, n_fields).write.parquet(staged)
     unpacked = spark.read.parquet(staged)
-    wanted = universe.quoted_in(symbols, *quote_assets)
+    if quote_assets is None:
+        quote_assets = (SPOT_QUOTE_ASSET,) if dataset in BARS else () if dataset in TRADES else DERIVATIVE_QUOTE_ASSETS
+    wanted = universe.quoted_in(symbols, *quote_assets) if quote_assets else symbols
     n_broken = unpacked.where("status = 'error'").count()
     rows = parse(archives.symbols_from_path(archives.data_rows(unpacked, n_broken), wanted))
     at = "timestamp"
@@ -139,9 +144,13 @@ def train_monthly(
 def predict_daily(
     spark: SparkSession, features_root: str, models: str, out: str, run_date: str
 ) -> DataFrame:
-    """Score the features dated ``run_date`` with the newest model up to then."""
+    """Score the newest finished day, the one ``make_features`` writes for this run date, with
+    the newest model up to then; an error if that day has no features."""
     model = datasets.load_model(spark, models, run_date)
-    day = datasets.read_dataset(spark, features_root, date=run_date)
+    target = days_before(run_date, 1)
+    day = datasets.read_dataset(spark, features_root, date=target)
+    if day.isEmpty():
+        raise ValueError(f"no features for {target}")
     scored = training.predict(day, model)
     datasets.write_predictions(scored, out)
     return scored
