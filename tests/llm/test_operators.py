@@ -478,7 +478,7 @@ def test_licences(spark):
     ]
     got = sorted((r.doc_id, r.licence or "", r.notices, r.notice_lines) for r in licences.scan_licences(table(spark, rows)).collect())
     assert got[0][:2] == (1, "MIT") and got[1][:2] == (2, "")
-    assert got[2] == (3, "", "GPL-3.0-only", 1)  # "licenced" is no known spelling of the notice
+    assert got[2] == (3, "", "GPL-3.0-only,MIT", 2)  # "licenced" is spelled like "licensed"
     assert got[3] == (4, "", "", 0) and got[4] == (5, "", "", 0)
     assert got[5][1] == got[6][1] == "Apache-2.0"
 
