@@ -15,7 +15,7 @@ def put(folder, name, lines, header=None):
 
 @pytest.fixture
 def landing(tmp_path):
-    folder = tmp_path / "landing"
+    folder = tmp_path / "landing a+b"
     folder.mkdir()
     put(folder, "BTCUSDT-trades-2024-01-01.zip", TRADES, "id,price,qty,quote_qty,time,is_buyer_maker")
     put(folder, "ETHUSDT-trades-2024-01-01.zip", TRADES)
@@ -31,9 +31,8 @@ def landing(tmp_path):
     return str(folder)
 
 
-@pytest.mark.parametrize("content_limit", [10**9, 0])
-def test_archives_and_their_outcomes(spark, landing, content_limit):
-    read = read_zip_csv(spark, landing, 6, content_limit=content_limit).persist()
+def test_archives_and_their_outcomes(spark, landing):
+    read = read_zip_csv(spark, landing, 6).persist()
     got = {r["symbol"]: r for r in outcomes(read).collect()}
     assert {s: r["status"] for s, r in got.items()} == {
         "BTCUSDT": "ok", "ETHUSDT": "ok", "XRPUSDT": "empty", "ADAUSDT": "error", "DOGEUSDT": "error",
@@ -54,3 +53,32 @@ def test_symbols_are_found_by_archive_name(spark, landing):
     )
     named = symbols_from_path(data_rows(read_zip_csv(spark, landing, 6)), symbols)
     assert {r["asset_id_base"] for r in named.collect()} == {"BTC"}
+
+
+def test_archives_above_the_limit_are_reported(spark, landing):
+    read = read_zip_csv(spark, landing, 6, content_limit=0)
+    got = outcomes(read).collect()
+    assert len(got) == 5 and {r["status"] for r in got} == {"error"}
+    assert all("above the limit" in r["error"] for r in got)
+    assert data_rows(read).count() == 0
+
+
+def test_unmatched_ambiguous_and_missing_archives(spark, landing):
+    keys = "asset_id_base string, asset_id_quote string, exchange_id string"
+    symbols = spark.createDataFrame(
+        [("BTC", "USDT", "X"), ("BTC", "USDT", "X"), ("ETH", "USDT", "X"), ("ETH", "USDT", "Y"), ("ADA", "USDT", "X")], keys
+    )
+    expected = spark.createDataFrame(
+        [("BTCUSDT-trades-2024-01-01.zip",), ("BTCUSDT-trades-2024-01-02.zip",)], "archive string"
+    )
+    read = read_zip_csv(spark, landing, 6)
+    got = {(r["symbol"], r["date"]): r["status"] for r in outcomes(read, symbols, expected).collect()}
+    assert got == {
+        ("BTCUSDT", "2024-01-01"): "ok",
+        ("ETHUSDT", "2024-01-01"): "ambiguous",
+        ("XRPUSDT", "2024-01-01"): "unmatched",
+        ("ADAUSDT", "2024-01-01"): "error",
+        ("DOGEUSDT", "2024-01-01"): "error",
+        ("BTCUSDT", "2024-01-02"): "missing",
+    }
+    assert symbols_from_path(data_rows(read), symbols).count() == 4  # BTC alone, once

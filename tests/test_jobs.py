@@ -70,3 +70,27 @@ def test_archives_to_features(spark, tmp_path):
     jobs.advance_marks(spark, root("meta"), root("raw_trades"), "trade")
     ends = {r["asset_id_base"]: r["trade_data_end"] for r in datasets.read_metadata(spark, root("meta")).collect()}
     assert ends == {"BTC": epoch_ms(DAYS[-1], 3), "ETH": epoch_ms(DAYS[-1], 3), "ADA": None}
+
+
+def test_a_stray_row_does_not_clear_its_day(spark, tmp_path):
+    """Trades of midnight in the archive of the day before are kept, beside that day's own,
+    whichever lands first, and are counted on their own day."""
+    one, two = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    own = [f"{k},10,1,10,{epoch_ms(two, 60 + k)},true" for k in (1, 2)]
+    zipped(tmp_path / "second", f"BTCUSDC-trades-{two}", own)
+    zipped(tmp_path / "first", f"BTCUSDC-trades-{one}", [f"8,10,1,10,{epoch_ms(one, 5)},true", f"9,10,1,10,{epoch_ms(two, 0)},true"])
+    symbols = spark.createDataFrame(
+        [("BTC", "USDC", "X")], "asset_id_base string, asset_id_quote string, exchange_id string"
+    )
+    for order in (("first", "second"), ("second", "first"), ("first", "second", "first")):
+        root = str(tmp_path / "-".join(order) / "raw")
+        for landing in order:
+            outcome = jobs.ingest(spark, str(tmp_path / landing), "futures_trade", symbols, root).collect()
+            assert [r["status"] for r in outcome] == ["ok"]
+        assert sorted(r["trade_id"] for r in datasets.read_dataset(spark, root).collect()) == [1, 2, 8, 9]
+        assert "archive_period" not in datasets.read_dataset(spark, root).columns
+        stats = str(tmp_path / "-".join(order) / "stats")
+        for run in ("2024-01-02", "2024-01-03"):
+            jobs.aggregate_trades(spark, root, stats, run)
+        got = {str(r["date"]): r["num_sells"] for r in datasets.read_dataset(spark, stats).collect()}
+        assert got == {"2024-01-01": 1, "2024-01-02": 3}

@@ -35,6 +35,7 @@ def ingest(
     out: str,
     quote_assets: tuple[str, ...] | None = None,
     fill: str = "reference",
+    expected: DataFrame | None = None,
 ) -> DataFrame:
     """Landed archives to typed raw rows by symbol and day; returns the outcome table.
 
@@ -43,7 +44,9 @@ def ingest(
 
     The archives are unpacked once, into the shared scratch folder: the outcome report,
     the exclusion of broken archives and the data itself all read from there.  Archives
-    that are missing, empty or broken are reported and do not stop the others.
+    that are missing (of those ``expected``), empty, broken, or of no single wanted symbol
+    are reported and do not stop the others.  Rows are filed under the period of their own
+    archive.
     """
     n_fields, parse = layouts.LAYOUTS[dataset]
     staged = scratch_path(spark, f"ingest-{dataset}")
@@ -53,15 +56,16 @@ def ingest(
         quote_assets = (SPOT_QUOTE_ASSET,) if dataset in BARS else () if dataset in TRADES else DERIVATIVE_QUOTE_ASSETS
     wanted = universe.quoted_in(symbols, *quote_assets) if quote_assets else symbols
     n_broken = unpacked.where("status = 'error'").count()
-    rows = parse(archives.symbols_from_path(archives.data_rows(unpacked, n_broken), wanted))
+    named = archives.symbols_from_path(archives.data_rows(unpacked, n_broken), wanted)
+    rows = parse(named.withColumn(layouts.PERIOD, archives.archive_period()))
     at = "timestamp"
     if dataset in BARS:
         at = "time_period_start"
         rows = cleaning.gap_fill(rows, fill=fill)
     elif dataset in TRADES:
         rows = cleaning.dedupe_trades(rows)
-    datasets.write_raw(rows, out, at)
-    return archives.outcomes(unpacked)
+    datasets.write_raw(rows, out, at, layouts.PERIOD)
+    return archives.outcomes(unpacked, wanted, expected)
 
 
 def advance_marks(spark: SparkSession, metadata: str, raw: str, dataset: str) -> str:
@@ -72,17 +76,26 @@ def advance_marks(spark: SparkSession, metadata: str, raw: str, dataset: str) ->
     return datasets.write_metadata(incremental.advance_high_water(held, marks, dataset), metadata)
 
 
+def _raw_day(spark: SparkSession, raw: str, at: str, day: str) -> DataFrame:
+    """Raw rows of a day; an archive's first and last rows may lie in a neighbouring day, so
+    the folders beside are read too, where the time range skips nearly everything."""
+    after = days_before(day, -1)
+    rows = datasets.read_dataset(spark, raw, start=days_before(day, 1), end=after)
+    own = (F.col(at) >= F.lit(day).cast("timestamp_ntz")) & (F.col(at) < F.lit(after).cast("timestamp_ntz"))
+    return rows.where(own).drop("symbol_id", "date")
+
+
 def aggregate_bars(spark: SparkSession, raw: str, out: str, run_date: str) -> None:
     """Daily OHLCV of the target day."""
     day = days_before(run_date, 1)
-    bars = datasets.read_dataset(spark, raw, date=day).drop("symbol_id", "date")
+    bars = _raw_day(spark, raw, "time_period_start", day)
     datasets.write_partitions(aggregate.daily_ohlcv(bars), out)
 
 
 def aggregate_trades(spark: SparkSession, raw: str, out: str, run_date: str, approx: bool = False) -> None:
     """Daily trade statistics of the target day."""
     day = days_before(run_date, 1)
-    trades = datasets.read_dataset(spark, raw, date=day).drop("symbol_id", "date")
+    trades = _raw_day(spark, raw, "timestamp", day)
     datasets.write_partitions(aggregate.daily_trade_stats(trades, approx=approx), out)
 
 

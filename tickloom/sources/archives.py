@@ -1,9 +1,9 @@
 """Zipped CSV archives as DataFrames of text rows plus one outcome row per archive.
 
-Spark lists the archives and spreads them over tasks; a task unzips one at a time and
-streams it out in bounded chunks, so memory does not follow archive size.  Archives up to
-``CONTENT_LIMIT`` arrive through Spark's own binary reader; larger ones (a cell may not
-exceed 2 GB) are opened by path inside the task.
+Spark lists the archives, reads them with its binary reader and spreads them over tasks; a
+task unzips one at a time and streams it out in bounded chunks, so memory follows the zipped
+size of one archive.  A cell may not exceed 2 GB: archives above ``CONTENT_LIMIT`` are
+reported as errors that name the limit, and are not read some other way.
 """
 
 from __future__ import annotations
@@ -13,12 +13,12 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalar import KEYS
 
-CONTENT_LIMIT = 64 * 1024 * 1024
+CONTENT_LIMIT = 1024 * 1024 * 1024
 CHUNK_ROWS = 50_000
 BROADCAST_PATHS = 100_000  # at about 200 bytes a path
 
@@ -39,9 +39,9 @@ def read_zip_csv(
     )
     # The length filter is evaluated on the listing, before any content is read.  A task is
     # given files up to spark.sql.files.maxPartitionBytes in total, which bounds a batch.
-    small = files.where(F.col("length") <= content_limit).select("path", "content")
+    small = files.where(F.col("length") <= content_limit).select("path", "length", "content")
     large = files.where(F.col("length") > content_limit).select(
-        "path", F.lit(None).cast("binary").alias("content")
+        "path", "length", F.lit(None).cast("binary").alias("content")
     )
     fields = [f"c{i}" for i in range(n_fields)]
     schema = ", ".join(
@@ -50,16 +50,24 @@ def read_zip_csv(
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for source, content in zip(batch["path"], batch["content"]):
-                yield from _one_archive(source, content, fields)
+            for source, length, content in zip(batch["path"], batch["length"], batch["content"]):
+                if content is None:
+                    error = f"{length} bytes are above the limit of {content_limit} bytes"
+                    yield _outcome(source, "error", error, 0, fields)
+                else:
+                    yield from _one_archive(source, content, fields)
 
     return small.unionByName(large).mapInPandas(extract, schema)
 
 
-def _one_archive(path: str, content: bytes | None, fields: list[str]) -> Iterator[pd.DataFrame]:
+def _outcome(path: str, status: str, error: str | None, rows: int, fields: list[str]) -> pd.DataFrame:
+    return pd.DataFrame([{**dict.fromkeys(fields), "path": path, "status": status, "error": error, "rows": rows}])
+
+
+def _one_archive(path: str, content: bytes, fields: list[str]) -> Iterator[pd.DataFrame]:
     rows, error = 0, None
     try:
-        with _open(path, content) as raw, zipfile.ZipFile(raw) as archive:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
             for member in archive.namelist():
                 with archive.open(member) as text:
                     for chunk in pd.read_csv(
@@ -79,29 +87,34 @@ def _one_archive(path: str, content: bytes | None, fields: list[str]) -> Iterato
     except Exception as e:  # an unreadable archive is reported, not fatal
         error = f"{type(e).__name__}: {e}"
     status = "error" if error else "ok" if rows else "empty"
-    outcome = {**dict.fromkeys(fields), "path": path, "status": status, "error": error, "rows": rows}
-    yield pd.DataFrame([outcome])
+    yield _outcome(path, status, error, rows, fields)
+
+
+def _file_name() -> Column:
+    return F.element_at(F.split("path", "/"), -1)
 
 
-def _open(path: str, content: bytes | None):
-    if content is not None:
-        return io.BytesIO(content)
-    from pyarrow import fs
+def _pair() -> Column:
+    """``<base><quote>``, the start of an archive's name."""
+    return F.element_at(F.split(_file_name(), "-"), 1)
 
-    # Spark names the connector it used in the scheme; Arrow knows the plain one.
-    system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-    return system.open_input_file(inner)
+
+def _listed_pairs(symbols: DataFrame) -> DataFrame:
+    """``_pair``, the number of listed symbols of that name, and the keys of one."""
+    pair = F.concat("asset_id_base", "asset_id_quote").alias("_pair")
+    distinct = symbols.select(pair, F.struct(*KEYS).alias("keys")).distinct()
+    return distinct.groupBy("_pair").agg(F.count("*").alias("_symbols"), F.min("keys").alias("_keys"))
 
 
 def symbols_from_path(rows: DataFrame, symbols: DataFrame) -> DataFrame:
     """Add the key columns, found by matching ``<base><quote>`` in the archive name.
 
-    ``symbols`` holds the three keys per symbol.
+    ``symbols`` holds the three keys per symbol.  A name that fits several symbols (two
+    exchanges, or two ways to split it) is not guessed: such archives give no rows, and
+    ``outcomes`` reports them.
     """
-    name = F.element_at(F.split("path", "/"), -1)
-    pair = F.element_at(F.split(name, "-"), 1)
-    listed = symbols.select(*KEYS, F.concat("asset_id_base", "asset_id_quote").alias("_pair"))
-    return rows.join(listed, pair == F.col("_pair"), "inner").drop("_pair")
+    listed = _listed_pairs(symbols).where("_symbols = 1").select("_pair", *[F.col(f"_keys.{k}") for k in KEYS])
+    return rows.join(listed, _pair() == F.col("_pair"), "inner").drop("_pair")
 
 
 def archive_period(path: str = "path"):
@@ -109,17 +122,30 @@ def archive_period(path: str = "path"):
     return F.regexp_extract(path, r"(\d{4}-\d{2}(?:-\d{2})?)\.zip$", 1)
 
 
-def outcomes(rows: DataFrame) -> DataFrame:
-    """One row per archive: what became of it."""
-    name = F.element_at(F.split("path", "/"), -1)
-    return rows.where(F.col("status").isNotNull()).select(
-        "path",
-        archive_period().alias("date"),
-        F.element_at(F.split(name, "-"), 1).alias("symbol"),
-        "status",
-        "error",
-        "rows",
-    )
+def outcomes(rows: DataFrame, symbols: DataFrame | None = None, expected: DataFrame | None = None) -> DataFrame:
+    """One row per archive: what became of it.
+
+    With ``symbols``, archives that were read but fit no symbol are ``unmatched`` and those
+    that fit several ``ambiguous``.  With ``expected`` (names in ``archive``), those that have
+    not landed follow as ``missing``.
+    """
+    shown = (archive_period().alias("date"), _pair().alias("symbol"), "status", "error", "rows")
+    found = rows.where(F.col("status").isNotNull()).select("path", *shown)
+    if symbols is not None:
+        fits = _listed_pairs(symbols).select(F.col("_pair").alias("symbol"), "_symbols")
+        status = (
+            F.when(F.col("status") == "error", "error")
+            .when(F.col("_symbols").isNull(), "unmatched")
+            .when(F.col("_symbols") > 1, "ambiguous")
+            .otherwise(F.col("status"))
+        )
+        found = found.join(fits, "symbol", "left").withColumn("status", status).select(*found.columns)
+    if expected is not None:
+        names = expected.select(F.col("archive").alias("path")).distinct()
+        absent = names.join(found.select(_file_name().alias("path")), "path", "left_anti")
+        absent = absent.withColumns({"status": F.lit("missing"), "error": F.lit(None).cast("string")})
+        found = found.unionByName(absent.withColumn("rows", F.lit(0).cast("bigint")).select("path", *shown))
+    return found
 
 
 def data_rows(rows: DataFrame, n_broken: int | None = None) -> DataFrame:

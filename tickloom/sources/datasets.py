@@ -64,9 +64,20 @@ def with_partitions(df: DataFrame, at: str) -> DataFrame:
     return df.withColumns({"symbol_id": symbol_id(), "date": F.to_date(at)})
 
 
-def write_raw(df: DataFrame, root: str, at: str) -> None:
-    """Raw rows filed by symbol and UTC day of column ``at``."""
-    write_partitions(with_partitions(df, at), root, sort_by=[at])
+def write_raw(df: DataFrame, root: str, at: str, period: str | None = None) -> None:
+    """Raw rows filed by symbol and UTC day of column ``at``.
+
+    ``period`` names a column with the day or month (``yyyy-MM-dd``, ``yyyy-MM``) of the
+    archive a row came from.  A row outside it is filed under the nearest day inside, so an
+    archive never overwrites a day that belongs to another; the column is not written.
+    """
+    rows = with_partitions(df, at)
+    if period is not None:
+        first = F.col(period).try_cast("date")
+        last = F.when(F.length(period) == 7, F.last_day(first)).otherwise(first)
+        inside = F.greatest(first, F.least(last, F.col("date")))
+        rows = rows.withColumn("date", F.coalesce(inside, F.col("date"))).drop(period)
+    write_partitions(rows, root, sort_by=[at])
 
 
 def write_csv_gz(df: DataFrame, root: str, at: str) -> None:

@@ -33,10 +33,17 @@ from tickloom.functions.scalar import (
     us_to_ts,
 )
 
+#: Column with the period in an archive's name, for rows that are filed by it.
+PERIOD = "archive_period"
+
 
 def name_by_position(raw: DataFrame, names: Sequence[str]) -> DataFrame:
-    """``c0, c1, ...`` renamed; the key columns stay."""
-    return raw.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)], *KEYS)
+    """``c0, c1, ...`` renamed; the key columns stay, and the archive's period if known."""
+    return raw.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)], *KEYS, *_period(raw))
+
+
+def _period(rows: DataFrame) -> list[str]:
+    return [PERIOD] if PERIOD in rows.columns else []
 
 
 def _typed(name: str, schema: T.StructType) -> Column:
@@ -55,7 +62,8 @@ def _project(rows: DataFrame, schema: T.StructType, made: dict[str, Column]) ->
             if f.name in KEYS
             else _typed(f.name, schema)
             for f in schema.fields
-        ]
+        ],
+        *_period(rows),
     )
 
 
