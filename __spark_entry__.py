@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 import oracles
 from tickloom import schemas
+from tickloom.constants import PREDICTION
 from tickloom.functions.scalar import KEYS, symbol_id
 from tickloom.operators import aggregate, cleaning, features, incremental, rolling, training, universe
+from tickloom.plans import jobs
 from tickloom.session import scratch_path
 from tickloom.sources import datasets, layouts
 from tickloom.streaming.ingest import ingest_stream
@@ -262,6 +264,20 @@ def predictions(spark, sf_dir):
     return training.predict(made.where(f"date >= DATE'{oracles.RUN_DATE}'"), model)
 
 
+def predict_day(spark, sf_dir):
+    """The monthly and the daily model job: train on the two years before the run date, save,
+    choose the newest model up to a later run, score its day, write CSV and read it back.
+    Every symbol with a futures close gets a finite forecast."""
+    made = features.build_features(_joined(spark, sf_dir), features.feature_steps(None))
+    stored, models, out = (scratch_path(spark, n) for n in ("features", "models", "predictions"))
+    datasets.write_partitions(made, stored, ["asset_id_base"])
+    jobs.train_monthly(spark, stored, models, oracles.RUN_DATE)
+    jobs.predict_daily(spark, stored, models, out, oracles.SCORING_RUN)
+    shown = spark.read.schema(f"symbol_id string, {PREDICTION} double, date date").option("header", True).csv(out)
+    finite = F.coalesce(F.abs(PREDICTION) < float("inf"), F.lit(False))
+    return shown.select("symbol_id", "date", finite.alias("finite"))
+
+
 # --- load progress ----------------------------------------------------------------
 
 
@@ -329,6 +345,14 @@ def write_partitions(spark, sf_dir):
     return tidy(datasets.read_dataset(spark, root, schemas.DAILY_OHLCV).select(*daily.columns))
 
 
+def write_by_date(spark, sf_dir):
+    """Daily bars written by date alone, one day read back."""
+    daily = aggregate.daily_ohlcv(load_views(spark, sf_dir)["bars_1m"], exact_scale=6)
+    root = scratch_path(spark, "by-date")
+    datasets.write_partitions(daily, root, ["date"], sort_by=["symbol_id"])
+    return tidy(datasets.read_dataset(spark, root, date=oracles.BAR_DAY).select(*daily.columns))
+
+
 def write_raw(spark, sf_dir):
     bars = load_views(spark, sf_dir)["bars_1m"]
     root = scratch_path(spark, "raw")
@@ -425,6 +449,7 @@ _QUERIES = (
     forward_label,
     training_set,
     predictions,
+    predict_day,
     next_start,
     next_start_floor,
     load_plan_months,
@@ -435,6 +460,7 @@ _QUERIES = (
     missing_symbols,
     extend_metadata,
     write_partitions,
+    write_by_date,
     write_raw,
     write_csv_gz,
     write_metadata,

@@ -10,6 +10,8 @@ from views import view_sql
 
 AS_OF = "2000-06-15"  # target day of the single-day runs
 RUN_DATE = "2000-01-01"  # training date; scoring covers the days after it
+SCORING_RUN = "2000-01-20"  # a daily run after it; its target is the day before
+BAR_DAY = "2024-01-10"  # a day of the bars of events
 UNTIL = "2002-01-01"  # end of the load plans
 
 V = view_sql("duckdb")
@@ -615,6 +617,10 @@ def all_sql() -> dict[str, str]:
         .add({"futures_forward_returns_7": f"lead(futures_returns_7, 7) {DAY}"})
         .query(),
         "training_set": training(),
+        "predict_day": (
+            f'SELECT symbol_id, "date", true AS finite FROM ({joined()}) j'
+            f" WHERE close_futures IS NOT NULL AND \"date\" = DATE '{SCORING_RUN}' - INTERVAL 1 DAY"
+        ),
         "next_start": meta_dates("make_timestamp(coalesce(trade_data_end, trade_data_start) * 1000)"),
         "next_start_floor": meta_dates(
             "greatest(make_timestamp(futures_metrics_data_end * 1000), TIMESTAMP '2021-12-01')"
@@ -631,6 +637,9 @@ def all_sql() -> dict[str, str]:
         "missing_symbols": absent(),
         "extend_metadata": marks(extended()),
         "write_partitions": ohlcv_query("bars_1m", scale=6),
+        "write_by_date": (
+            f"SELECT * FROM ({ohlcv_query('bars_1m', scale=6)}) d WHERE \"date\" = DATE '{BAR_DAY}'"
+        ),
         "write_raw": bars_query("bars_1m"),
         "write_csv_gz": bars_query("bars_1m"),
         "write_metadata": marks(advanced()),

@@ -105,11 +105,6 @@ def side_from_maker(c: Column | str) -> Column:
     return F.when(text == "true", "sell").otherwise("buy")
 
 
-def ratio(num: Column, den: Column) -> Column:
-    """Floating division that is null on a zero divisor (ANSI mode would raise)."""
-    return num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0))
-
-
 def quoted(name: str) -> Column:
     """Column by exact name, also when it starts with a digit."""
     return _quoted(name)

@@ -272,17 +272,6 @@ def feature_steps(
     return steps
 
 
-def research_steps(rolling: DataFrame | None) -> list[Step]:
-    """The chain with the longer horizons used for exploration."""
-    return feature_steps(
-        rolling,
-        returns=((1, 7, 30, 180), (30, 180)),
-        risk=((1,), (30, 180)),
-        trade=((1, 7), (30, 180)),
-        interaction=((1, 7), (30, 180)),
-    )
-
-
 def assert_sorted_unique(df: DataFrame) -> None:
     """Raise unless every symbol has at most one row per date.
 

@@ -45,10 +45,6 @@ def left_out(name: str) -> bool:
     return raw_scale and not any(marker in name for marker in RESCALED_MARKERS)
 
 
-def drop_feature_columns(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if left_out(c)])
-
-
 def with_futures(features: DataFrame) -> DataFrame:
     """Rows with a futures close, NaN and infinities turned into nulls."""
     return clean_floats(features).where(F.col("close_futures").isNotNull())

@@ -83,4 +83,3 @@ LISTING = _struct(
     ("isMarginTradingAllowed", T.BooleanType()),
 )
 EXCHANGE_INFO = T.StructType([T.StructField("symbols", T.ArrayType(LISTING))])
-OUTCOME = _struct(("path", _S), ("date", _S), ("symbol", _S), ("status", _S), ("error", _S), ("rows", _L))

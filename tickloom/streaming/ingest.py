@@ -1,10 +1,12 @@
 """Incremental ingest of landed files.
 
 The reference job is a daily batch; here the same work is driven by arrival.  Each
-micro-batch is de-duplicated and merged into the day folders it touches, so a repeated
-trade is resolved by the batch rule whenever it arrives, however late: there is no
-watermark that could drop a row.  Replaying a batch after a failure merges the same rows
-again and changes nothing.
+micro-batch is de-duplicated and merged into the day folders it touches, so a trade that is
+repeated within its day is resolved by the batch rule whenever it arrives, however late:
+there is no watermark that could drop a row.  Copies of a trade that carry times of
+different days and arrive in different batches both stay; ``dedupe_trades`` over the days
+settles them.  Replaying a batch after a failure merges the same rows again and changes
+nothing.
 """
 
 from __future__ import annotations
@@ -41,8 +43,12 @@ def merge_into_days(
         new = keyed
         if _exists(spark, root):
             touched = keyed.select(*PARTS).distinct()
-            held = spark.read.schema(keyed.schema).parquet(root).join(touched, list(PARTS), "left_semi")
-            new = new.unionByName(held)
+            # One row: literal bounds keep the scan to the folders of these days.
+            low, high = keyed.agg(F.min("date"), F.max("date")).first()
+            days = F.col("date").between(F.lit(low), F.lit(high)) | F.col("date").isNull()
+            held = spark.read.schema(keyed.schema).parquet(root).where(days)
+            same = [F.col(f"held.{c}").eqNullSafe(F.col(f"touched.{c}")) for c in PARTS]
+            new = new.unionByName(held.alias("held").join(touched.alias("touched"), same, "left_semi"))
         merged = with_partitions(resolve(new.drop(*PARTS)), at)
         write_partitions(merged, staged, PARTS, sort_by=[at])
     write_partitions(spark.read.schema(keyed.schema).parquet(staged), root, PARTS, sort_by=[at])
@@ -96,9 +102,12 @@ def ingest_stream(
     staged = f"{checkpoint.rstrip('/')}-staged"
 
     def load(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
-            return
-        merge_into_days(batch, out, f"{staged}/batch={number}")
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                merge_into_days(batch, out, f"{staged}/batch={number}")
+        finally:
+            batch.unpersist()
         # Swapped in completely; a replay of this batch would stage the same rows again.
         _delete(batch.sparkSession, f"{staged}/batch={number}")
 
