@@ -74,3 +74,15 @@ def test_many_copies_collapse_before_the_shuffle(spark):
     plan = deduped._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and "Window" not in plan
     assert deduped.count() == 1
+
+
+def test_other_steps_than_a_minute(spark):
+    """Gaps in bars of five minutes; a gap that is no multiple of the step is filled up to it."""
+    bars = spark.sql(
+        "SELECT TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, m) AS time_period_start,"
+        " TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, m + 5) AS time_period_end,"
+        " CAST(m AS DOUBLE) AS close, 'A' AS asset_id_base, 'USDT' AS asset_id_quote, 'X' AS exchange_id"
+        " FROM VALUES (0), (15), (18) t(m)"
+    )
+    filled = gap_fill(bars, step="5 minutes").orderBy("time_period_end").collect()
+    assert [(r["time_period_end"].minute, r["close"]) for r in filled] == [(5, 0.0), (10, 0.0), (15, 0.0), (20, 15.0), (23, 18.0)]
