@@ -136,8 +136,9 @@ def _attempt(docs: DataFrame, least: int, seed: int) -> DataFrame:
     often = each.groupBy("hash").agg(F.count("*").alias("n"), first).where("n > 1").select("hash", "first")
     often = stored(often, "repeated")
     stays = F.struct("doc_id", "key", "place").eqNullSafe(F.col("first"))
-    hits = each.join(often, "hash").select("key", "place", "hash", stays.alias("stays")).distinct()
-    by_key = hits.groupBy("key").agg(F.collect_list(F.struct("place", "hash", "stays")).alias("hits"))  # a document's
+    hits = each.join(often, "hash").select("key", "place", "hash", stays.alias("stays"))
+    # A set, as repeated rows share their key; without a distinct before it, AQE may split the join at common hashes.
+    by_key = hits.groupBy("key").agg(F.collect_set(F.struct("place", "hash", "stays")).alias("hits"))  # a document's
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
