@@ -360,6 +360,14 @@ def write_raw(spark, sf_dir):
     return tidy(datasets.read_dataset(spark, root, schemas.SPOT_BARS).select(*bars.columns))
 
 
+def write_feed(spark, sf_dir):
+    """The metrics feed parsed, filed by symbol and day, and read back."""
+    feed = layouts.parse_metrics(raw_text(spark, sf_dir, "futures_metrics"))
+    root = scratch_path(spark, "feed")
+    datasets.write_raw(feed, root, "timestamp")
+    return tidy(datasets.read_dataset(spark, root, schemas.METRICS).select(*feed.columns))
+
+
 def write_csv_gz(spark, sf_dir):
     bars = load_views(spark, sf_dir)["bars_1m"]
     root = scratch_path(spark, "csv")
@@ -462,6 +470,7 @@ _QUERIES = (
     write_partitions,
     write_by_date,
     write_raw,
+    write_feed,
     write_csv_gz,
     write_metadata,
     ingest_stream_trades,

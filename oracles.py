@@ -527,6 +527,19 @@ def all_sql() -> dict[str, str]:
     year = f"\"date\" BETWEEN DATE '{AS_OF}' - INTERVAL 365 DAY AND DATE '{AS_OF}' - INTERVAL 1 DAY"
     ts = '"timestamp"'
     feed = same("timestamp", *KEYS)
+    metrics = select(
+        {
+            "timestamp": "time_period_start",
+            **same(*KEYS),
+            "sum_open_interest": r6("open"),
+            "sum_open_interest_value": r6("high"),
+            "count_toptrader_long_short_ratio": r6("low"),
+            "sum_toper_long_short_ratio": r6("close"),
+            "count_long_short_ratio": r6("volume"),
+            "sum_taker_long_short_vol_ratio": "CAST(NULL AS DOUBLE)",
+        },
+        V["bars_1m"],
+    )
     return {
         "daily_trade_stats_spot": stats_query("spot"),
         "daily_trade_stats_futures": stats_query("futures"),
@@ -568,19 +581,7 @@ def all_sql() -> dict[str, str]:
             },
             spot,
         ),
-        "parse_metrics": select(
-            {
-                "timestamp": "time_period_start",
-                **same(*KEYS),
-                "sum_open_interest": r6("open"),
-                "sum_open_interest_value": r6("high"),
-                "count_toptrader_long_short_ratio": r6("low"),
-                "sum_toper_long_short_ratio": r6("close"),
-                "count_long_short_ratio": r6("volume"),
-                "sum_taker_long_short_vol_ratio": "CAST(NULL AS DOUBLE)",
-            },
-            V["bars_1m"],
-        ),
+        "parse_metrics": metrics,
         "symbol_universe": (
             f"SELECT DISTINCT {SYMBOL} AS symbol_id FROM ({spot}) s"
             f" WHERE {SYMBOL} IN (SELECT {SYMBOL} FROM ({futures}) f)"
@@ -641,6 +642,7 @@ def all_sql() -> dict[str, str]:
             f"SELECT * FROM ({ohlcv_query('bars_1m', scale=6)}) d WHERE \"date\" = DATE '{BAR_DAY}'"
         ),
         "write_raw": bars_query("bars_1m"),
+        "write_feed": metrics,
         "write_csv_gz": bars_query("bars_1m"),
         "write_metadata": marks(advanced()),
         "ingest_stream_trades": (
