@@ -458,6 +458,38 @@ def test_line_dedup_with_equal_hashes(spark, monkeypatch):
     assert got == {i: t for i, t, _ in rows}
 
 
+def test_line_dedup_of_passages_inside_paragraphs(spark):
+    """Passages planted mid-line at any word go whole, with or without sentence marks."""
+    rng = random.Random(17)
+    rows, planted = [], []
+    for n, size in enumerate((51, 60, 75, 100, 150) * 4):
+        make = sentences if n % 2 else lambda r, k: words(r, 6 * k)
+        passage = make(rng, 60).split()[3 : 3 + size]
+        for i in range(3):
+            before, after = (make(rng, 12).split()[rng.randint(1, 9) :] for _ in range(2))
+            rows.append((3 * n + i, " ".join(before + passage + after), "s"))
+            planted.append((" ".join(before + passage * (i == 0) + after), size * (i > 0)))
+    rows.append((60, "one\n" + " ".join(rows[0][1].split()[4:120]) + "\ntwo", "s"))
+    got = {r.doc_id: r for r in line_chunks.remove_repeated_chunks(table(spark, rows)).collect()}
+    for i, (text, size) in enumerate(planted):
+        assert (got[i].text, got[i].removed_words, got[i].removed_chunks > 0) == (text, size, size > 0)
+    assert got[60].text == "one\ntwo" and {d: r.text for d, r in got.items()} == plain_line_dedup(rows)
+
+
+def test_line_dedup_compares_the_bytes_of_word_runs(spark, monkeypatch):
+    rng = random.Random(18)
+    rows = [(i, sentences(rng, 12), "s") for i in range(6)]
+    real = line_chunks.anchors
+
+    def weak(found, lines, known, least):
+        place, short, long = real(found, lines, known, least)
+        return (place, short * 0 + 3, long * 0 + 5) if known.seed == 0 else (place, short, long)
+
+    monkeypatch.setattr(line_chunks, "anchors", weak)
+    got = {r.doc_id: r.text for r in line_chunks.remove_repeated_chunks(table(spark, rows)).collect()}
+    assert got == {i: t for i, t, _ in rows}
+
+
 def test_line_dedup_of_odd_rows(odd):
     got = line_chunks.remove_repeated_chunks(odd)
     assert got.columns == [*odd.columns, "removed_chunks", "removed_words"]

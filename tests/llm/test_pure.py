@@ -272,6 +272,31 @@ def test_removable_runs():
     assert line_chunks.removable({}, [], 40) == []
 
 
+def test_words_of_lines_and_covers():
+    for line in (t for text in ODD_TEXTS for t in text.split("\n") if t.strip()):
+        parts = line_chunks.line_words(line)
+        assert " ".join(parts) == line and all(p.strip() for p in parts)
+    rng = random.Random(15)
+    for _ in range(200):
+        places = sorted(rng.sample(range(120), rng.randint(1, 60)))
+        some = line_chunks.cover(places, 10)
+        assert set(some) <= set(places)
+        assert {i for p in some for i in range(p, p + 10)} == {i for p in places for i in range(p, p + 10)}
+
+
+def test_anchors_are_the_same_wherever_a_run_stands():
+    rng = random.Random(16)
+    known = line_chunks._Words(0)
+    run = [rng.choice("abcde") * rng.randint(1, 9) for _ in range(90)]
+    alone = line_chunks.anchors(run, [0] * 90, known, 40)
+    for at in (0, 1, 17, 200):
+        words = [rng.choice("abcde") * 3 for _ in range(at)] + run + ["z"] * 30
+        place, short, long = line_chunks.anchors(words, [0] * len(words), known, 40)
+        assert list(place[at : at + 51] - at) == list(alone[0]) and list(long[at : at + 51]) == list(alone[2])
+    other = line_chunks.anchors(run, [0] * 45 + [1] * 45, known, 40)[2]
+    assert [i for i in range(51) if other[i] == alone[2][i]] == [0, 1, 2, 3, 4, 5, *range(45, 51)]
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(6)
     matrix = np.where(rng.random((300, 20)) < 0.2, rng.random((300, 20)), 0).astype(np.float32)

@@ -9,8 +9,15 @@ neighbouring repeated chunks with LEAST_WORDS words or more are removed, except
 each chunk (least document id, then place).  Shorter repeats, such as single common lines,
 stay.
 
-Before the result is used, the bytes of all occurrences of every chunk that was removed are
-compared; if one differs (equal hashes of different chunks), all is done again with another hash.
+Chunks lose the ends of a passage that stands inside a paragraph, so any LEAST_WORDS words in
+a row that stood before, wherever they start, are removed as well.  Each such run has an
+anchor: of the runs of two fifths of its length inside, the one with the smallest hash, about
+one place in 13.  Equal runs have equal anchors, so only runs whose anchor is repeated are
+compared with each other, and each word of the removed ones is covered.
+
+Before the result is used, the bytes of all occurrences of every chunk that was removed, and
+of each word run's first occurrence, are compared; if one differs (equal hashes of different
+texts), all is done again with another hash.
 
 Null texts count as empty and become empty; a text nothing is removed from is unchanged,
 one that is all repeats becomes empty; rows of equal id and text are treated alike; null
@@ -38,6 +45,10 @@ LEAST_WORDS = 40
 _SENTENCE = re.compile(r"(?<=[.!?]) ")
 _ROLL = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
+_MIX = 0xD6E8FEB86659FD93
+_BREAK = 0xA0761D6478BD642F
+_BLANK = re.compile(r"(?:\A| )\s*(?: |\Z)")  # nothing but white space between two spaces
+_ANCHORS = 1 << 32  # places of anchors start here, those of chunks lie below
 
 
 def units(text: str) -> list[tuple[str, int, bool, bool]]:
@@ -75,10 +86,108 @@ def chunks(found: list[tuple[str, int, bool, bool]], seed: int = 0) -> list[tupl
     return out
 
 
-def chunk_texts(text: str, seed: int = 0) -> tuple[list[tuple[str, int, bool, bool]], list[tuple[int, int]], list[str]]:
+def line_words(line: str) -> list[str]:
+    """The line cut at single spaces, further white space kept with a word: joined by spaces, the line."""
+    parts = line.split(" ")
+    if not _BLANK.search(line):
+        return parts
+    out, before = [], ""
+    for part in parts:
+        if not part or part.isspace():
+            before += part + " "
+        else:
+            out.append(before + part)
+            before = ""
+    if before:
+        out[-1] += " " + before[:-1]
+    return out
+
+
+def word_units(text: str) -> tuple[list[str], list[int]]:
+    """The words of the lines that are not blank, and the line of each."""
+    words: list[str] = []
+    lines: list[int] = []
+    for number, line in enumerate(text.split("\n")):
+        if line and not line.isspace():
+            own = line_words(line)
+            words += own
+            lines += [number] * len(own)
+    return words, lines
+
+
+def line_chunks(text: str, seed: int = 0) -> tuple[list[tuple[int, int]], list[str]]:
+    """The chunks of lines as (first word, after last word), and their texts."""
     found = units(text)
+    edges = [0]
+    for unit, _, _, _ in found:
+        edges.append(edges[-1] + sum(1 for p in unit.split(" ") if p and not p.isspace()))
     cut = chunks(found, seed)
-    return found, cut, ["\n".join(u[0] for u in found[a:b]) for a, b in cut]
+    return [(edges[a], edges[b]) for a, b in cut], ["\n".join(u[0] for u in found[a:b]) for a, b in cut]
+
+
+def window_text(words: list[str], lines: list[int], start: int, size: int) -> str:
+    out = words[start]
+    for i in range(start + 1, start + size):
+        out += ("\n" if lines[i] != lines[i - 1] else " ") + words[i]
+    return out
+
+
+def chunk_texts(text: str, seed: int = 0) -> tuple[list[tuple[str, int, bool, bool]], list[tuple[int, int]], list[str]]:
+    """All that is compared, by itself: the words as units; the chunks of lines and, behind a
+    part that is the whole text, every run of LEAST_WORDS words, marked so that it equals no chunk."""
+    words, lines = word_units(text)
+    cut, parts = line_chunks(text, seed)
+    if len(words) >= LEAST_WORDS:
+        starts = range(len(words) - LEAST_WORDS + 1)
+        cut = [*cut, (0, 0), *((i, i + LEAST_WORDS) for i in starts)]
+        parts = [*parts, "\0" + text, *("\1" + window_text(words, lines, i, LEAST_WORDS) for i in starts)]
+    return [(w, n, False, False) for w, n in zip(words, lines)], cut, parts
+
+
+class _Words(dict):
+    """Hashes of words, kept while there are not too many."""
+
+    def __init__(self, seed: int):
+        self.seed = seed
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        self[word] = out = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"), self.seed + 2)
+        return out
+
+
+def run_hashes(own: np.ndarray, breaks: np.ndarray, size: int) -> np.ndarray:
+    """The hash of each ``size`` words in a row, from the words' hashes and where lines start."""
+    if len(own) < size:
+        return np.zeros(0, np.uint64)
+    mark = breaks.astype(np.uint64) * np.uint64(_BREAK)
+    power = np.full(len(own), _ROLL, np.uint64)
+    back = np.full(len(own), pow(_ROLL, -1, 1 << 64), np.uint64)
+    power[0] = back[0] = 1
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((own + mark) * np.cumprod(power))])
+    n = len(own) - size + 1
+    out = (sums[size:] - sums[:n]) * np.cumprod(back)[:n] - mark[:n]
+    out ^= out >> np.uint64(31)
+    out *= np.uint64(_MIX)
+    return out ^ out >> np.uint64(29)
+
+
+def anchors(words: list[str], lines: list[int], known: _Words, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each run of ``least`` words: the place of its anchor, which is the shorter run inside
+    with the smallest hash, so equal runs have equal anchors.  Then the hashes of the shorter
+    runs, by place, and of the runs."""
+    none = np.zeros(0, np.int64)
+    if len(words) < least:
+        return none, none, none
+    own = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    at = np.array(lines)
+    breaks = np.concatenate([[False], at[1:] != at[:-1]])
+    size = max(1, 2 * least // 5)
+    short = run_hashes(own, breaks, size)
+    inside = np.lib.stride_tricks.sliding_window_view(short, least - size + 1)
+    place = inside.argmin(axis=1) + np.arange(len(inside))
+    return place, short.view(np.int64), run_hashes(own, breaks, least).view(np.int64)
 
 
 def _hash(text: str, seed: int) -> int:
@@ -117,79 +226,202 @@ def without(text: str, found: list[tuple[str, int, bool, bool]], cut: list[tuple
     return "\n".join(out) if any(line.strip() for line in out) else ""
 
 
-def _attempt(docs: DataFrame, least: int, seed: int) -> DataFrame:
-    """``row``, ``clean``, ``removed_chunks``, ``removed_words`` and ``seen`` (hash and text of
-    the repeated chunks that decide) per document, stored."""
-    text = whole_text()
-    key = F.xxhash64(docs["doc_id"], text).alias("key")
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), key, text.alias("text"))
+def _lists(found: list[dict[str, np.ndarray]], kind: pa.StructType) -> pa.Array:
+    """An array of lists of structs from each list's columns."""
+    names = [f.name for f in kind]
+    sizes = [len(f[names[0]]) for f in found]
+    flat = [pa.array(np.concatenate([f[n] for f in found]), kind.field(n).type) for n in names]
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(flat, names=names))
+
+
+_PLACED = pa.struct([("place", pa.int64()), ("hash", pa.int64())])
+_SEEN = pa.list_(pa.struct([("hash", pa.int64()), ("text", pa.string())]))
+_SPANS = pa.list_(pa.list_(pa.int32()))
+_PLACED_SQL = "array<struct<place: bigint, hash: bigint>>"
+_SEEN_SQL = "array<struct<hash: bigint, text: string>>"
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            hashes = [[_hash(c, seed) for c in chunk_texts(t, seed)[2]] for t in batch["text"].to_pylist()]
-            columns = [batch["doc_id"], batch["key"], pa.array(hashes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "hashes"])
 
-    pieces = stored(rows.mapInArrow(cut, "doc_id long, key long, hashes array<long>"), "chunks")
-    each = pieces.select("doc_id", "key", F.posexplode("hashes").alias("place", "hash"))
+def _repeated(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``hash`` and ``first`` of what ``pieces`` (``doc_id``, ``key``, ``placed``) hold more than
+    once, and the ``hits`` of each key."""
+    each = pieces.select("doc_id", "key", F.explode("placed").alias("p")).select("doc_id", "key", "p.place", "p.hash")
     first = F.min(F.struct("doc_id", "key", "place")).alias("first")
     often = each.groupBy("hash").agg(F.count("*").alias("n"), first).where("n > 1").select("hash", "first")
     often = stored(often, "repeated")
     stays = F.struct("doc_id", "key", "place").eqNullSafe(F.col("first"))
     hits = each.join(often, "hash").select("key", "place", "hash", stays.alias("stays"))
     # A set, as repeated rows share their key; without a distinct before it, AQE may split the join at common hashes.
-    by_key = hits.groupBy("key").agg(F.collect_set(F.struct("place", "hash", "stays")).alias("hits"))  # a document's
+    return often, hits.groupBy("key").agg(F.collect_set(F.struct("place", "hash", "stays")).alias("hits"))  # a document's
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _count(dropped: set[int]) -> int:
+    """Runs of neighbours in a set of places."""
+    return sum(i - 1 not in dropped for i in dropped)
+
+
+def cover(places: list[int], size: int) -> list[int]:
+    """Some of the runs of ``size`` words at ``places`` (sorted) that cover all their words."""
+    out: list[int] = []
+    end, i = 0, 0
+    while i < len(places):
+        if places[i] + size > end:
+            open_from = max(end, places[i])
+            while i + 1 < len(places) and places[i + 1] <= open_from:
+                i += 1
+            out.append(places[i])
+            end = places[i] + size
+        i += 1
+    return out
+
+
+def _attempt(docs: DataFrame, least: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """``row``, ``clean``, ``removed_chunks`` and ``removed_words`` per document, and the hashes
+    that different bytes were found under."""
+    text = whole_text()
+    key = F.xxhash64(docs["doc_id"], text, F.lit(seed)).alias("key")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), key, text.alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Words(seed)
+        for batch in slices(batches):
+            found = []
+            for t in batch["text"].to_pylist():
+                whole = np.array([_hash(c, seed) for c in line_chunks(t, seed)[1]], np.int64)
+                place, short, _ = anchors(*word_units(t), known, least)
+                place = np.unique(place)
+                places = np.concatenate([np.arange(len(whole)), place + _ANCHORS])
+                found.append({"place": places, "hash": np.concatenate([whole, short[place]])})
+            columns = [batch["doc_id"], batch["key"], _lists(found, _PLACED)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "placed"])
+
+    pieces = stored(rows.mapInArrow(cut, f"doc_id long, key long, placed {_PLACED_SQL}"), "chunks")
+    by_key = _repeated(pieces)[1]
+
+    def drop_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Words(seed)
+        none = np.zeros(0, np.int64)
         for batch in slices(batches):
-            texts, gone_chunks, gone_words, seen = [], [], [], []
+            texts, spans, seen, windows, counts = [], [], [], [], []
             for text, hits in zip(batch["text"].to_pylist(), batch["hits"].to_pylist()):
-                if not hits:
-                    texts.append(text)
-                    gone_chunks.append(0)
-                    gone_words.append(0)
-                    seen.append([])
-                    continue
-                found, cut, parts = chunk_texts(text, seed)
-                repeated = {
-                    h["place"]: h["stays"]
-                    for h in hits
-                    if h["place"] < len(parts) and _hash(parts[h["place"]], seed) == h["hash"]
-                }
-                words = [len(p.split()) for p in parts]
-                gone = removable(repeated, words, least)
-                texts.append(without(text, found, cut, gone))
-                gone_chunks.append(len(gone))
-                gone_words.append(sum(words[i] for i in gone))
-                kept = [i for i, stays in repeated.items() if stays]
-                seen.append([{"hash": _hash(parts[i], seed), "text": parts[i]} for i in sorted({*gone, *kept})])
-            pairs = pa.list_(pa.struct([("hash", pa.int64()), ("text", pa.string())]))
+                gone: list[int] = []
+                at: list[tuple[int, int]] = []
+                decide: list[dict] = []
+                dropped: set[int] = set()
+                placed = {"place": none, "hash": none}
+                if hits:
+                    at, parts = line_chunks(text, seed)
+                    repeated = {
+                        h["place"]: h["stays"]
+                        for h in hits
+                        if h["place"] < len(parts) and _hash(parts[h["place"]], seed) == h["hash"]
+                    }
+                    gone = removable(repeated, [len(p.split()) for p in parts], least)
+                    kept = [i for i, stays in repeated.items() if stays]
+                    decide = [{"hash": _hash(parts[i], seed), "text": parts[i]} for i in sorted({*gone, *kept})]
+                    again = [h["place"] - _ANCHORS for h in hits if h["place"] >= _ANCHORS]
+                    if again:
+                        place, _, long = anchors(*word_units(text), known, least)
+                        some = np.flatnonzero(np.isin(place, again))
+                        placed = {"place": some, "hash": long[some]}
+                    elif gone:
+                        words, lines = word_units(text)
+                        dropped = {i for j in gone for i in range(*at[j])}
+                        units_ = [(w, n, False, False) for w, n in zip(words, lines)]
+                        text = without(text, units_, at, gone)
+                        counts.append((len(gone), sum(len(words[i].split()) for i in dropped)))
+                if not dropped:
+                    counts.append((0, 0))
+                texts.append(text)
+                windows.append(placed)
+                spans.append([list(at[j]) for j in gone])
+                seen.append(decide)
             arrays = [
                 batch["row"],
+                batch["doc_id"],
+                batch["key"],
                 pa.array(texts, pa.string()),
-                pa.array(gone_chunks, pa.int64()),
-                pa.array(gone_words, pa.int64()),
-                pa.array(seen, pairs),
+                pa.array([c for c, _ in counts], pa.int64()),
+                pa.array([w for _, w in counts], pa.int64()),
+                pa.array(spans, _SPANS),
+                pa.array(seen, _SEEN),
+                _lists(windows, _PLACED),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["row", "clean", "removed_chunks", "removed_words", "seen"])
+            names = ["row", "doc_id", "key", "text", "removed_chunks", "removed_words", "gone", "seen", "placed"]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     # The text travels once, so the row goes without it.
     rest = F.struct(*[docs[c] for c in docs.columns if c != "text"])
-    whole = docs.select(key, text.alias("text"), rest.alias("row")).join(by_key, "key", "left")
+    id_ = docs["doc_id"].cast("long").alias("doc_id")
+    whole = docs.select(key, id_, text.alias("text"), rest.alias("row")).join(by_key, "key", "left")
+    row_sql = whole.schema["row"].dataType.simpleString()
     schema = (
-        f"row {whole.schema['row'].dataType.simpleString()}, clean string, removed_chunks long, removed_words long, "
-        "seen array<struct<hash: bigint, text: string>>"
+        f"row {row_sql}, doc_id long, key long, text string, removed_chunks long, removed_words long, "
+        f"gone array<array<int>>, seen {_SEEN_SQL}, placed {_PLACED_SQL}"
     )
-    return stored(whole.select("row", "text", "hits").mapInArrow(clean, schema), "clean")
+    whole = whole.select("row", "doc_id", "key", "text", "hits")
+    first = stored(whole.mapInArrow(drop_chunks, schema), "first")
+    # Only documents with a repeated anchor go on.
+    ready, more = first.where("size(placed) = 0"), first.where("size(placed) > 0")
+    often, by_key = _repeated(more.select("doc_id", "key", "placed"))
+
+    def drop_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts, counts, seen = [], [], []
+            columns = zip(batch["text"].to_pylist(), batch["gone"].to_pylist(), batch["hits"].to_pylist())
+            for text, gone, hits in columns:
+                words, lines = word_units(text)
+                hashes = {h["place"]: h["hash"] for h in hits or [] if not h["stays"]}
+                spans = [*map(tuple, gone), *((p, p + least) for p in hashes)]
+                dropped = {i for a, b in spans for i in range(a, b)}
+                found = [(w, n, False, False) for w, n in zip(words, lines)]
+                texts.append(without(text, found, spans, list(range(len(spans)))))
+                by_chunks = {i for a, b in gone for i in range(a, b)}
+                counts.append((len(gone) + _count(dropped - by_chunks), sum(len(words[i].split()) for i in dropped)))
+                some = cover(sorted(hashes), least)
+                seen.append([{"hash": hashes[p], "text": window_text(words, lines, p, least)} for p in some])
+            arrays = [
+                batch["row"],
+                pa.array(texts, pa.string()),
+                pa.array([c for c, _ in counts], pa.int64()),
+                pa.array([w for _, w in counts], pa.int64()),
+                pa.array(seen, _SEEN),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["row", "clean", "removed_chunks", "removed_words", "seen"])
+
+    schema = f"row {row_sql}, clean string, removed_chunks long, removed_words long, seen {_SEEN_SQL}"
+    joined = more.join(by_key, "key", "left").select("row", "text", "gone", "hits")
+    second = stored(joined.mapInArrow(drop_runs, schema), "clean")
+
+    def unlike(seen: DataFrame) -> DataFrame:
+        return seen.groupBy("hash").agg(F.min("text").alias("low"), F.max("text").alias("high"))
+
+    by_chunks = unlike(first.select(F.explode("seen").alias("s")).select("s.hash", "s.text")).where("low <> high")
+    wanted = unlike(second.select(F.explode("seen").alias("s")).select("s.hash", "s.text"))
+    asked = wanted.join(often, "hash").groupBy("first.key")
+    asked = asked.agg(F.collect_list(F.struct("first.place", "hash", "low", "high")).alias("asked"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            bad = []
+            for text, asked in zip(batch["text"].to_pylist(), batch["asked"].to_pylist()):
+                words, lines = word_units(text)
+                for a in asked:
+                    own = window_text(words, lines, a["place"], least)
+                    if not own == a["low"] == a["high"]:
+                        bad.append(a["hash"])
+            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.int64())], names=["hash"])
+
+    by_runs = more.select("key", "text").join(asked, "key").select("text", "asked").mapInArrow(compare, "hash long")
+    ready = ready.select("row", F.col("text").alias("clean"), "removed_chunks", "removed_words")
+    return ready.unionByName(second.drop("seen")), by_chunks.select("hash").unionByName(by_runs)
 
 
 def remove_repeated_chunks(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """The documents with repeated passages removed from ``text``, and ``removed_chunks`` and
-    ``removed_words``."""
+    """The documents with repeated passages removed from ``text``, and ``removed_chunks`` (chunks,
+    and runs of words beyond them) and ``removed_words``."""
     for seed in count():
-        done = _attempt(docs, least, seed)
-        seen = done.select(F.explode("seen").alias("s")).select("s.hash", "s.text")
-        unlike = seen.groupBy("hash").agg(F.min("text").alias("low"), F.max("text").alias("high")).where("low <> high")
+        done, unlike = _attempt(docs, least, seed)
         if unlike.isEmpty():
             break
     columns = [F.col("clean").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
