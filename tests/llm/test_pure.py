@@ -140,6 +140,22 @@ def test_main_text_of_marked_and_unmarked_pages():
     assert html_text.main_text(bare) == "\n".join(["Head", ARTICLE.strip(), "short tail", ARTICLE.strip()])
 
 
+def test_main_text_of_cms_classes():
+    body = f"<h1>Head</h1><p>{ARTICLE}</p><p>{ARTICLE}</p>"
+    want = "\n".join(["Head", ARTICLE.strip(), ARTICLE.strip()])
+    for start in (
+        "<article class='post type-post category-social tag-search has-sidebar'>",
+        "<article class='comment related'>",
+        "<div id='page' class='widget-area content'><article>",
+        "<div class='header-layout'><article>",
+        "<div class='sidebar-layout no-sidebar'><div>",
+        "<div class='social'><div>",
+    ):
+        assert html_text.main_text(f"<body><nav>menu</nav>{start}{body}</body>") == want
+    for name in ("sidebar", "site-footer", "cookie-notice", "comments-area", "ad-slot-3", "share_buttons"):
+        assert html_text.main_text(f"<body><div class='x {name}'><p>{ARTICLE}</p></div><div>{body}</div></body>") == want
+
+
 def test_main_text_of_odd_pages():
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<script>x") == ""
     assert html_text.main_text("<p>only this</p>") == "only this"

@@ -53,13 +53,23 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose start ends an open paragraph.
 ENDS_P = BLOCKS - frozenset("caption td th tr tbody thead tfoot option optgroup legend summary label button body html".split())
-# Parts of class, id and role values that name what surrounds an article.
+# Words of class, id and role values that name what surrounds an article, what may
+# follow them, and starts of names that CMSs give to a post's own terms and features.
+_PART = (
+    r"(?:ad|ads|advert\w*|banner|breadcrumbs?|captcha|comments?|commentlist|complementary|consent|contentinfo|cookies?|"
+    r"copyright|disclaimer|disqus|dropdown|feedback|foot|footer|form|gdpr|header|login|masthead|menu|modal|nav|navbar|"
+    r"navigation|newsletter|notices?|outbrain|pager|pagination|paywall|popup|promo\w*|recommend\w*|related|replies|"
+    r"reply|respond|search|share|sharing|sidebar|signup|site-?info|skip|social|sponsor\w*|subscribe|subscription|"
+    r"taboola|tags|toolbar|widget|alert|toc)"
+)
+_AFTER = (
+    r"(?:area|bar|block|body|bottom|box|buttons?|container|content|group|holder|icons?|inner|items?|left|link|links|list|"
+    r"main|message|modal|outer|panel|popup|posts?|primary|right|row|secondary|section|slot|text|title|top|unit|wrap|"
+    r"wrapper|\d+)"
+)
 _NAMED = re.compile(
-    r"(?:^|[\s_-])(?<!has[_-])(?<!with[_-])(?<!no[_-])(?:ad|ads|advert\w*|banner|breadcrumbs?|byline-social|captcha|comments?|commentlist|complementary|"
-    r"consent|contentinfo|cookies?|copyright|disclaimer|disqus|dropdown|feedback|foot|footer|form|gdpr|header|login|"
-    r"masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|outbrain|pager|pagination|paywall|popup|promo\w*|"
-    r"recommend\w*|related|replies|reply|respond|search|share|sharing|sidebar|signup|site-?info|skip|social|sponsor\w*|"
-    r"subscribe|subscription|taboola|tags|toolbar|widget|alert|toc)(?:$|[\s_-])",
+    rf"(?:^|\s)(?!(?:category|tag|has|with|no|is|type|format|status|layout|theme|template|author)[_-])"
+    rf"(?:\w+[_-])*{_PART}(?:[_-]+{_AFTER})*(?=$|\s)",
     re.I,
 )
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -92,29 +102,35 @@ class Block:
     unwanted: bool
     article: int
     heading: bool
+    named: tuple[int, ...] = ()  # elements around it whose class, id or role names boilerplate
 
 
-def _unwanted(name: str, rest: str) -> bool:
-    """Whether an element holds what surrounds an article, by its name or attributes."""
+def _unwanted(name: str, rest: str) -> bool | None:
+    """Whether an element holds what surrounds an article, by its name or attributes; none if
+    only its class, id or role says so."""
     if name in UNWANTED:
         return True
     if "=" not in rest and "hidden" not in rest:
         return False
+    weak = False
     for key, a, b, c in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), a or b or c
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             return True
         if key == "style" and _HIDDEN.search(value):
             return True
-        if key in ("class", "id", "role") and name not in ("body", "html") and _NAMED.search(value):
-            return True
-    return False
+        if key in ("class", "id", "role") and name not in ("body", "html", *ARTICLE) and _NAMED.search(value):
+            weak = True
+    return None if weak else False
 
 
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # element, makes unwanted, marks the article
+    stack: list[tuple[str, bool | None, int]] = []  # element, makes unwanted, marks the article
+    named: list[int] = []  # numbers of the open elements that are unwanted by class, id or role
+    with_main: set[int] = set()
+    numbers = 0
     parts: list[str] = []
     counts = {"unwanted": 0, 0: 0, 1: 0, 2: 0, "a": 0, "heading": 0}
     linked, breaks, at = 0, 0, 0
@@ -133,13 +149,19 @@ def blocks(page: str) -> list[Block]:
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
             within = 2 if counts[2] else 1 if counts[1] else 0
-            out.append(Block(text, linked, counts["unwanted"] > 0, within, counts["heading"] > 0))
+            out.append(Block(text, linked, counts["unwanted"] > 0, within, counts["heading"] > 0, tuple(named)))
         parts.clear()
         linked = 0
 
-    def count(entry: tuple[str, bool, int], by: int) -> None:
+    def count(entry: tuple[str, bool | None, int], by: int) -> None:
+        nonlocal numbers
         name, bad, article = entry
-        counts["unwanted"] += by * bad
+        if bad is None and by > 0:
+            named.append(numbers)
+            numbers += 1
+        elif bad is None:
+            named.pop()
+        counts["unwanted"] += by * bool(bad)
         counts[article] += by
         counts["a"] += by * (name == "a")
         counts["heading"] += by * (len(name) == 2 and name[0] == "h" and name[1].isdigit())
@@ -196,11 +218,40 @@ def blocks(page: str) -> list[Block]:
         entry = (name, _unwanted(name, rest), ARTICLE.get(name, 2 if "articleBody" in rest else 0))
         stack.append(entry)
         count(entry, 1)
+        if name == "main":
+            with_main.update(named)
     push(page[at:])
     flush()
+    _settle_names(out, with_main)
     return out
 
 
+def _settle_names(found: list[Block], with_main: set[int], rules: Rules = Rules()) -> None:
+    """Blocks in elements that a class, id or role names as boilerplate become unwanted, unless
+    the element holds <main>, or most of the page's text with no prose left outside."""
+    around = {n for b in found for n in b.named} - with_main
+    if not around:
+        return
+    wanted = [b for b in found if not b.unwanted]
+    total = sum(len(b.text) - b.linked for b in wanted)
+    held: dict[int, int] = {}
+    for b in wanted:
+        for n in b.named:
+            held[n] = held.get(n, 0) + len(b.text) - b.linked
+    wide = {n for n in around if 2 * held.get(n, 0) > total}
+    for n in sorted(wide):
+        outside = [b for b in wanted if n not in b.named and not around.intersection(b.named) - wide]
+        if sum(len(b.text) for b in outside if _prose(b, rules)) < rules.long:
+            around.discard(n)
+    for b in found:
+        b.unwanted = b.unwanted or not around.isdisjoint(b.named)
+
+
+def _prose(block: Block, rules: Rules) -> bool:
+    size = len(block.text)
+    return not block.unwanted and not block.heading and size >= rules.short and block.linked / size <= rules.link_density
+
+
 def first_pass(block: Block, marked: int, rules: Rules) -> bool | None:
     """Text (true), boilerplate (false) or ambiguous (none), from the block alone.  ``marked``:
     how closely the page marks its article; blocks marked less are not the article's."""
