@@ -156,6 +156,25 @@ def test_main_text_of_cms_classes():
         assert html_text.main_text(f"<body><div class='x {name}'><p>{ARTICLE}</p></div><div>{body}</div></body>") == want
 
 
+def test_main_text_beside_teaser_articles():
+    body = f"<h1>Head</h1><p>{ARTICLE}</p><p>{ARTICLE}</p><p>{ARTICLE}</p>"
+    want = "\n".join(["Head", *[ARTICLE.strip()] * 3])
+    teaser = f"<section><article><a href=/x><h3>Other post</h3><p>{ARTICLE}</p></a></article></section>"
+    for start in ("main", "div"):
+        assert html_text.main_text(f"<body><{start}>{body}</{start}>{teaser}</body>") == want
+    plain = f"<article><p>{ARTICLE}</p></article>"
+    assert want in html_text.main_text(f"<body><div>{body}</div>{plain}</body>")
+
+
+def test_main_text_in_an_unlisted_language():
+    text = "Вечером город затих, и только ветер шевелил листья старых лип вдоль набережной реки. " * 4
+    page = f"<body><ul><li><a href='/'>Главная</a></ul><div><p>{text}</p><h2>Город</h2><p>{text}</p></div></body>"
+    assert html_text.main_text(page) == "\n".join([text.strip(), "Город", text.strip()])
+    few = "zx qv kj wb " * 20
+    page = f"<article><p>{ARTICLE}</p><p>{few}</p><p>{ARTICLE}</p></article>"
+    assert html_text.main_text(page) == "\n".join([ARTICLE.strip(), few.strip(), ARTICLE.strip()])
+
+
 def test_main_text_of_odd_pages():
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<script>x") == ""
     assert html_text.main_text("<p>only this</p>") == "only this"

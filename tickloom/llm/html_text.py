@@ -3,8 +3,9 @@
 A page is cut into blocks at block-level tags.  Pass one decides each block by itself: text
 in menus, headers, footers, sidebars, notices, adverts, forms and comment sections is
 boilerplate, so are blocks that are mostly links; long blocks are text when stop words are
-dense enough or when the page marks them as its article; short blocks stay ambiguous.  In
-pass two the ambiguous blocks take the label of the nearest block that was decided by its
+dense enough, or by their length alone where the page's language has no stop words here; short
+blocks stay ambiguous.  <article> and <main> count when they hold half of the page's prose:
+blocks outside are boilerplate then, and those inside need fewer stop words.  In pass two the ambiguous blocks take the label of the nearest block that was decided by its
 words, the one before in a tie, and are text where nothing was decided.
 
 A null or empty page has the empty text.  Rows are kept as they are, repeated or not, and
@@ -252,21 +253,44 @@ def _prose(block: Block, rules: Rules) -> bool:
     return not block.unwanted and not block.heading and size >= rules.short and block.linked / size <= rules.link_density
 
 
-def first_pass(block: Block, marked: int, rules: Rules) -> bool | None:
+def marked_level(found: list[Block], rules: Rules = Rules()) -> int:
+    """How closely the page marks its article: the closest mark with at least as much prose inside
+    as outside, or with no long text outside.  0 if there is none, so a teaser in <article> beside
+    the text marks nothing."""
+    mass = [0, 0, 0]
+    for b in found:
+        if _prose(b, rules):
+            mass[b.article] += len(b.text)
+    for level in (2, 1):
+        inside, outside = sum(mass[level:]), sum(mass[:level])
+        if (inside >= outside or outside < rules.long) and any(b.article >= level and not b.unwanted for b in found):
+            return level
+    return 0
+
+
+def has_stop_words(found: list[Block], rules: Rules = Rules()) -> bool:
+    """Whether the page's prose is in a language with words in STOP_WORDS."""
+    words = [w for b in found if _prose(b, rules) for w in _WORD.findall(b.text.lower())]
+    return sum(w in STOP_WORDS for w in words) >= rules.stop_none * len(words)
+
+
+def first_pass(block: Block, marked: int, rules: Rules, listed: bool = True) -> bool | None:
     """Text (true), boilerplate (false) or ambiguous (none), from the block alone.  ``marked``:
-    how closely the page marks its article; blocks marked less are not the article's."""
+    how closely the page marks its article; blocks marked less are not the article's, and
+    those inside need fewer stop words.  Without a ``listed`` language, length decides."""
     size = len(block.text)
     if block.unwanted or block.article < marked or block.linked / size > rules.link_density:
         return False
     if size < rules.short or block.heading:
         return None
-    if marked:
-        return True
+    if not listed:
+        return True if marked or size >= rules.long else None
     words = _WORD.findall(block.text.lower())
     density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if density >= rules.stop_high or size >= rules.long and density >= rules.stop_low:
+    if density >= (rules.stop_low if marked else rules.stop_high) or size >= rules.long and density >= rules.stop_low:
         return True
-    return None if density >= rules.stop_none else False
+    # Inside the marked article a block of few stop words (code, names, figures) follows its neighbours.
+    return None if marked or density >= rules.stop_none else False
 
 
 def second_pass(labels: list[bool | None], votes: list[bool]) -> list[bool]:
@@ -286,8 +310,8 @@ def second_pass(labels: list[bool | None], votes: list[bool]) -> list[bool]:
 def main_text(page: str | None, rules: Rules = Rules()) -> str:
     """The article's blocks, one per line."""
     found = blocks(page or "")
-    marked = max((b.article for b in found if not b.unwanted), default=0)
-    labels = [first_pass(b, marked, rules) for b in found]
+    marked, listed = marked_level(found, rules), has_stop_words(found, rules)
+    labels = [first_pass(b, marked, rules, listed) for b in found]
     votes = [not b.unwanted and b.article >= marked for b in found]
     return "\n".join(b.text for b, keep in zip(found, second_pass(labels, votes)) if keep)
 
