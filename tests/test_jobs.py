@@ -2,9 +2,12 @@
 
 import datetime as dt
 import zipfile
+from pathlib import Path
+
+import pytest
 
 from tickloom.plans import jobs
-from tickloom.sources import datasets
+from tickloom.sources import archives, datasets
 
 RUN = "2024-01-11"
 DAYS = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(10)]
@@ -94,3 +97,21 @@ def test_a_stray_row_does_not_clear_its_day(spark, tmp_path):
             jobs.aggregate_trades(spark, root, stats, run)
         got = {str(r["date"]): r["num_sells"] for r in datasets.read_dataset(spark, stats).collect()}
         assert got == {"2024-01-01": 1, "2024-01-02": 3}
+
+
+def test_archives_above_the_limit_fail_the_job(spark, tmp_path):
+    """The others are written first; a caller may accept that rows are left out."""
+    day = dt.date(2024, 1, 1)
+    land_at, root = tmp_path / "landing", str(tmp_path / "raw")
+    zipped(land_at, f"BTCUSDC-trades-{day}", [f"1,10,1,10,{epoch_ms(day, 1)},true"])
+    for symbol in ("ETH", "XRP"):  # only ETH is listed
+        zipped(land_at, f"{symbol}USDC-trades-{day}", [f"{k},10,1,10,{epoch_ms(day, 2)},true" for k in range(500)])
+    limit = max(Path(f).stat().st_size for f in land_at.glob("BTC*.zip"))
+    symbols = spark.createDataFrame(
+        [("BTC", "USDC", "X"), ("ETH", "USDC", "X")], "asset_id_base string, asset_id_quote string, exchange_id string"
+    )
+    run = lambda **more: jobs.ingest(spark, str(land_at), "futures_trade", symbols, root, content_limit=limit, **more)
+    with pytest.raises(archives.ArchivesTooLarge, match="^1 archives .*ETHUSDC-trades-2024-01-01.zip$"):
+        run()
+    assert [r["trade_id"] for r in datasets.read_dataset(spark, root).collect()] == [1]
+    assert sorted(r["status"] for r in run(skip_large=True).collect()) == ["error", "error", "ok"]

@@ -36,6 +36,8 @@ def ingest(
     quote_assets: tuple[str, ...] | None = None,
     fill: str = "reference",
     expected: DataFrame | None = None,
+    content_limit: int = archives.CONTENT_LIMIT,
+    skip_large: bool = False,
 ) -> DataFrame:
     """Landed archives to typed raw rows by symbol and day; returns the outcome table.
 
@@ -47,10 +49,13 @@ def ingest(
     that are missing (of those ``expected``), empty, broken, or of no single wanted symbol
     are reported and do not stop the others.  Rows are filed under the period of their own
     archive.
+
+    Archives of wanted symbols above ``content_limit`` are not read: the others are written,
+    then the job fails and names them, unless ``skip_large`` accepts that they are left out.
     """
     n_fields, parse = layouts.LAYOUTS[dataset]
     staged = scratch_path(spark, f"ingest-{dataset}")
-    archives.read_zip_csv(spark, landing, n_fields).write.parquet(staged)
+    archives.read_zip_csv(spark, landing, n_fields, content_limit).write.parquet(staged)
     unpacked = spark.read.parquet(staged)
     if quote_assets is None:
         quote_assets = (SPOT_QUOTE_ASSET,) if dataset in BARS else () if dataset in TRADES else DERIVATIVE_QUOTE_ASSETS
@@ -65,6 +70,13 @@ def ingest(
     elif dataset in TRADES:
         rows = cleaning.dedupe_trades(rows)
     datasets.write_raw(rows, out, at, layouts.PERIOD)
+    if not skip_large:
+        left = archives.too_large(unpacked, wanted)
+        n_left, some = left.count(), [r.path for r in left.orderBy("path").limit(20).collect()]
+        if n_left:
+            raise archives.ArchivesTooLarge(
+                f"{n_left} archives above {content_limit} bytes were not read, the others are written: {', '.join(some)}"
+            )
     return archives.outcomes(unpacked, wanted, expected)
 
 

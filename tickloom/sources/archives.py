@@ -3,7 +3,8 @@
 Spark lists the archives, reads them with its binary reader and spreads them over tasks; a
 task unzips one at a time and streams it out in bounded chunks, so memory follows the zipped
 size of one archive.  A cell may not exceed 2 GB: archives above ``CONTENT_LIMIT`` are
-reported as errors that name the limit, and are not read some other way.
+reported as errors that name the limit, and are not read some other way; ``jobs.ingest`` fails
+on them unless its caller accepts that.
 """
 
 from __future__ import annotations
@@ -21,6 +22,11 @@ from tickloom.functions.scalar import KEYS
 CONTENT_LIMIT = 1024 * 1024 * 1024
 CHUNK_ROWS = 50_000
 BROADCAST_PATHS = 100_000  # at about 200 bytes a path
+_ABOVE = "bytes are above the limit of"
+
+
+class ArchivesTooLarge(Exception):
+    """Archives above the limit were left out."""
 
 
 def read_zip_csv(
@@ -52,7 +58,7 @@ def read_zip_csv(
         for batch in batches:
             for source, length, content in zip(batch["path"], batch["length"], batch["content"]):
                 if content is None:
-                    error = f"{length} bytes are above the limit of {content_limit} bytes"
+                    error = f"{length} {_ABOVE} {content_limit} bytes"
                     yield _outcome(source, "error", error, 0, fields)
                 else:
                     yield from _one_archive(source, content, fields)
@@ -148,6 +154,12 @@ def outcomes(rows: DataFrame, symbols: DataFrame | None = None, expected: DataFr
     return found
 
 
+def too_large(rows: DataFrame, symbols: DataFrame) -> DataFrame:
+    """``path`` of the archives above the limit whose name fits a listed symbol."""
+    left = rows.where((F.col("status") == "error") & F.col("error").contains(_ABOVE)).select("path", _pair().alias("_pair"))
+    return left.join(_listed_pairs(symbols), "_pair", "left_semi").select("path")
+
+
 def data_rows(rows: DataFrame, n_broken: int | None = None) -> DataFrame:
     """Rows of the archives that were read to the end.
 
