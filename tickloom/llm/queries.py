@@ -7,13 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
+    alignment,
     dart_minhash,
     fingerprints,
     html_text,
     licences,
     line_chunks,
+    merkle,
     mixing,
     packing,
+    token_counts,
     token_files,
     topk,
     toxicity,
@@ -73,6 +76,20 @@ def op10_licence_scan(spark, sf_dir):
     return licences.scan_licences(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(_table(spark, sf_dir, "documents")).drop("source")
+
+
+def op12_token_counts(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), path)
+
+
+def op13_tokenizer_alignment(spark, sf_dir):
+    a, b = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align_documents(_table(spark, sf_dir, "documents"), a, b)
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -90,6 +107,9 @@ _QUERIES = (
     op8_line_dedup,
     op9_token_files,
     op10_licence_scan,
+    op11_merkle_manifest,
+    op12_token_counts,
+    op13_tokenizer_alignment,
     pipeline,
 )
 
