@@ -19,7 +19,7 @@ from tickloom.functions.scalar import KEYS, symbol_id
 from tickloom.operators import aggregate, cleaning, features, incremental, rolling, training, universe
 from tickloom.plans import jobs
 from tickloom.session import scratch_path
-from tickloom.sources import datasets, layouts
+from tickloom.sources import archives, datasets, layouts
 from tickloom.streaming.ingest import ingest_stream
 from views import load_views, raw_text
 
@@ -62,8 +62,16 @@ def daily_trade_stats_futures(spark, sf_dir):
 
 
 def daily_trade_stats_hot(spark, sf_dir):
-    """The same statistics with nearly every symbol-day treated as too large for a task."""
-    return tidy(_stats(spark, sf_dir, "futures", hot_rows=1))
+    """The same statistics where half of all trades fall on one day of one symbol."""
+    trades = load_views(spark, sf_dir)["futures_trades"]
+    bought = F.col("side") == "buy"
+    moved = trades.withColumns(
+        {
+            "timestamp": F.when(bought, F.lit(oracles.HOT_DAY).cast("timestamp_ntz")).otherwise(F.col("timestamp")),
+            "asset_id_base": F.when(bought, F.lit("S0")).otherwise(F.col("asset_id_base")),
+        }
+    )
+    return tidy(aggregate.daily_trade_stats(moved, exact_scale=SCALE))
 
 
 def daily_ohlcv_spot(spark, sf_dir):
@@ -419,6 +427,86 @@ def ingest_stream_trades(spark, sf_dir):
     return tidy(datasets.read_dataset(spark, root).select(*[f.name for f in schemas.FUTURES_TRADES.fields]))
 
 
+def _twelve_hours_twice(events: DataFrame) -> DataFrame:
+    """Events as trades with a copy twelve hours later, so that half of the copies carry
+    another day; ``first_batch`` says which of the two arrives first, by turns."""
+    twice = events.withColumn("again", F.explode(F.array(F.lit(0), F.lit(1))))
+    return twice.selectExpr(
+        "event_id AS trade_id",
+        "ts + make_dt_interval(0, 12 * again) AS timestamp",
+        "value AS price",
+        "1D AS quantity",
+        "value AS quote_quantity",
+        "CASE WHEN event_type = 'click' THEN 'buy' ELSE 'sell' END AS side",
+        "concat('S', CAST(user_id % 3 AS STRING)) AS asset_id_base",
+        "'USDT' AS asset_id_quote",
+        "'BINANCE' AS exchange_id",
+        "(event_id + again) % 2 = 0 AS first_batch",
+    )
+
+
+def ingest_stream_two_batches(spark, sf_dir):
+    """Copies that arrive in different batches and lie in different days: the earliest stays,
+    whichever came first, as ``dedupe_trades`` over all rows has it."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    landing, root, progress = (scratch_path(spark, n) for n in ("landing", "stream", "progress"))
+    trades = _twelve_hours_twice(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    for first in (True, False):
+        part = trades.where(F.col("first_batch") == first).drop("first_batch")
+        part.write.mode("append").parquet(landing)
+        query = ingest_stream(spark, landing, part.schema, root, progress)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    return tidy(datasets.read_dataset(spark, root).select(*[f.name for f in schemas.FUTURES_TRADES.fields]))
+
+
+# --- archives ---------------------------------------------------------------------
+
+
+def _spot_archives(spark, sf_dir, name) -> DataFrame:
+    """The spot trades as zipped CSV archives by symbol and month, made by Spark."""
+    lines = raw_text(spark, sf_dir, "trade")
+    # Half of the times are in microseconds.
+    millis = F.col("c4").cast("long")
+    month = F.date_format(F.timestamp_millis(F.when(millis >= 10**14, millis / 1000).otherwise(millis).cast("long")), "yyyy-MM")
+    return archives.pack_archives(lines, name(month))
+
+
+def _trade_symbols(spark, sf_dir) -> DataFrame:
+    return load_views(spark, sf_dir)["spot_trades"].select(*KEYS).distinct()
+
+
+def archive_round_trip(spark, sf_dir):
+    """Spot trades zipped by symbol and month, unpacked, matched to symbols and parsed."""
+    pair = F.concat("asset_id_base", "asset_id_quote")
+    packed = _spot_archives(spark, sf_dir, lambda month: F.concat(F.lit("landing/"), pair, F.lit("-trades-"), month, F.lit(".zip")))
+    rows = archives.unpack(packed, layouts.LAYOUTS["trade"][0])
+    named = archives.symbols_from_path(archives.data_rows(rows, 0), _trade_symbols(spark, sf_dir))
+    parsed = layouts.parse_trades(named.withColumn(layouts.PERIOD, archives.archive_period()), "spot")
+    return tidy(parsed.drop(layouts.PERIOD))
+
+
+def archive_outcomes(spark, sf_dir):
+    """The report on archives of which some are cut short (March), fit no symbol (S4), fit two
+    (S3), or have not landed (S9, expected beside those that did)."""
+    base = F.when(F.col("asset_id_base") == "S4", F.lit("NONE")).otherwise(F.col("asset_id_base"))
+    pair = F.concat(base, "asset_id_quote")
+    packed = _spot_archives(spark, sf_dir, lambda month: F.concat(F.lit("landing/"), pair, F.lit("-trades-"), month, F.lit(".zip")))
+    half = F.expr("substring(content, 1, CAST(length / 2 AS INT))")
+    packed = packed.withColumn("content", F.when(F.col("path").like("%-03.zip"), half).otherwise(F.col("content")))
+    unpacked = scratch_path(spark, "unpacked")
+    archives.unpack(packed, layouts.LAYOUTS["trade"][0]).write.parquet(unpacked)
+    rows = spark.read.parquet(unpacked)
+    symbols = _trade_symbols(spark, sf_dir)
+    symbols = symbols.unionByName(symbols.where("asset_id_base = 'S3'").withColumn("exchange_id", F.lit("OTHER")))
+    landed = rows.where("status IS NOT NULL").select(F.element_at(F.split("path", "/"), -1).alias("archive"))
+    expected = landed.union(landed.select(F.regexp_replace("archive", r"^\w+USDT", "S9USDT"))).distinct()
+    report = archives.outcomes(rows, symbols, expected)
+    name = F.element_at(F.split("path", "/"), -1).alias("archive")
+    return report.select(name, "date", "symbol", "status", "rows")
+
+
 _QUERIES = (
     daily_trade_stats_spot,
     daily_trade_stats_futures,
@@ -474,6 +562,9 @@ _QUERIES = (
     write_csv_gz,
     write_metadata,
     ingest_stream_trades,
+    ingest_stream_two_batches,
+    archive_round_trip,
+    archive_outcomes,
 )
 
 

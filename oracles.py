@@ -12,6 +12,7 @@ AS_OF = "2000-06-15"  # target day of the single-day runs
 RUN_DATE = "2000-01-01"  # training date; scoring covers the days after it
 SCORING_RUN = "2000-01-20"  # a daily run after it; its target is the day before
 BAR_DAY = "2024-01-10"  # a day of the bars of events
+HOT_DAY = "2000-01-01"  # gets half of the futures trades in one query
 UNTIL = "2002-01-01"  # end of the load plans
 
 V = view_sql("duckdb")
@@ -98,10 +99,18 @@ def stats(trades: str) -> str:
 ID = ("date", *KEYS, "symbol_id")
 
 
-def stats_query(market: str) -> str:
+def hot_trades() -> str:
+    moved = f"CASE WHEN side = 'buy' THEN TIMESTAMP '{HOT_DAY}' ELSE \"timestamp\" END AS \"timestamp\""
+    return (
+        f"SELECT * REPLACE ({moved}, CASE WHEN side = 'buy' THEN 'S0' ELSE asset_id_base END AS asset_id_base)"
+        f" FROM ({V['futures_trades']}) m"
+    )
+
+
+def stats_query(market: str, trades: str | None = None) -> str:
     counts = ("num_buys", "num_sells")
     floats = [c for c in stats_columns() if c not in counts]
-    return select({**same(*ID, *counts), **rounded(*floats)}, stats(V[f"{market}_trades"]))
+    return select({**same(*ID, *counts), **rounded(*floats)}, stats(trades or V[f"{market}_trades"]))
 
 
 def ohlcv(bars: str, label: str = "start", scale: int = 2) -> str:
@@ -520,6 +529,36 @@ def marks(sql: str) -> str:
     return select({**same(*KEYS), **as_float(*MARKS)}, sql)
 
 
+def event_trades() -> str:
+    """Events as trades, each once at its own time."""
+    return (
+        "SELECT event_id AS trade_id, ts AS \"timestamp\", "
+        f"{r6('value')} AS price, CAST(1 AS DOUBLE) AS quantity, {r6('value')} AS quote_quantity,"
+        " CASE WHEN event_type = 'click' THEN 'buy' ELSE 'sell' END AS side,"
+        " concat('S', CAST(user_id % 3 AS VARCHAR)) AS asset_id_base,"
+        " 'USDT' AS asset_id_quote, 'BINANCE' AS exchange_id FROM events"
+    )
+
+
+def archive_report() -> str:
+    return f"""
+WITH made AS (
+    SELECT CASE asset_id_base WHEN 'S4' THEN 'NONE' ELSE asset_id_base END || asset_id_quote AS symbol,
+        strftime("timestamp", '%Y-%m') AS "date", count(*) AS n
+    FROM ({V['spot_trades']}) t GROUP BY ALL
+), landed AS (
+    SELECT symbol || '-trades-' || "date" || '.zip' AS archive, "date", symbol,
+        CASE WHEN "date" LIKE '%-03' THEN 'error' WHEN symbol = 'NONEUSDT' THEN 'unmatched'
+             WHEN symbol = 'S3USDT' THEN 'ambiguous' ELSE 'ok' END AS status,
+        CASE WHEN "date" LIKE '%-03' THEN 0 ELSE n END AS "rows"
+    FROM made
+)
+SELECT * FROM landed
+UNION ALL
+SELECT DISTINCT 'S9USDT-trades-' || "date" || '.zip', "date", 'S9USDT', 'missing', 0 FROM landed
+"""
+
+
 def all_sql() -> dict[str, str]:
     spot, futures = V["spot_trades"], V["futures_trades"]
     on_day = f"WHERE CAST(\"timestamp\" AS DATE) = DATE '{AS_OF}'"
@@ -543,7 +582,7 @@ def all_sql() -> dict[str, str]:
     return {
         "daily_trade_stats_spot": stats_query("spot"),
         "daily_trade_stats_futures": stats_query("futures"),
-        "daily_trade_stats_hot": stats_query("futures"),
+        "daily_trade_stats_hot": stats_query("futures", hot_trades()),
         "daily_ohlcv_spot": ohlcv_query("bars_1m", scale=6),
         "daily_ohlcv_spot_end_label": ohlcv_query("bars_1m", "end", 6),
         "daily_ohlcv_futures": ohlcv_query("futures_bars"),
@@ -645,11 +684,8 @@ def all_sql() -> dict[str, str]:
         "write_feed": metrics,
         "write_csv_gz": bars_query("bars_1m"),
         "write_metadata": marks(advanced()),
-        "ingest_stream_trades": (
-            "SELECT event_id AS trade_id, ts AS \"timestamp\", "
-            f"{r6('value')} AS price, CAST(1 AS DOUBLE) AS quantity, {r6('value')} AS quote_quantity,"
-            " CASE WHEN event_type = 'click' THEN 'buy' ELSE 'sell' END AS side,"
-            " concat('S', CAST(user_id % 3 AS VARCHAR)) AS asset_id_base,"
-            " 'USDT' AS asset_id_quote, 'BINANCE' AS exchange_id FROM events"
-        ),
+        "ingest_stream_trades": event_trades(),
+        "ingest_stream_two_batches": event_trades(),
+        "archive_round_trip": trades_query("spot_trades", {"is_best_match": "true"}),
+        "archive_outcomes": archive_report(),
     }

@@ -70,28 +70,87 @@ def skewed(spark, n_hot, n_cold):
     )
 
 
+def check_against_numpy(rows, got):
+    values = rows.toPandas()
+    for symbol, of in values.groupby("asset_id_base"):
+        for side, part in (("", of), ("buy_", of[of.side == "buy"]), ("sell_", of[of.side == "sell"])):
+            x = part.quote_quantity.to_numpy()
+            if not len(x):
+                continue
+            for name, p in (("10th_percentile", 10), ("median", 50), ("90th_percentile", 90)):
+                assert got[symbol][f"{name}_{side}dollar_volume"] == pytest.approx(np.percentile(x, p), rel=1e-12), (symbol, side)
+            assert got[symbol][f"avg_{side}dollar_volume"] == pytest.approx(x.mean(), rel=1e-12, abs=1e-12)
+            assert got[symbol][f"std_{side}dollar_volume"] == pytest.approx(x.std(), rel=1e-9, abs=1e-12)
+            if len(x) > 3 and x.std() > 0:
+                kurtosis = ((x - x.mean()) ** 4).mean() / x.var() ** 2 - 3
+                assert got[symbol][f"kurtosis_{side}dollar_volume"] == pytest.approx(kurtosis, rel=1e-8, abs=1e-8)
+
+
+def by_symbol(df):
+    return {r["asset_id_base"]: r.asDict() for r in daily_trade_stats(df).collect()}
+
+
 def test_large_symbol_day_is_exact(spark):
     rows = skewed(spark, 60_000, 5_000).persist()
-    got = {
-        r["asset_id_base"]: r.asDict()
-        for r in daily_trade_stats(rows, hot_rows=20_000).collect()
-    }
-    plain = {r["asset_id_base"]: r.asDict() for r in daily_trade_stats(rows, hot_rows=None).collect()}
-    assert got.keys() == plain.keys() and len(got) == 51
-    for symbol, want in plain.items():
-        for c, v in want.items():
-            assert got[symbol][c] == (pytest.approx(v, rel=1e-9) if isinstance(v, float) else v), (symbol, c)
-    values = rows.where("asset_id_base = 'HOT'").toPandas()
-    for side, part in (("", values), ("buy_", values[values.side == "buy"]), ("sell_", values[values.side == "sell"])):
+    got = by_symbol(rows)
+    assert len(got) == 51
+    check_against_numpy(rows, got)
+    rows.unpersist()
+
+
+@pytest.mark.parametrize(
+    "value",
+    [
+        "pow(10D, id % 600 - 300)",  # the whole range of exponents
+        "CASE WHEN id % 2 = 0 THEN -1D ELSE 1D END * (id % 977)",  # signs and zeros
+        "1000000D + id / 4096D",  # one cell
+        "CASE WHEN id % 50 = 0 THEN 3D ELSE 7D END",  # two values
+        "-5e-324 * (id % 3)",
+    ],
+)
+def test_selection_over_odd_values(spark, value):
+    rows = skewed(spark, 3_000, 300).withColumn("id", F.col("trade_id")).withColumn("quote_quantity", F.expr(value)).persist()
+    got = by_symbol(rows)
+    values = rows.toPandas()
+    for symbol, of in values.groupby("asset_id_base"):
         for name, p in (("10th_percentile", 10), ("median", 50), ("90th_percentile", 90)):
-            assert got["HOT"][f"{name}_{side}dollar_volume"] == pytest.approx(np.percentile(part.quote_quantity, p))
+            want = np.percentile(of.quote_quantity, p)
+            assert got[symbol][f"{name}_dollar_volume"] == pytest.approx(want, rel=1e-9), (symbol, name)
     rows.unpersist()
 
 
+def test_infinite_missing_and_unsided_values(rows):
+    inf = float("inf")
+    made = [(1.0, "buy"), (-inf, None), (inf, "buy"), (2.0, None), (3.0, "sell"), (None, "buy")]
+    table = rows(
+        schemas.FUTURES_TRADES,
+        *[{"trade_id": i, "timestamp": DAY, "quote_quantity": v, "side": s} for i, (v, s) in enumerate(made)],
+    )
+    got = one(daily_trade_stats(table))
+    assert got["median_dollar_volume"] == 2.0 and got["10th_percentile_dollar_volume"] == -inf
+    assert got["90th_percentile_dollar_volume"] == inf
+    assert (got["num_buys"], got["num_sells"], got["median_sell_dollar_volume"]) == (3, 1, 3.0)
+
+
+def test_day_without_values(rows):
+    got = one(daily_trade_stats(rows(schemas.FUTURES_TRADES, {"trade_id": 1, "timestamp": DAY, "side": "buy"})))
+    assert got["num_buys"] == 1 and got["median_dollar_volume"] is None and got["std_dollar_volume"] is None
+
+
+def test_statistics_read_the_trades_twice(spark, sf_dir):
+    from views import load_views
+
+    stats = daily_trade_stats(load_views(spark, sf_dir)["spot_trades"], exact_scale=2)
+    stats.collect()
+    plan = stats._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "collect_list" not in plan and plan.count("FileScan parquet") == 2
+
+
 def test_large_symbol_day_of_one_value(spark):
     rows = skewed(spark, 60_000, 100).withColumn("quote_quantity", F.lit(3.0))
-    got = daily_trade_stats(rows, hot_rows=20_000).where("asset_id_base = 'HOT'").first()
+    got = daily_trade_stats(rows).where("asset_id_base = 'HOT'").first()
     assert got["median_dollar_volume"] == got["10th_percentile_dollar_volume"] == 3.0
+    assert got["std_dollar_volume"] == 0 and got["kurtosis_dollar_volume"] is None
 
 
 def test_approximate_percentiles_are_close(spark):

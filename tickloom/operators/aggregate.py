@@ -8,17 +8,11 @@ from pyspark.sql import functions as F
 from tickloom.constants import PERCENTILES
 from tickloom.functions.scalar import KEYS
 from tickloom.functions.sqltext import adjusted_skewness, from_units, q, to_units
-from tickloom.operators.percentiles import (
-    HOT_ROWS,
-    SKETCH_ACCURACY,
-    hot_groups,
-    interpolated,
-    ranked_percentiles,
-    sorted_values,
-    split_hot,
-)
+from tickloom.operators.percentiles import percentiles
 
 SIDES = ("", "buy_", "sell_")
+# Rank error of the approximate form is rows / SKETCH_ACCURACY.
+SKETCH_ACCURACY = 10_000
 _PERCENTILE_NAMES = ("10th_percentile", "median", "90th_percentile")
 
 
@@ -90,65 +84,33 @@ def _moments(exact_scale: int | None) -> list[str]:
     return out
 
 
-def daily_trade_stats(
-    trades: DataFrame,
-    approx: bool = False,
-    exact_scale: int | None = None,
-    hot_rows: int | None = HOT_ROWS,
-) -> DataFrame:
+def daily_trade_stats(trades: DataFrame, approx: bool = False, exact_scale: int | None = None) -> DataFrame:
     """26 order-flow statistics per symbol and UTC day.
 
-    A symbol-day of ordinary size goes to one task: its slim rows are shuffled once, and
-    moments (generated code) and exact percentiles (ordered arrays) are two aggregations
-    over that same exchange.  Only their results, a row per symbol-day, are joined.
-
-    Symbol-days above ``hot_rows`` rows never meet in a task.  Their moments combine on
-    the map side and their percentiles take the rank-based way of
-    :mod:`tickloom.operators.percentiles`.  Which symbol-days those are is checked first,
-    by the row count and, if that is not conclusive, by one pass over the keys.
-    ``hot_rows=None`` skips the check, for inputs known to be even.
+    Moments combine on the map side; percentiles are selected by counts
+    (:mod:`tickloom.operators.percentiles`).  No task meets a symbol-day's rows, so one way
+    serves days of every size.
 
     ``approx=True`` swaps in mergeable sketches; ``exact_scale`` sums in fixed point.
     """
     day = trades.selectExpr("to_date(timestamp) AS date", *KEYS, "side", "quote_quantity")
     keys = ["date", *KEYS]
-    pct = {f"_p_{s}": _side_value(s) for s in SIDES}
-
     if approx:
         probs = ", ".join(str(p) for p in PERCENTILES)
-        sketches = [f"percentile_approx({x}, array({probs}), {SKETCH_ACCURACY}) AS {n}" for n, x in pct.items()]
+        sketches = [
+            f"percentile_approx({_side_value(s)}, array({probs}), {SKETCH_ACCURACY}) AS _p_{s}" for s in SIDES
+        ]
         return _finish(_aggregate(day, keys, [*_moments(exact_scale), *sketches]))
 
-    n_hot = 0
-    if hot_rows is not None and trades.count() > hot_rows:
-        hot = hot_groups(day, keys, hot_rows)
-        n_hot = hot.count()
-    if n_hot == 0:
-        return _finish(_small_groups(day, keys, pct, exact_scale))
-
-    cold_rows, hot_rows_df = split_hot(day, keys, hot, n_hot)
-    small = _small_groups(cold_rows, keys, pct, exact_scale)
-    moments = _aggregate(hot_rows_df, keys, _moments(exact_scale))
-    ranked = ranked_percentiles(hot_rows_df, keys, pct, PERCENTILES, n_hot)
-    return _finish(small.unionByName(_join_groups(moments, ranked, keys)))
+    sides = {s: f"side = '{s.rstrip('_')}'" if s else None for s in SIDES}
+    exact = percentiles(day, keys, "quote_quantity", sides, PERCENTILES)
+    return _finish(_join_groups(_aggregate(day, keys, _moments(exact_scale)), exact, keys))
 
 
 def _aggregate(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.expr(m) for m in measures])
 
 
-def _small_groups(day: DataFrame, keys: list[str], pct: dict[str, str], exact_scale: int | None) -> DataFrame:
-    # Values barely repeat, so combining before the shuffle would only cost: the rows are
-    # placed first (a subset of the group keys already places whole groups).
-    placed = day.repartition("date", "asset_id_base")
-    moments = _aggregate(placed, keys, _moments(exact_scale))
-    ordered = _aggregate(placed, keys, [f"{sorted_values(x)} AS {n}" for n, x in pct.items()])
-    exact = ordered.selectExpr(
-        *keys, *[f"array({', '.join(interpolated(n, p) for p in PERCENTILES)}) AS {n}" for n in pct]
-    )
-    return _join_groups(moments, exact, keys)
-
-
 def _join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Join two aggregates of the same rows; null-safe, as grouping treats nulls as one key."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})

@@ -1,205 +1,91 @@
-"""Exact interpolated percentiles per group, also when one group is huge.
+"""Exact interpolated percentiles per group by distributed selection.
 
-Sorting a group's values in one task is the fastest plan while groups are small, so it
-serves all groups up to ``hot_rows`` rows.  Larger groups go another, equally exact way in
-which no task ever holds a group:
+One way for groups of every size, of which no task ever holds one:
 
-1. a mergeable sketch gives, per wanted percentile, two values that enclose it;
-2. the rows below the lower value are only counted (map-side partial sums);
-3. the values between the two, about 0.1 % of the group, are pre-aggregated to
-   (value, count) and counted in equal steps; only the step or two that hold the wanted
-   ranks are ranked value by value, to find the order statistics to interpolate.
+1. Rows are counted per group and value, combining on the map side, and dealt by both, so
+   neither a large group nor a frequent value fills a task.
+2. A value's cell is its sign and its logarithm in CELLS steps an octave, an order-preserving
+   number, so cells hold disjoint ranges.  The counts per cell, running over the cells of a
+   group, tell which cells hold the wanted ranks.
+3. Only the values of those cells are ranked, each cell by itself: of a large group some
+   hundred-thousandth.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-# Hot groups number at most rows / hot_rows; up to this many are broadcast.
-BROADCAST_GROUPS = 20_000
-# Rank error of the sketch is rows / SKETCH_ACCURACY; the enclosing values are taken
-# this many errors to either side.
-SKETCH_ACCURACY = 10_000
-ENCLOSING_ERRORS = 4
-# Below this many values (one side of a large group may be small) a few sketch errors can
-# be less than one rank, so the extremes enclose instead; that is a bounded number of rows.
-SKETCH_MIN_VALUES = 25_000
-# Steps the enclosed values are divided into before any are ranked.
-CELLS = 4_096
-
-
-def sorted_values(x: str) -> str:
-    """Aggregate: the non-null values of ``x`` in order (for groups of bounded size)."""
-    return f"sort_array(collect_list({x}))"
-
-
-def interpolated(values: str, p: float) -> str:
-    """Continuous percentile ``p`` of an ordered array; null when it is empty."""
-    pos = f"({p}D * (size({values}) - 1))"
-    lo = f"CAST(floor({pos}) AS INT)"
-    share = f"({pos} - floor({pos}))"
-    return (
-        f"CASE WHEN {share} = 0D THEN get({values}, {lo})"
-        f" ELSE (1D - {share}) * get({values}, {lo}) + {share} * get({values}, {lo} + 1) END"
-    )
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).drop("_n")
+from tickloom.functions.sqltext import q
 
+#: Cells an octave.
+CELLS = 1 << 16
+# More than the cell of any number: a double's binary exponent is at least -1,074.
+_OFFSET = 1_100 * CELLS
+_INFINITE, _NAN = 1 << 40, 1 << 41
 
-def split_hot(
-    df: DataFrame, keys: Sequence[str], hot: DataFrame, n_hot: int
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary groups and rows of the ``n_hot`` groups listed in ``hot``.
 
-    A short list is broadcast; a longer one is joined by shuffle, where AQE splits the
-    skewed partitions.
-    """
-    listed = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-    if n_hot <= BROADCAST_GROUPS:
-        listed = F.broadcast(listed)
-    on = _same_group(df, keys)
-    return df.join(listed, on, "left_anti"), df.join(listed, on, "left_semi")
+def cell(x: str) -> str:
+    """Order-preserving cell number; NaN is above all numbers."""
+    size = f"CAST(floor(log2(abs({x})) * {CELLS}) AS BIGINT) + {_OFFSET}L"
+    return (
+        f"CASE WHEN isnan({x}) THEN {_NAN}L WHEN abs({x}) = DOUBLE('Infinity') THEN CAST(sign({x}) AS BIGINT) * {_INFINITE}L"
+        f" WHEN {x} > 0 THEN {size} WHEN {x} < 0 THEN -({size}) ELSE 0L END"
+    )
 
 
-def _same_group(df: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality, since grouping treats nulls as one key."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & df[k].eqNullSafe(F.col(f"_hot_{k}"))
-    return cond
+def _over(keys: Sequence[str], order: str | None = None) -> str:
+    by = f" ORDER BY {order}" if order else ""
+    return f"(PARTITION BY {', '.join(map(q, keys))}{by})"
 
 
-def _join_small(df: DataFrame, small: DataFrame, on: Sequence[str], n_groups: int) -> DataFrame:
-    """Null-safe join with a table of a few rows per large group."""
-    renamed = small.withColumnsRenamed({k: f"_s_{k}" for k in on})
-    if n_groups <= BROADCAST_GROUPS:
-        renamed = F.broadcast(renamed)
-    same = " AND ".join(f"`{k}` <=> `_s_{k}`" for k in on)
-    return df.join(renamed, F.expr(same), "inner").drop(*[f"_s_{k}" for k in on])
+def _match(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join in which null keys match, as they do in groups."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
+    same = " AND ".join(f"{q(k)} <=> {q(f'_r_{k}')}" for k in on)
+    return left.join(renamed, F.expr(same)).drop(*[f"_r_{k}" for k in on])
 
 
-def ranked_percentiles(
-    rows: DataFrame,
-    keys: Sequence[str],
-    columns: Mapping[str, str],
-    probs: Sequence[float],
-    n_groups: int,
+def percentiles(
+    rows: DataFrame, keys: Sequence[str], value: str, subsets: Mapping[str, str | None], probs: Sequence[float]
 ) -> DataFrame:
-    """``keys`` plus one array per entry of ``columns``, for few but large groups."""
-    df = rows.select(*keys, *[F.expr(x).alias(name) for name, x in columns.items()])
-    values = list(columns)
-    slots = [(v, i) for v in values for i in range(len(probs))]
-    margin = ENCLOSING_ERRORS / SKETCH_ACCURACY
-    low = [F.lit(max(0.0, p - margin)) for p in probs]
-    high = [F.lit(min(1.0, p + margin)) for p in probs]
-
-    def enclosing(v: str, edge: list[Column], extreme: Column) -> Column:
-        sketch = F.percentile_approx(v, F.array(*edge), SKETCH_ACCURACY)
-        few = F.count(F.col(v)) < SKETCH_MIN_VALUES
-        return F.when(few, F.array(*[extreme] * len(probs))).otherwise(sketch)
-
-    bounds = df.groupBy(*keys).agg(
-        *[enclosing(v, low, F.min(v)).alias(f"_low_{v}") for v in values],
-        *[enclosing(v, high, F.max(v)).alias(f"_high_{v}") for v in values],
-    )
-    renamed = bounds.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
-    if n_groups <= BROADCAST_GROUPS:
-        renamed = F.broadcast(renamed)
-    rows = df.join(renamed, _same_group(df, keys), "inner")
-
-    def lo(v: str, i: int) -> Column:
-        # The lowest percentiles start at the group's minimum, where nothing lies below.
-        return F.col(f"_low_{v}")[i]
-
-    below = rows.groupBy(*keys).agg(
-        *[F.count(F.col(v)).alias(f"_n_{v}") for v in values],
-        *[F.count_if(F.col(v) < lo(v, i)).alias(f"_below_{v}_{i}") for v, i in slots],
-    )
-    # One entry per percentile whose enclosing values the row lies between; most rows
-    # give none, so this is a narrow pass that emits about 0.1 % of the input.
-    inside = F.filter(
-        F.array(
-            *[
-                F.when(
-                    F.col(v).between(lo(v, i), F.col(f"_high_{v}")[i]),
-                    F.struct(F.lit(s).alias("slot"), F.col(v).alias("x")),
-                )
-                for s, (v, i) in enumerate(slots)
-            ]
-        ),
-        lambda e: e.isNotNull(),
-    )
-    near = (
-        rows.select(*keys, F.explode(inside).alias("e"))
-        .groupBy(*keys, F.col("e.slot").alias("_slot"), F.col("e.x").alias("_x"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    # One row per group and percentile: how many values lie below, and the position.
-    targets = below.select(
-        *keys,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(s).alias("_slot"),
-                        F.col(f"_below_{v}_{i}").alias("_below"),
-                        ((F.col(f"_n_{v}") - 1) * F.lit(float(probs[i]))).alias("_pos"),
-                    )
-                    for s, (v, i) in enumerate(slots)
-                ]
-            )
-        ),
-    )
-    span = near.groupBy(*keys, "_slot").agg(F.min("_x").alias("_first"), F.max("_x").alias("_last"))
-    at = [*keys, "_slot"]
-    placed = _join_small(near, _join_small(span, targets, at, n_groups), at, n_groups)
-    # Equal steps between the first and last near value: a bounded number of cells, whose
-    # counts tell which one or two hold the wanted ranks.  Only those are ranked row by row.
-    cell = F.when(
-        F.col("_last") > F.col("_first"),
-        F.least(
-            F.floor((F.col("_x") - F.col("_first")) / (F.col("_last") - F.col("_first")) * F.lit(float(CELLS))),
-            F.lit(CELLS - 1),
-        ),
-    ).otherwise(F.lit(0))
-    placed = placed.select(*at, "_x", "_c", "_below", "_pos", cell.cast("int").alias("_cell"))
-    upto_cell = Window.partitionBy(*at).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    cells = placed.groupBy(*at, "_below", "_pos", "_cell").agg(F.sum("_c").alias("_n")).select(
-        *at, "_pos", "_cell", "_n", (F.col("_below") + F.sum("_n").over(upto_cell)).alias("_end")
-    )
-    start = F.col("_end") - F.col("_n")
-    holds = [(start <= rank) & (rank < F.col("_end")) for rank in (F.floor("_pos"), F.ceil("_pos"))]
-    chosen = cells.where(holds[0] | holds[1]).select(*at, "_cell", "_pos", start.alias("_start"))
-    running = Window.partitionBy(*at, "_cell").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.col("_start") + F.sum("_c").over(running)
-    picked = (
-        _join_small(placed.select(*at, "_cell", "_x", "_c"), chosen, [*at, "_cell"], n_groups)
-        .select(*at, "_pos", "_x", upto.alias("_upto"))
-        .groupBy(*at, "_pos")
-        .agg(
-            F.min(F.when(F.col("_upto") > F.floor("_pos"), F.col("_x"))).alias("_x0"),
-            F.min(F.when(F.col("_upto") > F.ceil("_pos"), F.col("_x"))).alias("_x1"),
-        )
-    )
-    whole = F.floor("_pos") == F.ceil("_pos")
-    value = F.when(whole, F.col("_x0")).otherwise(
-        (F.ceil("_pos") - F.col("_pos")) * F.col("_x0") + (F.col("_pos") - F.floor("_pos")) * F.col("_x1")
-    )
-    checked = F.when(
-        F.col("_x0").isNull() | F.col("_x1").isNull(),
-        F.raise_error(F.lit("percentile outside its enclosing values")).cast("double"),
-    ).otherwise(value)
-    by_slot = picked.select(*keys, "_slot", checked.alias("_v")).groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_slot") == s, F.col("_v"))).alias(f"_v{s}") for s in range(len(slots))]
+    """Per group and subset (name -> condition on the row, None for all rows) an array
+    ``_p_{name}`` of the continuous percentiles of ``value``; its entries are null where the
+    subset has no value, and a group without any value has no row."""
+    group, cells_of = [q(k) for k in keys], [*keys, "_cell"]
+    counts = [f"count_if({c})" if c else "count(1)" for c in subsets.values()]
+    tags = range(len(counts))
+    # Zero has one sign here, as values are grouped.
+    values = (
+        rows.where(f"{value} IS NOT NULL")
+        .withColumn("_x", F.expr(f"{value} + 0D"))
+        .groupBy(*keys, "_x")
+        .agg(*[F.expr(f"{c} AS _n{t}") for t, c in enumerate(counts)])
+        .withColumn("_cell", F.expr(cell("_x")))
     )
-    out = [F.col(k) for k in keys]
-    for v in values:
-        mine = [F.col(f"_v{s}") for s, (name, _) in enumerate(slots) if name == v]
-        out.append(F.when(mine[0].isNotNull(), F.array(*mine)).alias(v))
-    return by_slot.select(*out)
+    ranks = [(t, i, f"({p}D * (_of{t} - 1))") for t in tags for i, p in enumerate(probs)]
+
+    counted = values.groupBy(*cells_of).agg(*[F.expr(f"sum(_n{t}) AS _n{t}") for t in tags])
+    running = [f"sum(_n{t}) OVER {_over(keys, '_cell')} AS _upto{t}" for t in tags]
+    totals = [f"sum(_n{t}) OVER {_over(keys)} AS _of{t}" for t in tags]
+    # Both ranks that are interpolated may lie in the cell.
+    holds = [f"_n{t} > 0 AND ceil({at}) >= _upto{t} - _n{t} AND floor({at}) < _upto{t}" for t, _, at in ranks]
+    chosen = counted.selectExpr("*", *running, *totals).where(" OR ".join(f"({h})" for h in holds))
+    before = [f"_upto{t} - _n{t} AS _before{t}" for t in tags]
+    chosen = chosen.selectExpr(*group, "_cell", *before, *[f"_of{t}" for t in tags])
+
+    upto = [f"_before{t} + sum(_n{t}) OVER {_over(cells_of, '_x')} AS _upto{t}" for t in tags]
+    ranked = _match(values, chosen, cells_of).selectExpr("*", *upto)
+    picked = [f"max(_of{t}) AS _of{t}" for t in tags]
+    for t, i, at in ranks:
+        for name, rank in (("lo", f"floor({at})"), ("hi", f"ceil({at})")):
+            held = f"_n{t} > 0 AND {rank} >= _upto{t} - _n{t} AND {rank} < _upto{t}"
+            picked.append(f"max(CASE WHEN {held} THEN _x END) AS _{name}{t}_{i}")
+    found = ranked.groupBy(*keys).agg(*[F.expr(x) for x in picked])
+    shown = {t: [] for t in tags}
+    for t, i, at in ranks:
+        share, lo, hi = f"({at} - floor({at}))", f"_lo{t}_{i}", f"_hi{t}_{i}"
+        shown[t].append(f"CASE WHEN {share} = 0D THEN {lo} ELSE (1D - {share}) * {lo} + {share} * {hi} END")
+    return found.selectExpr(*group, *[f"array({', '.join(shown[t])}) AS {q(f'_p_{s}')}" for t, s in enumerate(subsets)])

@@ -29,14 +29,9 @@ class ArchivesTooLarge(Exception):
     """Archives above the limit were left out."""
 
 
-def read_zip_csv(
-    spark: SparkSession, path: str, n_fields: int, content_limit: int = CONTENT_LIMIT
-) -> DataFrame:
-    """Text rows ``c0..`` of every ``*.zip`` below ``path``, and outcome rows.
-
-    ``status`` is null on a data row; on an archive's single outcome row it is ``ok``,
-    ``empty`` or ``error``, with the message in ``error`` and the row count in ``rows``.
-    """
+def scan_archives(spark: SparkSession, path: str, content_limit: int = CONTENT_LIMIT) -> DataFrame:
+    """``path``, ``length`` and ``content`` of every ``*.zip`` below ``path``; the content is
+    null above the limit."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.zip")
@@ -49,6 +44,16 @@ def read_zip_csv(
     large = files.where(F.col("length") > content_limit).select(
         "path", "length", F.lit(None).cast("binary").alias("content")
     )
+    return small.unionByName(large)
+
+
+def unpack(files: DataFrame, n_fields: int, content_limit: int = CONTENT_LIMIT) -> DataFrame:
+    """Text rows ``c0..`` of the archives in ``files``, and outcome rows.
+
+    ``status`` is null on a data row; on an archive's single outcome row it is ``ok``,
+    ``empty`` or ``error``, with the message in ``error`` and the row count in ``rows``.
+    Where the archives come from does not matter: a scan, a stream's batch, a table.
+    """
     fields = [f"c{i}" for i in range(n_fields)]
     schema = ", ".join(
         ["path string", *[f"{c} string" for c in fields], "status string", "error string", "rows bigint"]
@@ -63,7 +68,35 @@ def read_zip_csv(
                 else:
                     yield from _one_archive(source, content, fields)
 
-    return small.unionByName(large).mapInPandas(extract, schema)
+    return files.select("path", "length", "content").mapInPandas(extract, schema)
+
+
+def read_zip_csv(
+    spark: SparkSession, path: str, n_fields: int, content_limit: int = CONTENT_LIMIT
+) -> DataFrame:
+    """Text and outcome rows of every ``*.zip`` below ``path``."""
+    return unpack(scan_archives(spark, path, content_limit), n_fields, content_limit)
+
+
+def pack_archives(lines: DataFrame, path: Column) -> DataFrame:
+    """The reverse of :func:`unpack`: text rows ``c0..`` as zipped CSV archives, a row of
+    ``path``, ``length`` and ``content`` per distinct ``path``, lines in order.
+
+    An archive is one cell, so it meets in one task, like the file it stands for.
+    """
+    fields = [c for c in lines.columns if c.startswith("c") and c[1:].isdigit()]
+
+    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+            text = frame[fields].sort_values(fields).to_csv(header=False, index=False)
+            # A fixed time, so that the same rows give the same bytes.
+            archive.writestr(zipfile.ZipInfo("lines.csv", (2000, 1, 1, 0, 0, 0)), text, zipfile.ZIP_DEFLATED)
+        content = out.getvalue()
+        return pd.DataFrame([{"path": frame["path"].iloc[0], "length": len(content), "content": content}])
+
+    named = lines.select(path.alias("path"), *fields)
+    return named.groupBy("path").applyInPandas(pack, "path string, length long, content binary")
 
 
 def _outcome(path: str, status: str, error: str | None, rows: int, fields: list[str]) -> pd.DataFrame:
