@@ -250,6 +250,12 @@ def ml_features(spark, sf_dir):
     return tidy(_ml_features(spark, sf_dir))
 
 
+def order_check(spark, sf_dir):
+    """Symbols and days with more than one row, among the trades as they are."""
+    trades = load_views(spark, sf_dir)["spot_trades"]
+    return features.repeated_days(trades.select(symbol_id().alias("symbol_id"), F.to_date("timestamp").alias("date")))
+
+
 def forward_label(spark, sf_dir):
     made = features.returns_features(_days(spark, sf_dir), (7,), (30,))
     return tidy(training.forward_label(made))
@@ -542,6 +548,7 @@ _QUERIES = (
     interaction_features,
     rolling_zscore,
     ml_features,
+    order_check,
     forward_label,
     training_set,
     predictions,

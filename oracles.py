@@ -653,6 +653,10 @@ def all_sql() -> dict[str, str]:
         "ml_features": add_rz(
             add_interaction(add_trade(add_risk(add_returns(add_time(start())))))
         ).query(),
+        "order_check": (
+            f"SELECT {SYMBOL} AS symbol_id, CAST({ts} AS DATE) AS \"date\", count(*) AS \"rows\""
+            f" FROM ({spot}) t GROUP BY ALL HAVING count(*) > 1"
+        ),
         "forward_label": add_returns(start(), (7,), (30,))
         .add({"futures_forward_returns_7": f"lead(futures_returns_7, 7) {DAY}"})
         .query(),

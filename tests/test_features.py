@@ -73,6 +73,26 @@ def test_user_step(days):
 
 
 def test_rows_must_be_unique(days):
-    features.assert_sorted_unique(days)
-    with pytest.raises(ValueError, match="A_USDT_X|B_USDT_X"):
-        features.assert_sorted_unique(days.union(days.limit(1)))
+    assert features.repeated_days(days).count() == 0
+    twice = days.union(days.where("symbol_id = 'B_USDT_X' AND date = DATE'2024-01-05'"))
+    (found,) = features.repeated_days(twice).collect()
+    assert tuple(found) == ("B_USDT_X", dt.date(2024, 1, 5), 2)
+    assert features.build_features(days, [features.time_features]).count() == 2 * N
+    with pytest.raises(Exception, match="more than one row for B_USDT_X on 2024-01-05"):
+        features.build_features(twice, [features.time_features]).collect()
+
+
+def test_zscores_stay_in_the_engine(days):
+    made = features.build_features(days, features.feature_steps(None))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "InArrow" not in plan and "InPandas" not in plan
+
+
+def test_zscores_of_missing_and_infinite_values(spark):
+    x = [1.0, None, float("nan"), 3.0, float("inf"), 2.0, 2.0, 2.0, 2.0]
+    rows = [("S", dt.date(2024, 1, 1 + i), v, None) for i, v in enumerate(x)]
+    made = spark.createDataFrame(rows, "symbol_id string, date date, v double, nothing double")
+    got = series(features.rolling_zscore(made, ["v", "nothing"], (3, 4)), "S")
+    assert got.nothing_rz_3.isna().all()
+    assert got.v_rz_4[3] == pytest.approx(1 / 2**0.5) and got.v_rz_4[[0, 1, 2, 4, 5, 6, 7]].isna().all()
+    assert got.v_rz_3.isna().all()

@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.constants import CATEGORICAL_FEATURES
@@ -58,40 +57,38 @@ def place_by_symbol(df: DataFrame) -> DataFrame:
 def _with_zscores(df: DataFrame, wanted: Mapping[str, tuple[str, int]]) -> DataFrame:
     """Add ``name -> (column, frame length)`` z-scores, hundreds at a time.
 
-    As window expressions these are two sliding aggregates per column; past a few dozen
-    the generated code is too large to be compiled and each costs a microsecond per frame
-    row.  Here a symbol's days, a series bounded by the calendar, are one Arrow table and
-    each column is one vectorised pass over its frames.
-    """
-    schema = T.StructType([*df.schema.fields, *[T.StructField(c, T.DoubleType()) for c in wanted]])
-
-    def per_symbol(table: pa.Table) -> pa.Table:
-        table = table.sort_by("date")
-        for name, (column, n) in wanted.items():
-            z = _rolling_zscores(table[column].to_numpy().astype("float64"), n)
-            table = table.append_column(name, pa.array(z, type=pa.float64(), from_pandas=True))
-        return table
-
-    return df.groupBy("symbol_id").applyInArrow(per_symbol, schema)
-
-
-def _rolling_zscores(x: np.ndarray, n: int) -> np.ndarray:
-    """NaN marks a missing value, in and out.
+    As window expressions of the wide row these are sliding aggregates per column, past a few
+    dozen too large to be compiled.  Here the columns are rows of (column, value), so that a
+    handful of aggregates over frames of (symbol, column) serve all of them, and one array
+    per day brings the scores back.  Everything keeps the partitioning by symbol.
 
-    A frame without spread has no z-score, and neither has one whose spread is only
-    rounding error, such as a constant that was computed in different orders.
+    Missing and NaN values count as missing.  A frame without spread has no z-score, and
+    neither has one whose spread is only rounding error, such as a constant that was computed
+    in different orders.
     """
-    frames = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(n - 1, np.nan), x]), n)
-    seen = ~np.isnan(frames)
-    count = seen.sum(axis=1)
-    mean = np.where(seen, frames, 0.0).sum(axis=1) / np.maximum(count, 1)
-    spread = np.where(seen, frames - mean[:, None], 0.0)
-    std = np.sqrt((spread * spread).sum(axis=1) / np.maximum(count - 1, 1))
-    # Frames without values get 0 and 0, hence no spread.
-    low = np.where(count > 0, np.where(seen, frames, np.inf).min(axis=1), 0.0)
-    high = np.where(count > 0, np.where(seen, frames, -np.inf).max(axis=1), 0.0)
-    apart = (high - low) > NOISE * np.maximum(np.abs(high), np.abs(low))
-    return np.divide(x - mean, std, out=np.full(len(x), np.nan), where=apart & (std > 0))
+    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+    windows = list(dict.fromkeys(n for _, n in wanted.values()))
+    if not columns:
+        return df
+    values = ", ".join(f"CAST({q(c)} AS DOUBLE)" for c in columns)
+    long = df.selectExpr("symbol_id", "date", f"posexplode(array({values})) AS (_c, _v)")
+    long = long.selectExpr("symbol_id", "date", "_c", "CASE WHEN NOT isnan(_v) THEN _v END AS _v")
+    framed = []
+    for n in windows:
+        over = f"OVER {rows(n, 'symbol_id, _c')}"
+        framed += [f"{f}(_v) {over} AS _{f}_{n}" for f in ("avg", "stddev_samp", "min", "max")]
+    scores = []
+    for n in windows:
+        apart = f"_max_{n} - _min_{n} > {NOISE}D * greatest(abs(_max_{n}), abs(_min_{n}))"
+        scores.append(f"CASE WHEN {apart} AND _stddev_samp_{n} > 0 THEN (_v - _avg_{n}) / _stddev_samp_{n} END AS _z_{n}")
+    scored = long.selectExpr("*", *framed).selectExpr("symbol_id", "date", "_c", *scores)
+    entry = ", ".join(["_c", *[f"_z_{n}" for n in windows]])
+    days = scored.groupBy("symbol_id", "date").agg(F.expr(f"sort_array(collect_list(struct({entry}))) AS _scores"))
+    days = days.withColumnsRenamed({"symbol_id": "_symbol", "date": "_date"})
+    joined = df.join(days, F.expr("symbol_id <=> _symbol AND date <=> _date"), "left")
+    at = {c: i for i, c in enumerate(columns)}
+    new = [f"_scores[{at[c]}]._z_{n} AS {q(name)}" for name, (c, n) in wanted.items()]
+    return joined.selectExpr(*[q(c) for c in df.columns], *new)
 
 
 def _with(df: DataFrame, *new: str) -> DataFrame:
@@ -243,8 +240,9 @@ def rolling_zscore(
 
 
 def build_features(joined: DataFrame, steps: Sequence[Step]) -> DataFrame:
-    """Chain of steps over all symbols at once; a step is any DataFrame function."""
-    features = place_by_symbol(joined)
+    """Chain of steps over all symbols at once; a step is any DataFrame function.  Fails when
+    a symbol has two rows of one date."""
+    features = checked_order(place_by_symbol(joined))
     for step in steps:
         features = features.transform(step)
     return features
@@ -272,11 +270,20 @@ def feature_steps(
     return steps
 
 
-def assert_sorted_unique(df: DataFrame) -> None:
-    """Raise unless every symbol has at most one row per date.
+def repeated_days(df: DataFrame) -> DataFrame:
+    """Symbols and dates with more than one row, and how many.
 
     Distinct dates are what makes ordering by date well defined in every window.
     """
-    twice = df.groupBy("symbol_id", "date").count().where("count > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"more than one row for {twice[0]['symbol_id']} on {twice[0]['date']}")
+    return df.groupBy("symbol_id", "date").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+
+
+def checked_order(df: DataFrame) -> DataFrame:
+    """The rows, failing when a symbol has two of one date.
+
+    The check is an expression in the plan, over the windows' own partitioning and order, so
+    it costs no job of its own and cannot see other rows than the features do.
+    """
+    message = "concat('more than one row for ', symbol_id, ' on ', date)"
+    date = f"CASE WHEN {_lag('date', 1)} = date THEN raise_error({message}) ELSE date END AS date"
+    return df.selectExpr(*[date if c == "date" else q(c) for c in df.columns])

@@ -141,7 +141,6 @@ def make_features(
     stats = datasets.read_dataset(spark, trade_stats, date=day)
     active = universe.active_universe(spot_days.where(f"date = DATE'{day}'"), stats)
     joined = universe.spot_futures_join(spot_days, futures_days, active)
-    features.assert_sorted_unique(joined)
     flows = None
     if rolling_root is not None:
         flows = datasets.read_dataset(spark, rolling_root, start=first, end=day)
