@@ -71,8 +71,11 @@ def _with_zscores(df: DataFrame, wanted: Mapping[str, tuple[str, int]]) -> DataF
     if not columns:
         return df
     values = ", ".join(f"CAST({q(c)} AS DOUBLE)" for c in columns)
-    long = df.selectExpr("symbol_id", "date", f"posexplode(array({values})) AS (_c, _v)")
-    long = long.selectExpr("symbol_id", "date", "_c", "CASE WHEN NOT isnan(_v) THEN _v END AS _v")
+    # The day's other columns travel with its first value, so nothing is joined back.
+    whole = f"struct({', '.join(map(q, df.columns))})"
+    entries = f"transform(array({values}), (v, i) -> struct(i AS _c, v AS _v, IF(i = 0, {whole}, NULL) AS _row))"
+    long = df.selectExpr("symbol_id", "date", f"explode({entries}) AS _e")
+    long = long.selectExpr("symbol_id", "date", "_e._c", "CASE WHEN NOT isnan(_e._v) THEN _e._v END AS _v", "_e._row")
     framed = []
     for n in windows:
         over = f"OVER {rows(n, 'symbol_id, _c')}"
@@ -81,14 +84,14 @@ def _with_zscores(df: DataFrame, wanted: Mapping[str, tuple[str, int]]) -> DataF
     for n in windows:
         apart = f"_max_{n} - _min_{n} > {NOISE}D * greatest(abs(_max_{n}), abs(_min_{n}))"
         scores.append(f"CASE WHEN {apart} AND _stddev_samp_{n} > 0 THEN (_v - _avg_{n}) / _stddev_samp_{n} END AS _z_{n}")
-    scored = long.selectExpr("*", *framed).selectExpr("symbol_id", "date", "_c", *scores)
+    scored = long.selectExpr("*", *framed).selectExpr("symbol_id", "date", "_c", "_row", *scores)
     entry = ", ".join(["_c", *[f"_z_{n}" for n in windows]])
-    days = scored.groupBy("symbol_id", "date").agg(F.expr(f"sort_array(collect_list(struct({entry}))) AS _scores"))
-    days = days.withColumnsRenamed({"symbol_id": "_symbol", "date": "_date"})
-    joined = df.join(days, F.expr("symbol_id <=> _symbol AND date <=> _date"), "left")
+    days = scored.groupBy("symbol_id", "date").agg(
+        F.expr(f"sort_array(collect_list(struct({entry}))) AS _scores"), F.expr("first(_row, true) AS _row")
+    )
     at = {c: i for i, c in enumerate(columns)}
     new = [f"_scores[{at[c]}]._z_{n} AS {q(name)}" for name, (c, n) in wanted.items()]
-    return joined.selectExpr(*[q(c) for c in df.columns], *new)
+    return days.selectExpr(*[f"_row.{q(c)}" for c in df.columns], *new)
 
 
 def _with(df: DataFrame, *new: str) -> DataFrame:
