@@ -191,9 +191,84 @@ FROM digests LEFT JOIN known ON known.d = digest LEFT JOIN notices ON notices.do
 """
 
 
+#: Levels of a tree that the SQL unrolls: 3**13 leaves a source.
+_MERKLE_LEVELS = 13
+
+
+def _crc_sql(text: str) -> str:
+    """Bytes of ASCII text, each followed by eight shifts."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: list_prepend(ord(c), [-1, -1, -1, -1, -1, -1, -1, -1])))"
+    step = "CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}::BIGINT[]), lambda c, x: {step}), 4294967295)"
+
+
+def _tree_sql(name: str, leaves: str, group: str) -> str:
+    """CTEs of a forest: ``{name}_steps`` has, per leaf of ``leaves`` (group, place, h), its
+    siblings and places level by level, and ``{name}_roots`` the root of each group."""
+    out = [f"{name}0 AS (SELECT {group} AS g, place, h, count(*) OVER (PARTITION BY {group}) AS left_over FROM {leaves})"]
+    for n in range(_MERKLE_LEVELS):
+        out.append(
+            f"{name}{n + 1} AS (SELECT *, count(*) OVER (PARTITION BY g) AS left_over FROM ("
+            f"SELECT g, place // 3 AS place, sha256(string_agg(h, '' ORDER BY place)) AS h FROM {name}{n}"
+            f" WHERE left_over > 1 GROUP BY g, place // 3"
+            f" UNION ALL SELECT g, place, h FROM {name}{n} WHERE left_over = 1))"
+        )
+    runs = " UNION ALL ".join(
+        f"SELECT g, {n} AS level, place // 3 AS run, list(h ORDER BY place) AS hs FROM {name}{n}"
+        f" WHERE left_over > 1 GROUP BY g, place // 3"
+        for n in range(_MERKLE_LEVELS)
+    )
+    out.append(f"{name}_runs AS ({runs})")
+    out.append(
+        f"{name}_steps AS (SELECT l.g, l.place, list({{'hs': hs, 'at': l.place // CAST(pow(3, level) AS BIGINT) % 3 + 1}}"
+        f" ORDER BY level) AS steps FROM {name}0 l JOIN {name}_runs r ON r.g IS NOT DISTINCT FROM l.g"
+        f" AND r.run = l.place // CAST(pow(3, level + 1) AS BIGINT) GROUP BY l.g, l.place)"
+    )
+    out.append(f"{name}_roots AS (SELECT g, h AS root FROM {name}{_MERKLE_LEVELS})")
+    return ", ".join(out)
+
+
+def _merkle_sql() -> str:
+    def framed(x: str) -> str:
+        return f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(framed(x) for x in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    cut = "CASE WHEN even THEN replace(text, chr(10), '') ELSE text END"
+    return f"""
+WITH marked AS (
+    SELECT *, coalesce({_crc_sql('CAST(doc_id AS VARCHAR)')} % 2 = 0, false) AS even FROM documents
+), leaves AS (
+    SELECT doc_id, source, h, cut, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS place
+    FROM (SELECT doc_id, source, {leaf('text')} AS h, {leaf(cut)} AS cut FROM marked)
+), {_tree_sql('a', 'leaves', 'source')}, subroots AS (
+    SELECT 0 AS everything, g AS source, root AS h, row_number() OVER (ORDER BY encode(g) NULLS FIRST) - 1 AS place FROM a_roots
+), {_tree_sql('b', 'subroots', 'everything')}, joined AS (
+    SELECT l.doc_id, l.h AS leaf, l.cut, s.h AS subroot, t.root,
+        list_concat(coalesce(p.steps, []), coalesce(u.steps, [])) AS steps
+    FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source CROSS JOIN b_roots t
+    LEFT JOIN a_steps p ON p.g IS NOT DISTINCT FROM l.source AND p.place = l.place
+    LEFT JOIN b_steps u ON u.place = s.place
+), proofs AS (
+    SELECT doc_id, leaf, subroot, root,
+        sha256(array_to_string(flatten(list_transform(steps, lambda s: list_concat(s.hs[:s.at - 1], s.hs[s.at + 1:]))), '')) AS proof_sha256,
+        list_reduce(list_prepend({{'hs': [cut], 'at': 1::BIGINT}}, steps), lambda f, s: {{'hs': [sha256(array_to_string(
+            list_concat(list_append(s.hs[:s.at - 1], f.hs[1]), s.hs[s.at + 1:]), ''))], 'at': 1::BIGINT}}).hs[1] AS folded_root
+    FROM joined
+)
+SELECT *, folded_root = root AS verified FROM proofs
+"""
+
+
 def queries() -> dict:
     return {q.__name__: q for q in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_near_duplicates": _NEAR_SQL, "op5_exact_top_k": _TOP_SQL, "op10_licence_scan": _licence_sql()}
+    return {
+        "op4_near_duplicates": _NEAR_SQL,
+        "op5_exact_top_k": _TOP_SQL,
+        "op10_licence_scan": _licence_sql(),
+        "op11_merkle_manifest": _merkle_sql(),
+    }
