@@ -19,7 +19,7 @@ from tickloom.functions.scalar import KEYS, symbol_id
 from tickloom.operators import aggregate, cleaning, features, incremental, rolling, training, universe
 from tickloom.plans import jobs
 from tickloom.session import scratch_path
-from tickloom.sources import archives, datasets, layouts
+from tickloom.sources import archives, datasets, layouts, tables
 from tickloom.streaming.ingest import ingest_stream
 from views import load_views, raw_text
 
@@ -403,6 +403,52 @@ def write_metadata(spark, sf_dir):
     return tidy(datasets.read_metadata(spark, root))
 
 
+def append_replace(spark, sf_dir):
+    """Keyed rows inserted, then all rows with half of them corrected, then all once more,
+    which changes nothing; read back."""
+    trades = cleaning.dedupe_trades(load_views(spark, sf_dir)["spot_trades"])
+    root, keys = scratch_path(spark, "keyed"), ["trade_id", *KEYS]
+    tables.replace_rows(trades.where("side = 'sell'").withColumn("price", F.col("price") + 1), root, keys)
+    version = tables.replace_rows(trades, root, keys)
+    if tables.replace_rows(trades, root, keys) != version:
+        raise ValueError("writing the same rows again made a new version")
+    return tidy(tables.read_rows(spark, root, trades.schema))
+
+
+def exchange_listing(spark, sf_dir):
+    """The listing as exchange-information documents whose fields drift: flags as text in
+    some, entries with further fields in others; read back row by row."""
+    listed = load_views(spark, sf_dir)["listing"]
+    flags = ("isSpotTradingAllowed", "isMarginTradingAllowed")
+    entry = ["baseAsset || quoteAsset AS symbol", "baseAsset", "quoteAsset", *flags]
+    plain = listed.selectExpr("baseAsset", f"to_json(named_struct({_named(entry)})) AS e")
+    as_text = [*entry[:3], *[f"CAST({c} AS STRING) AS {c}" for c in flags], "array(named_struct('kind', 'PRICE', 'min', 0.01)) AS filters"]
+    drifted = listed.selectExpr("baseAsset", f"to_json(named_struct({_named(as_text)})) AS e")
+    odd = F.crc32(F.col("baseAsset").cast("binary")) % 2 == 1
+    entries = plain.where(~odd).unionByName(drifted.where(odd))
+    document = F.concat(F.lit('{"timezone":"UTC","symbols":['), F.array_join(F.collect_list("e"), ","), F.lit("]}"))
+    landed = scratch_path(spark, "listing")
+    entries.groupBy(F.pmod(F.xxhash64("baseAsset"), F.lit(64))).agg(document.alias("value")).select("value").write.text(landed)
+    return datasets.listing_symbols(spark.read.text(landed), "value")
+
+
+def _named(columns: list[str]) -> str:
+    """Arguments of ``named_struct`` from expressions with aliases."""
+    parts = [(c.split(" AS ")[-1], " AS ".join(c.split(" AS ")[:-1]) or c) for c in columns]
+    return ", ".join(f"'{name}', {x}" for name, x in parts)
+
+
+def advance_marks(spark, sf_dir):
+    """The daily job on stored trades and metadata: marks moved to the newest trade, read from
+    the days since the earliest mark and the folders of symbols without one."""
+    views = load_views(spark, sf_dir)
+    raw, root = scratch_path(spark, "raw"), scratch_path(spark, "metadata")
+    datasets.write_raw(views["spot_trades"], raw, "timestamp")
+    datasets.write_metadata(views["symbol_meta"], root)
+    jobs.advance_marks(spark, root, raw, "trade")
+    return tidy(datasets.read_metadata(spark, root))
+
+
 def ingest_stream_trades(spark, sf_dir):
     """Events as a trade feed that repeats every trade a minute later, streamed into day
     folders; the earliest of each pair is kept."""
@@ -568,6 +614,9 @@ _QUERIES = (
     write_feed,
     write_csv_gz,
     write_metadata,
+    append_replace,
+    exchange_listing,
+    advance_marks,
     ingest_stream_trades,
     ingest_stream_two_batches,
     archive_round_trip,

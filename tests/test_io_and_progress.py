@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from tickloom import schemas
 from tickloom.operators import incremental, universe
+from tickloom.plans import jobs
 from tickloom.session import scratch_root
-from tickloom.sources import datasets
+from tickloom.sources import datasets, tables
 
 
 def daily(rows, *days):
@@ -108,3 +109,62 @@ def test_scratch_is_the_named_folder(spark):
 def test_unknown_unit(spark):
     with pytest.raises(ValueError):
         incremental.load_plan(None, "trade", "week", "2024-01-01")
+
+
+def test_keyed_rows_replace_and_insert(spark, tmp_path):
+    root, schema = str(tmp_path / "keyed"), "k long, v string, w double"
+    write = lambda *rows: tables.replace_rows(spark.createDataFrame(list(rows), schema), root, ["k"], buckets=4)
+    held = lambda: sorted(
+        map(tuple, tables.read_rows(spark, root, spark.createDataFrame([], schema).schema).collect()), key=str
+    )
+    assert held() == []
+    assert write((1, "a", 1.0), (2, "b", None), (None, "n", 0.0), (2, "c", 9.0)) == 1
+    assert held() == [(1, "a", 1.0), (2, "b", None), (None, "n", 0.0)]
+    assert write((2, "b", None), (1, "a", 1.0)) == 1  # nothing differs
+    assert write((1, "z", None), (None, "m", 0.0), *[(i, "new", 1.0) for i in range(10, 30)]) == 2
+    want = [(1, "z", None), (2, "b", None), (None, "m", 0.0), *[(i, "new", 1.0) for i in range(10, 30)]]
+    assert held() == sorted(want, key=str)
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    root = tmp_path / "keyed"
+    rows = spark.range(200).selectExpr("id AS k", "'a' AS v")
+    tables.replace_rows(rows, str(root), ["k"], buckets=8)
+    tables.replace_rows(rows.where("k = 5").selectExpr("k", "'b' AS v"), str(root), ["k"], buckets=8)
+    assert len(list((root / "written=1").glob("_bucket=*"))) == 8
+    assert len(list((root / "written=2").glob("_bucket=*"))) == 1
+    # A write that died before its manifest is not seen, and the next one replaces it.
+    (root / "manifest" / "version=00000002" / "_SUCCESS").unlink()
+    held = tables.read_rows(spark, str(root), rows.schema)
+    assert held.where("v = 'b'").count() == 0 and held.count() == 200
+
+
+def test_listing_with_drifted_fields(spark):
+    documents = [
+        ('{"symbols": [{"symbol": "AB", "baseAsset": "A", "quoteAsset": "B", "isSpotTradingAllowed": "true"}]}',),
+        ('{"symbols": [{"baseAsset": 7, "isSpotTradingAllowed": "perhaps", "new": {"x": [1]}}, {}]}',),
+        ('{"other": 1}',),
+        ("no json",),
+        (None,),
+    ]
+    got = datasets.listing_symbols(spark.createDataFrame(documents, "value string"), "value").collect()
+    want = [("AB", "A", "B", True, None), (None, "7", None, None, None), (None,) * 5]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_marks_read_only_later_folders(spark, rows, tmp_path):
+    raw = str(tmp_path / "raw")
+    times = {"A": range(1, 9), "B": range(1, 4)}
+    made = [
+        {"asset_id_base": s, "trade_id": d, "timestamp": dt.datetime(2024, 1, d, 12), "side": "buy"} for s, days in times.items() for d in days
+    ]
+    datasets.write_raw(rows(schemas.FUTURES_TRADES, *made), raw, "timestamp")
+    day6 = int(dt.datetime(2024, 1, 6, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    held = rows(schemas.METADATA, {"asset_id_base": "A", "trade_data_end": day6}, {"asset_id_base": "B"})
+    marks = jobs.new_marks(held, datasets.read_dataset(spark, raw), "trade")
+    noon = lambda d: int(dt.datetime(2024, 1, d, 12, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    assert {r["asset_id_base"]: r["high_water"] for r in marks.collect()} == {"A": noon(8), "B": noon(3)}
+    plan = marks._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan parquet" in line]
+    assert any("date" in x.split("PartitionFilters:")[1].split("]")[0] for x in scans)
+    assert all("symbol_id" in x.split("PartitionFilters:")[1] or "date" in x.split("PartitionFilters:")[1] for x in scans)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.constants import DERIVATIVE_QUOTE_ASSETS, LOOKBACK_DAYS, SPOT_QUOTE_ASSET, TRAINING_DAYS
+from tickloom.functions.scalar import ms_to_ts, symbol_id
 from tickloom.operators import aggregate, cleaning, features, incremental, rolling, training, universe
 from tickloom.session import scratch_path
 from tickloom.sources import archives, datasets, layouts
@@ -82,12 +83,28 @@ def ingest(
 
 def advance_marks(spark: SparkSession, metadata: str, raw: str, dataset: str) -> str:
     """Move the end marks of ``dataset`` to the newest raw row per symbol."""
-    at = "time_period_end" if dataset in BARS else "timestamp"
-    marks = incremental.high_water(datasets.read_dataset(spark, raw), at)
     held = datasets.read_metadata(spark, metadata)
+    marks = new_marks(held, datasets.read_dataset(spark, raw), dataset)
     return datasets.write_metadata(incremental.advance_high_water(held, marks, dataset), metadata)
 
 
+def new_marks(held: DataFrame, raw: DataFrame, dataset: str) -> DataFrame:
+    """Newest raw time per symbol, from the folders that can hold it.
+
+    Marks never move back, so of symbols that have one only the days from the earliest mark on
+    are read, a filter on the ``date`` folders; of those without, only their own folders.
+    """
+    at, mark = "time_period_end" if dataset in BARS else "timestamp", f"{dataset}_data_end"
+    earliest = held.agg(F.to_date(ms_to_ts(F.min(mark)))).first()[0]
+    unmarked = held.where(F.col(mark).isNull()).select(symbol_id().alias("symbol_id"))
+    new = raw.join(unmarked, "symbol_id", "left_semi")
+    if earliest is not None:
+        # A row may be filed in the day before or after its own.
+        later = raw.where(F.col("date") >= F.lit(earliest - timedelta(days=1)))
+        new = later.unionByName(new)
+    return incremental.high_water(new, at)
+
+
 def _raw_day(spark: SparkSession, raw: str, at: str, day: str) -> DataFrame:
     """Raw rows of a day; an archive's first and last rows may lie in a neighbouring day, so
     the folders beside are read too, where the time range skips nearly everything."""

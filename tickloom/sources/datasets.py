@@ -113,7 +113,7 @@ def run_statements(spark: SparkSession, statements: Sequence[str]) -> None:
 # --- metadata --------------------------------------------------------------------
 
 
-def _versions(spark: SparkSession, root: str, key: str, done: str = "_SUCCESS") -> list[str]:
+def versions(spark: SparkSession, root: str, key: str, done: str = "_SUCCESS") -> list[str]:
     """Values of ``key=`` folders below ``root`` that were written completely."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
@@ -133,7 +133,7 @@ def write_metadata(df: DataFrame, root: str) -> str:
 
     Readers take the newest complete version, so the one being read is never overwritten.
     """
-    last = _versions(df.sparkSession, root, "version")
+    last = versions(df.sparkSession, root, "version")
     path = f"{root}/version={int(last[-1]) + 1 if last else 1:08d}"
     # One row per listed symbol: a few thousand rows, one file.
     df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
@@ -142,8 +142,8 @@ def write_metadata(df: DataFrame, root: str) -> str:
 
 def read_metadata(spark: SparkSession, root: str) -> DataFrame:
     """Newest complete version of the metadata; a plain JSON-lines file also works."""
-    versions = _versions(spark, root, "version")
-    path = f"{root}/version={versions[-1]}" if versions else root
+    known = versions(spark, root, "version")
+    path = f"{root}/version={known[-1]}" if known else root
     return spark.read.schema(schemas.METADATA).json(path)
 
 
@@ -153,6 +153,19 @@ def read_exchange_symbols(spark: SparkSession, path: str) -> DataFrame:
     return info.select(F.explode("symbols").alias("s")).select("s.*")
 
 
+def listing_symbols(documents: DataFrame, column: str) -> DataFrame:
+    """The ``symbols`` of exchange-information documents held as JSON text, one row each.
+
+    Read as variants, so a field that is missing, new, or of another type (a flag as text)
+    does not lose its document; a value that cannot be read is null.
+    """
+    parsed = documents.selectExpr(f"try_parse_json({column}) AS _document")
+    symbols = parsed.selectExpr("explode(try_variant_get(_document, '$.symbols', 'array<variant>')) AS _s")
+    return symbols.selectExpr(
+        *[f"try_variant_get(_s, '$.{f.name}', '{f.dataType.simpleString()}') AS {f.name}" for f in schemas.LISTING.fields]
+    )
+
+
 # --- models and predictions ------------------------------------------------------
 
 
@@ -180,7 +193,7 @@ def latest_model_date(spark: SparkSession, root: str, run_date: str) -> str | No
 
     Training is monthly and scoring daily, so most days have no model of their own.
     """
-    dates = [d for d in _versions(spark, root, "date", done="metadata/_SUCCESS") if d <= run_date]
+    dates = [d for d in versions(spark, root, "date", done="metadata/_SUCCESS") if d <= run_date]
     return dates[-1] if dates else None
 
 
