@@ -439,13 +439,13 @@ def _named(columns: list[str]) -> str:
 
 
 def advance_marks(spark, sf_dir):
-    """The daily job on stored trades and metadata: marks moved to the newest trade, read from
-    the days since the earliest mark and the folders of symbols without one."""
+    """The daily job on stored bars and metadata: marks moved to the newest bar, read from the
+    days since the earliest mark and the folders of symbols without one."""
     views = load_views(spark, sf_dir)
     raw, root = scratch_path(spark, "raw"), scratch_path(spark, "metadata")
-    datasets.write_raw(views["spot_trades"], raw, "timestamp")
+    datasets.write_raw(views["bars_1m"], raw, "time_period_start")
     datasets.write_metadata(views["symbol_meta"], root)
-    jobs.advance_marks(spark, root, raw, "trade")
+    jobs.advance_marks(spark, root, raw, "candle")
     return tidy(datasets.read_metadata(spark, root))
 
 

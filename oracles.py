@@ -494,16 +494,16 @@ def first_month(mark: str, later: int) -> str:
     return f"date_trunc('month', make_timestamp({mark} * 1000)) + INTERVAL {later} MONTH"
 
 
-def hw(market: str = "futures") -> str:
-    return f'SELECT {KEY_LIST}, epoch_ms(max("timestamp")) AS high_water FROM ({V[f"{market}_trades"]}) t GROUP BY {KEY_LIST}'
+def hw(source: str = "futures_trades", at: str = "timestamp") -> str:
+    return f'SELECT {KEY_LIST}, epoch_ms(max("{at}")) AS high_water FROM ({V[source]}) t GROUP BY {KEY_LIST}'
 
 
-def advanced(moved: str = "futures_trade_data_end", market: str = "futures") -> str:
+def advanced(moved: str = "futures_trade_data_end", *source: str) -> str:
     kept = ", ".join(f"m.{c}" for c in (*KEYS, *[x for x in MARKS if x != moved]))
     on = " AND ".join(f"m.{k} = h.{k}" for k in KEYS)
     return (
         f"SELECT {kept}, greatest(m.{moved}, h.high_water) AS {moved}"
-        f" FROM ({V['symbol_meta']}) m LEFT JOIN ({hw(market)}) h ON {on}"
+        f" FROM ({V['symbol_meta']}) m LEFT JOIN ({hw(*source)}) h ON {on}"
     )
 
 
@@ -692,7 +692,7 @@ def all_sql() -> dict[str, str]:
             "SELECT baseAsset || quoteAsset AS symbol, baseAsset, quoteAsset, isSpotTradingAllowed,"
             f" isMarginTradingAllowed FROM ({V['listing']}) l"
         ),
-        "advance_marks": marks(advanced("trade_data_end", "spot")),
+        "advance_marks": marks(advanced("candle_data_end", "bars_1m", "time_period_end")),
         "ingest_stream_trades": event_trades(),
         "ingest_stream_two_batches": event_trades(),
         "archive_round_trip": trades_query("spot_trades", {"is_best_match": "true"}),
