@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ import oracles
 from tickloom import schemas
 from tickloom.constants import PREDICTION
 from tickloom.functions.scalar import KEYS, symbol_id
-from tickloom.operators import aggregate, cleaning, features, incremental, rolling, training, universe
+from tickloom.operators import aggregate, cleaning, features, incremental, rolling, training, transformers, universe
 from tickloom.plans import jobs
 from tickloom.session import scratch_path
 from tickloom.sources import archives, datasets, layouts, tables
@@ -267,6 +268,18 @@ def training_set(spark, sf_dir):
     return tidy(training.training_set(made, oracles.RUN_DATE))
 
 
+def user_transformer(spark, sf_dir):
+    """A step fitted per symbol on the days before the run date, saved, loaded and applied to
+    every day."""
+    days = _joined(spark, sf_dir)
+    columns = ["close_spot", "volume_spot", "close_futures"]
+    scaler = transformers.SymbolScaler(inputCols=columns, outputCols=[f"{c}_scaled" for c in columns])
+    path = scratch_path(spark, "steps")
+    Pipeline(stages=[scaler]).fit(days.where(f"date < DATE'{oracles.RUN_DATE}'")).save(path)
+    made = PipelineModel.load(path).transform(days)
+    return tidy(made.select("symbol_id", "date", *[f"{c}_scaled" for c in columns]))
+
+
 def predictions(spark, sf_dir):
     """Train on the 730 days before the run date, then score every row after it."""
     steps = features.feature_steps(None)
@@ -360,11 +373,11 @@ def write_partitions(spark, sf_dir):
 
 
 def write_by_date(spark, sf_dir):
-    """Daily bars written by date alone, one day read back."""
+    """Daily bars written by date alone, all read back."""
     daily = aggregate.daily_ohlcv(load_views(spark, sf_dir)["bars_1m"], exact_scale=6)
     root = scratch_path(spark, "by-date")
     datasets.write_partitions(daily, root, ["date"], sort_by=["symbol_id"])
-    return tidy(datasets.read_dataset(spark, root, date=oracles.BAR_DAY).select(*daily.columns))
+    return tidy(datasets.read_dataset(spark, root).select(*daily.columns))
 
 
 def write_raw(spark, sf_dir):
@@ -597,6 +610,7 @@ _QUERIES = (
     order_check,
     forward_label,
     training_set,
+    user_transformer,
     predictions,
     predict_day,
     next_start,

@@ -11,7 +11,6 @@ from views import view_sql
 AS_OF = "2000-06-15"  # target day of the single-day runs
 RUN_DATE = "2000-01-01"  # training date; scoring covers the days after it
 SCORING_RUN = "2000-01-20"  # a daily run after it; its target is the day before
-BAR_DAY = "2024-01-10"  # a day of the bars of events
 HOT_DAY = "2000-01-01"  # gets half of the futures trades in one query
 UNTIL = "2002-01-01"  # end of the load plans
 
@@ -528,6 +527,17 @@ def marks(sql: str) -> str:
     return select({**same(*KEYS), **as_float(*MARKS)}, sql)
 
 
+def scaled(*columns: str) -> str:
+    """Distance from the mean before the run date in standard deviations, per symbol."""
+    fitted = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in columns)
+    shown = {c: f"({c} - m_{c}) / nullif(s_{c}, 0)" for c in columns}
+    body = ", ".join(f"{r6(x)} AS {c}_scaled" for c, x in shown.items())
+    return (
+        f'SELECT j.symbol_id, j."date", {body} FROM ({joined()}) j LEFT JOIN (SELECT symbol_id, {fitted}'
+        f" FROM ({joined()}) k WHERE \"date\" < DATE '{RUN_DATE}' GROUP BY symbol_id) f ON f.symbol_id = j.symbol_id"
+    )
+
+
 def event_trades() -> str:
     """Events as trades, each once at its own time."""
     return (
@@ -660,6 +670,7 @@ def all_sql() -> dict[str, str]:
         .add({"futures_forward_returns_7": f"lead(futures_returns_7, 7) {DAY}"})
         .query(),
         "training_set": training(),
+        "user_transformer": scaled("close_spot", "volume_spot", "close_futures"),
         "predict_day": (
             f'SELECT symbol_id, "date", true AS finite FROM ({joined()}) j'
             f" WHERE close_futures IS NOT NULL AND \"date\" = DATE '{SCORING_RUN}' - INTERVAL 1 DAY"
@@ -680,9 +691,7 @@ def all_sql() -> dict[str, str]:
         "missing_symbols": absent(),
         "extend_metadata": marks(extended()),
         "write_partitions": ohlcv_query("bars_1m", scale=6),
-        "write_by_date": (
-            f"SELECT * FROM ({ohlcv_query('bars_1m', scale=6)}) d WHERE \"date\" = DATE '{BAR_DAY}'"
-        ),
+        "write_by_date": ohlcv_query("bars_1m", scale=6),
         "write_raw": bars_query("bars_1m"),
         "write_feed": metrics,
         "write_csv_gz": bars_query("bars_1m"),

@@ -5,6 +5,7 @@ import pytest
 
 from tickloom.constants import LABEL, PREDICTION
 from tickloom.operators import features, training
+from tickloom.operators.transformers import SymbolScaler
 from tickloom.sources import datasets
 
 N = 120
@@ -80,3 +81,31 @@ def test_unseen_symbol_is_scored(spark, made):
 def test_no_model_yet(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         datasets.load_model(spark, str(tmp_path), "2024-01-01")
+
+
+def test_fitted_steps_are_kept_with_the_model(spark, made, tmp_path):
+    root, run = str(tmp_path / "models"), "2023-12-01"
+    scaler = SymbolScaler(inputCols=["spot_returns_7", "volume_spot"], outputCols=["a", "b"])
+    model = training.train(made, run, trees=2, steps=[scaler])
+    assert {"a", "b"} <= set(training.model_inputs(model))
+    datasets.save_model(model, root, run)
+    loaded = datasets.load_model(spark, root, run)
+    later = made.where("date >= DATE'2023-12-01'")
+    scored = lambda m: sorted(map(tuple, training.predict(later, m).collect()))
+    assert scored(loaded) == scored(model) and len(scored(loaded)) > 0
+    # The state is that of the training window, whatever is scored.
+    steps, _ = training.split_stages(loaded)
+    window = training.with_futures(training.training_window(made, run)).where("symbol_id = 'A_USDT_X'").toPandas()
+    got = steps.transform(training.with_futures(later)).where("symbol_id = 'A_USDT_X'").toPandas()
+    want = (got.volume_spot - window.volume_spot.mean()) / window.volume_spot.std()
+    np.testing.assert_allclose(got.b, want, rtol=1e-9)
+
+
+def test_scaler_of_odd_rows(spark):
+    rows = [("A", 1.0), ("A", 3.0), ("A", float("nan")), ("B", 2.0), (None, 5.0), (None, 7.0)]
+    fitted = SymbolScaler(inputCols=["x"], outputCols=["z"]).fit(spark.createDataFrame(rows, "symbol_id string, x double"))
+    new = spark.createDataFrame([("A", 4.0), ("A", None), ("B", 2.0), ("C", 1.0), (None, 6.0)], "symbol_id string, x double")
+    got = {(r["symbol_id"], r["x"]): r["z"] for r in fitted.transform(new).collect()}
+    assert got.pop(("A", 4.0)) == pytest.approx(2**0.5)
+    assert got == {("A", None): None, ("B", 2.0): None, ("C", 1.0): None, (None, 6.0): 0.0}
+    assert fitted.transform(new.limit(0)).count() == 0

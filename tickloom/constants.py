@@ -93,14 +93,8 @@ EXCHANGE_ID = "BINANCE"
 CATEGORICAL_FEATURES = ("symbol_id", "day_of_week", "month", "day_of_month")
 NON_NUMERIC_FEATURES = (
     "asset_id_base",
-    "asset_id_base_x",
-    "asset_id_base_y",
     "asset_id_quote",
-    "asset_id_quote_x",
-    "asset_id_quote_y",
     "exchange_id",
-    "exchange_id_x",
-    "exchange_id_y",
 )
 NON_MODEL_FEATURES = (
     "open_spot",
@@ -111,7 +105,6 @@ NON_MODEL_FEATURES = (
     "high_futures",
     "low_futures",
     "close_futures",
-    "time_period_end",
     "date",
 )
 # A column whose name holds one of these is left out of the model ...

@@ -8,7 +8,10 @@ One way for groups of every size, of which no task ever holds one:
    number, so cells hold disjoint ranges.  The counts per cell, running over the cells of a
    group, tell which cells hold the wanted ranks.
 3. Only the values of those cells are ranked, each cell by itself: of a large group some
-   hundred-thousandth.
+   ten-thousandth.
+
+So a task meets at most the cells of a group (CELLS for each doubling between its smallest and
+largest value, however many rows) or the different values of a cell.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.sqltext import q
 
 #: Cells an octave.
-CELLS = 1 << 16
+CELLS = 1 << 12
 # More than the cell of any number: a double's binary exponent is at least -1,074.
 _OFFSET = 1_100 * CELLS
 _INFINITE, _NAN = 1 << 40, 1 << 41

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+from collections.abc import Sequence
+
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
+from pyspark.ml.feature import Imputer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,15 +58,29 @@ def training_set(features: DataFrame, run_date: str, days: int = TRAINING_DAYS)
     The label looks ahead within the window only, so nothing after it leaks in.  The date
     filter reaches the scan as a partition filter.
     """
-    run = F.lit(run_date).cast("date")
-    window = features.where((F.col("date") >= F.date_sub(run, days)) & (F.col("date") < run))
+    window = training_window(features, run_date, days)
     labelled = forward_label(with_futures(window)).where(F.col(LABEL).isNotNull())
     return labelled.select(*[q(c) for c in labelled.columns if c == LABEL or not left_out(c)])
 
 
-def train(features: DataFrame, run_date: str, force: bool = False, trees: int | None = None) -> PipelineModel | None:
+def training_window(features: DataFrame, run_date: str, days: int = TRAINING_DAYS) -> DataFrame:
+    """Rows of the ``days`` before ``run_date``; a partition filter where ``date`` is a folder."""
+    run = F.lit(run_date).cast("date")
+    return features.where((F.col("date") >= F.date_sub(run, days)) & (F.col("date") < run))
+
+
+def train(
+    features: DataFrame,
+    run_date: str,
+    force: bool = False,
+    trees: int | None = None,
+    steps: Sequence[Estimator | Transformer] = (),
+) -> PipelineModel | None:
     """Boosted trees on the training set; only on the first of a month unless forced.
 
+    ``steps`` are fitted on the rows of the training window, in order, before the inputs are
+    chosen; they open the pipeline that is returned, so scoring applies them as fitted.
+
     Boosting reads its input once per tree level, so the assembled set is checkpointed
     once and every pass starts from there, also after losing executors.
     """
@@ -72,7 +88,8 @@ def train(features: DataFrame, run_date: str, force: bool = False, trees: int |
         return None
     spark = features.sparkSession
     ensure_checkpoint_dir(spark)
-    data = training_set(features, run_date).checkpoint()
+    fitted = Pipeline(stages=list(steps)).fit(with_futures(training_window(features, run_date)))
+    data = training_set(fitted.transform(with_futures(features)), run_date).checkpoint()
 
     categorical = [c for c in CATEGORICAL_FEATURES if c in data.columns]
     numeric = [
@@ -105,20 +122,28 @@ def train(features: DataFrame, run_date: str, force: bool = False, trees: int |
             maxBins=max(32, *[seen[c] + 1 for c in categorical]),
         ),
     ]
-    return Pipeline(stages=stages).fit(data.select(*categorical, *[F.col(q(c)).cast("double").alias(c) for c in numeric], LABEL))
+    inner = Pipeline(stages=stages).fit(data.select(*categorical, *[F.col(q(c)).cast("double").alias(c) for c in numeric], LABEL))
+    return PipelineModel([*fitted.stages, *inner.stages])
+
+
+def split_stages(model: PipelineModel) -> tuple[PipelineModel, PipelineModel]:
+    """The user's fitted steps and the model proper, which begins with its indexer."""
+    first = next(i for i, s in enumerate(model.stages) if isinstance(s, StringIndexerModel))
+    return PipelineModel(model.stages[:first]), PipelineModel(model.stages[first:])
 
 
 def model_inputs(model: PipelineModel) -> list[str]:
     """Columns the model reads, in order; kept with the pipeline itself."""
-    indexer, imputer = model.stages[0], model.stages[1]
+    indexer, imputer = split_stages(model)[1].stages[:2]
     return [*indexer.getInputCols(), *imputer.getInputCols()]
 
 
 def predict(features: DataFrame, model: PipelineModel) -> DataFrame:
     """Forecast per symbol and date, for rows with a futures close."""
-    rows = with_futures(features)
+    steps, inner = split_stages(model)
+    rows = steps.transform(with_futures(features))
     inputs = model_inputs(model)
-    categorical = set(model.stages[0].getInputCols())
+    categorical = set(inner.stages[0].getInputCols())
     chosen = [F.col(q(c)) if c in categorical else F.col(q(c)).cast("double").alias(c) for c in inputs]
-    scored = model.transform(rows.select("date", *chosen))
+    scored = inner.transform(rows.select("date", *chosen))
     return scored.select("symbol_id", "date", PREDICTION)
