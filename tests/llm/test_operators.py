@@ -396,24 +396,39 @@ def test_pareto_order_follows_inclusion_shares(spark):
             assert abs(np.mean([c for _, c in part]) - share) < 0.06
 
 
-def plain_line_dedup(rows):
-    """The rule by itself: repeated runs go, but for each chunk's first occurrence."""
-    cut = {}
-    for doc, text, _ in rows:
-        cut[doc] = line_chunks.chunk_texts(text or "")
-    where = defaultdict(list)
-    for doc, (_, _, parts) in cut.items():
-        for place, part in enumerate(parts):
-            where[part].append((doc, place))
-    out = {}
-    for doc, text, _ in rows:
-        found, spans, parts = cut[doc]
-        repeated = {i: min(where[p]) == (doc, i) for i, p in enumerate(parts) if len(where[p]) > 1}
-        gone = line_chunks.removable(repeated, [len(p.split()) for p in parts])
-        out[doc] = line_chunks.without(text or "", found, spans, gone)
+def plain_line_dedup(rows, least=40):
+    """The rule by itself: words of a run of 40 that stood before go, but for words of that place
+    itself; lines without words left go."""
+    seen, out = {}, {}
+    for doc, text, _ in sorted(rows, key=lambda r: r[0]):
+        lines = [line.split(" ") for line in (text or "").split("\n")]
+        flat = [("\n" if i == 0 and n else " ") + w for n, line in enumerate(lines) for i, w in enumerate(line)]
+        gone = set()
+        for i in range(len(flat) - least + 1):
+            run = "".join(flat[i : i + least])[1:]
+            first, place = seen.setdefault(run, (doc, i))
+            if (first, place) != (doc, i):
+                gone.update(range(max(i, place + least) if first == doc else i, i + least))
+        left, at = [], 0
+        for line in lines:
+            kept = [w for i, w in enumerate(line, at) if i not in gone]
+            at += len(line)
+            left += [" ".join(kept)] if kept else []
+        out[doc] = "\n".join(left)
     return out
 
 
+def gone_and_wanted(rows, got):
+    """The share of the words the rule removes that are gone; no other word may be."""
+    want = plain_line_dedup(rows)
+    for doc, text in want.items():
+        mine = iter(got[doc].split())
+        assert all(word in mine for word in text.split())
+    total = sum(len((t or "").split()) for _, t, _ in rows)
+    gone, all_gone = (total - sum(len(t.split()) for t in texts.values()) for texts in (got, want))
+    return gone / all_gone
+
+
 def sentences(rng, n):
     return " ".join(words(rng, rng.randint(3, 12)).capitalize() + "." for _ in range(n))
 
@@ -447,17 +462,54 @@ def test_line_dedup_with_equal_hashes(spark, monkeypatch):
     """Chunks of different bytes under one hash are found by comparing bytes, and kept."""
     rng = random.Random(14)
     rows = [(i, sentences(rng, 12), "s") for i in range(6)]
+    real = line_chunks.chunk_places
 
-    def weak(text, seed):
-        import hashlib
-
-        return 5 if seed == 0 else int.from_bytes(hashlib.sha256(text.encode()).digest()[:7], "big")
+    def weak(found, least):
+        at, hashes = real(found, least)
+        return at, hashes * 0 + 5
 
-    monkeypatch.setattr(line_chunks, "_hash", weak)
+    monkeypatch.setattr(line_chunks, "chunk_places", weak)
     got = {r.doc_id: r.text for r in line_chunks.remove_repeated_chunks(table(spark, rows)).collect()}
     assert got == {i: t for i, t, _ in rows}
 
 
+def test_line_dedup_of_edited_copies(spark):
+    """Copies with words changed, lines broken elsewhere, and a third of all rows under one passage."""
+    rng = random.Random(19)
+    rows, hot = [], sentences(rng, 10)
+    for family in range(12):
+        base = words(rng, 400).split(" ")
+        for i in range(6):
+            copy = [rng.choice(("\n", "x ")) + w if rng.random() < 0.01 else w for w in base]
+            rows.append((family * 10 + i, " ".join(copy).replace(" \n", "\n"), "s"))
+    rows += [(200 + i, f"{words(rng, 9)} {hot} {words(rng, 9)}", "s") for i in range(36)]
+    got = {r.doc_id: r.text for r in line_chunks.remove_repeated_chunks(table(spark, rows)).collect()}
+    assert gone_and_wanted(rows, got) > 0.97
+
+
+def test_line_dedup_of_one_word_over_and_over(spark):
+    rows = [(1, "la " * 300 + "end", "s"), (2, "start " + "la " * 200 + "tail", "s"), (3, "lo " * 39, "s"), (4, "lo " * 39, "s")]
+    got = {r.doc_id: r for r in line_chunks.remove_repeated_chunks(table(spark, rows)).collect()}
+    assert got[1].text.startswith("la " * 40) and got[1].text.endswith(" end") and len(got[1].text.split()) < 70
+    assert got[2].text.split()[0] == "start" and got[2].text.split()[-1] == "tail" and len(got[2].text.split()) < 30
+    assert got[3].text == got[4].text == "lo " * 39
+
+
+def test_line_dedup_replaces_columns_named_like_its_own(spark):
+    rng = random.Random(20)
+    passage = words(rng, 60)
+    docs = table(spark, [(1, passage, "s"), (2, "new\n" + passage, "s")]).withColumn("removed_chunks", F.lit("mine"))
+    docs = docs.withColumn("Removed_Words", F.lit(7))
+    got = line_chunks.remove_repeated_chunks(docs).orderBy("doc_id").collect()
+    assert [(r.text, r.removed_chunks, r.removed_words) for r in got] == [(passage, 0, 0), ("new", 1, 60)]
+    kept = line_chunks.drop_repeated_passages(docs)
+    assert kept.columns == docs.columns
+    assert [(r.n_chars, r.removed_chunks, r.Removed_Words) for r in kept.orderBy("doc_id").collect()] == [
+        (len(passage), "mine", 7),
+        (3, "mine", 7),
+    ]
+
+
 def test_line_dedup_of_passages_inside_paragraphs(spark):
     """Passages planted mid-line at any word go whole, with or without sentence marks."""
     rng = random.Random(17)
@@ -476,20 +528,6 @@ def test_line_dedup_of_passages_inside_paragraphs(spark):
     assert got[60].text == "one\ntwo" and {d: r.text for d, r in got.items()} == plain_line_dedup(rows)
 
 
-def test_line_dedup_compares_the_bytes_of_word_runs(spark, monkeypatch):
-    rng = random.Random(18)
-    rows = [(i, sentences(rng, 12), "s") for i in range(6)]
-    real = line_chunks.anchors
-
-    def weak(found, lines, known, least):
-        place, short, long = real(found, lines, known, least)
-        return (place, short * 0 + 3, long * 0 + 5) if known.seed == 0 else (place, short, long)
-
-    monkeypatch.setattr(line_chunks, "anchors", weak)
-    got = {r.doc_id: r.text for r in line_chunks.remove_repeated_chunks(table(spark, rows)).collect()}
-    assert got == {i: t for i, t, _ in rows}
-
-
 def test_line_dedup_of_odd_rows(odd):
     got = line_chunks.remove_repeated_chunks(odd)
     assert got.columns == [*odd.columns, "removed_chunks", "removed_words"]

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -279,57 +280,63 @@ def test_nra_stops_early_on_easy_lists(monkeypatch):
     assert list(got[1]) == [0, 1, 3, 4, 5] and max(depths) < 1000
 
 
-def test_line_units_chunks_and_removal():
-    long_line = "One two three four. Five six seven eight! Nine ten eleven twelve thirteen? Fourteen."
-    text = f"short\n\n{long_line}\nend"
-    found = line_chunks.units(text)
-    assert [u[0] for u in found] == ["short", *long_line.replace(". F", ".\nF").replace("! N", "!\nN").replace("? F", "?\nF").split("\n"), "end"]
-    cut = line_chunks.chunks(found)
-    assert [a for a, _ in cut[1:]] == [b for _, b in cut[:-1]] and cut[0][0] == 0 and cut[-1][1] == len(found)
-    assert {a for a, _ in cut} >= {1, 5}  # the long line starts and ends chunks
-    assert line_chunks.without(text, found, cut, []) == text
-    inside = [i for i, (a, b) in enumerate(cut) if 1 <= a and b <= 5]
-    assert line_chunks.without(text, found, cut, inside) == "short\n\nend"
-    assert line_chunks.without(text, found, cut, list(range(len(cut)))) == ""
+def line_words(*texts):
+    return line_chunks.Words(pa.array(texts, pa.string()))
 
 
-def test_chunks_resist_shifts():
-    rng = random.Random(4)
-    passage = "\n".join(" ".join(rng.choice("abcdefgh") * 3 for _ in range(8)) for _ in range(60))
-    alone = set(line_chunks.chunk_texts(passage)[2])
-    within = set(line_chunks.chunk_texts("other words\nbefore it\n" + passage + "\nafter")[2])
-    assert len(alone & within) >= len(alone) - 3
+def test_words_are_places_in_the_bytes():
+    words = line_words("two  words\n", "", "é\n\nÿ", "x")
+    assert [bytes(words.data[a:b]).decode() for a, b in zip(words.starts, words.ends)] == ["two", "words", "é", "ÿ", "x"]
+    assert words.text.tolist() == [0, 0, 2, 2, 3] and words.begin.tolist() == [0, 2, 2, 4, 5]
+    assert words.breaks().tolist() == [True, False, True, True, True]
+    assert len(line_words().starts) == len(line_words("", " \n").starts) == 0
+    hashes = line_words("one two", "two one").hashes()
+    assert hashes[0] == hashes[3] and hashes[1] == hashes[2] != hashes[0]
+    whole = pa.array(["before", "two  words\n", "x"], pa.string()).slice(1, 1)
+    assert bytes(line_chunks.Words(whole).data) == b"two  words\n"
 
 
-def test_removable_runs():
-    assert line_chunks.removable({0: False, 1: True, 2: False, 5: False}, [20, 15, 10, 9, 9, 30], 40) == [0, 2]
-    assert line_chunks.removable({5: False}, [1, 1, 1, 1, 1, 39], 40) == []
-    assert line_chunks.removable({}, [], 40) == []
-
-
-def test_words_of_lines_and_covers():
-    for line in (t for text in ODD_TEXTS for t in text.split("\n") if t.strip()):
-        parts = line_chunks.line_words(line)
-        assert " ".join(parts) == line and all(p.strip() for p in parts)
-    rng = random.Random(15)
-    for _ in range(200):
-        places = sorted(rng.sample(range(120), rng.randint(1, 60)))
-        some = line_chunks.cover(places, 10)
-        assert set(some) <= set(places)
-        assert {i for p in some for i in range(p, p + 10)} == {i for p in places for i in range(p, p + 10)}
-
-
-def test_anchors_are_the_same_wherever_a_run_stands():
+def test_chunks_are_the_same_wherever_a_run_stands():
     rng = random.Random(16)
-    known = line_chunks._Words(0)
     run = [rng.choice("abcde") * rng.randint(1, 9) for _ in range(90)]
-    alone = line_chunks.anchors(run, [0] * 90, known, 40)
-    for at in (0, 1, 17, 200):
-        words = [rng.choice("abcde") * 3 for _ in range(at)] + run + ["z"] * 30
-        place, short, long = line_chunks.anchors(words, [0] * len(words), known, 40)
-        assert list(place[at : at + 51] - at) == list(alone[0]) and list(long[at : at + 51]) == list(alone[2])
-    other = line_chunks.anchors(run, [0] * 45 + [1] * 45, known, 40)[2]
-    assert [i for i in range(51) if other[i] == alone[2][i]] == [0, 1, 2, 3, 4, 5, *range(45, 51)]
+    for size in (40, 51, 90):
+        for at in (0, 1, 17, 200):
+            text = " ".join([rng.choice("abcde") * 3 for _ in range(at)] + run[:size] + ["z"] * 30)
+            place, hashes = line_chunks.chunk_places(line_words("other words " * 50, text, " ".join(run)), 40)
+            mine = set(hashes[(place >= 100 + at) & (place < 100 + at + size - 15)].tolist())
+            assert mine & set(hashes[place >= 100 + at + size + 30].tolist())  # any 40 words hold a shared chunk
+    assert len(line_chunks.chunk_places(line_words("la " * 39, "la " * 39), 40)[0]) == 0
+    assert len(line_chunks.chunk_places(line_words("la " * 1000), 40)[0]) < 100
+
+
+def test_words_equal_around_a_chunk():
+    words = line_words("x a b c d e y")
+    for chunk, before, span in (
+        (b"c d e y", b"x a b ", (0, 7)),
+        (b"c d ef", b"xx ab b ", (2, 5)),
+        (b"c d e", b"a b ", (1, 6)),
+        (b"c d\ne", b"zb ", (3, 5)),
+        (b"q", b" ", (3, 3)),
+    ):
+        assert line_chunks.equal_words(words, 3, chunk, before, 40) == span
+
+
+def test_text_without_words():
+    words = line_words("a b c\n  d e\n\nf g\nh\n")
+    for gone, left in (
+        ("", "a b c\n  d e\n\nf g\nh\n"),
+        ("b", "a c\n  d e\n\nf g\nh\n"),
+        ("c", "a b\n  d e\n\nf g\nh\n"),
+        ("a d", "b c\n  e\n\nf g\nh\n"),
+        ("cdef", "a b\ng\nh\n"),
+        ("de", "a b c\n\nf g\nh\n"),
+        ("cde", "a b\n\nf g\nh\n"),
+        ("abcdefg", "h\n"),
+        ("abcdefgh", ""),
+    ):
+        mark = np.array([c in gone for c in "abcdefgh"])
+        assert line_chunks.without(words, mark) == left
+    assert line_chunks.without(line_words("a\nb"), np.array([False, True])) == "a"
 
 
 def test_block_max_search_is_exact():

@@ -1,159 +1,111 @@
 """Line dedup on content-defined chunks of lines.
 
-A text's lines are cut at sentence ends when they have LONG_LINE words or more, so a
-paragraph is several units.  A rolling hash over the hashes of each two neighbouring units
-ends a chunk where its value is divisible by DIVISOR; long lines also start and end chunks.
-So the same passage is cut alike wherever it stands, and an insertion shifts only the chunk
-it falls in.  Chunks that occur more than once in the whole corpus are repeated; runs of
-neighbouring repeated chunks with LEAST_WORDS words or more are removed, except the first occurrence of
-each chunk (least document id, then place).  Shorter repeats, such as single common lines,
-stay.
-
-Chunks lose the ends of a passage that stands inside a paragraph, so any LEAST_WORDS words in
-a row that stood before, wherever they start, are removed as well.  Each such run has an
-anchor: of the runs of two fifths of its length inside, the one with the smallest hash, about
-one place in 13.  Equal runs have equal anchors, so only runs whose anchor is repeated are
-compared with each other, and each word of the removed ones is covered.
-
-Before the result is used, the bytes of all occurrences of every chunk that was removed, and
-of each word run's first occurrence, are compared; if one differs (equal hashes of different
-texts), all is done again with another hash.
-
-Null texts count as empty and become empty; a text nothing is removed from is unchanged,
-one that is all repeats becomes empty; rows of equal id and text are treated alike; null
-ids come first; an empty table stays empty; other columns are kept.
+Words are the units, and where a line ends counts: a rolling hash runs over each CHUNK_WORDS
+words in a row, and a chunk starts where it is the least of those in some LEAST_WORDS words.
+So the same passage is cut alike wherever it stands, an insertion shifts only the chunks it
+falls in, and any LEAST_WORDS words in a row hold at least one whole chunk.
+
+A chunk is repeated if its hash occurs more than once in the whole corpus.  Each later
+occurrence (by document id, then place) is extended to both sides as far as its bytes equal
+those around the chunk's first occurrence, by as many words as a run of LEAST_WORDS can reach
+beyond the chunk.  Where LEAST_WORDS words or more are equal, they are removed; shorter
+repeats, such as single common lines, stay; where a text repeats itself without a gap (one word
+over and over), the first LEAST_WORDS words stay.  Equal hashes of different bytes thus remove nothing.
+A run is only looked for around the first occurrence of its chunks: where that copy was edited
+close to a chunk, and no chunk covers the edit, or begins or ends there, a few words may stay.
+
+Three passes over the texts: one counts hashes, one finds the occurrences of the repeated
+ones, one removes.  Between the first two stands a bitmap of FILTER_BITS bits (16 MB whatever
+the corpus) that keeps most chunks that occur once out of the second shuffle; those it lets
+through are told apart exactly.
+
+Null texts count as empty and become empty; a text nothing is removed from is unchanged, one
+that is all repeats becomes empty, lines that lose all words go; rows of equal id and text are
+treated alike; null ids come first; an empty table stays empty; other columns are kept, but
+for columns named like the two that are added, which those replace.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.llm.common import slices, stored, whole_text
 
-LONG_LINE = 12
-DIVISOR = 4
 LEAST_WORDS = 40
+FILTER_BITS = 1 << 27
 
-_SENTENCE = re.compile(r"(?<=[.!?]) ")
-_ROLL = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
+_BASE = 0x9E3779B97F4A7C15
 _MIX = 0xD6E8FEB86659FD93
 _BREAK = 0xA0761D6478BD642F
-_BLANK = re.compile(r"(?:\A| )\s*(?: |\Z)")  # nothing but white space between two spaces
-_ANCHORS = 1 << 32  # places of anchors start here, those of chunks lie below
-
-
-def units(text: str) -> list[tuple[str, int, bool, bool]]:
-    """(unit, line, starts a chunk, ends a chunk); blank lines have no unit."""
-    out = []
-    for number, line in enumerate(text.split("\n")):
-        if not line or line.isspace():
-            continue
-        if line.count(" ") + 1 < LONG_LINE:
-            out.append((line, number, False, False))
-            continue
-        parts = _SENTENCE.split(line)
-        last = len(parts) - 1
-        out += [(part, number, i == 0, i == last) for i, part in enumerate(parts)]
-    return out
-
-
-def chunks(found: list[tuple[str, int, bool, bool]], seed: int = 0) -> list[tuple[int, int]]:
-    """The chunks as (first unit, after last unit)."""
-    out, start, before = [], 0, 0
-    for i, (unit, _, starts, ends) in enumerate(found):
-        if starts and i > start:
-            out.append((start, i))
-            start, before = i, 0
-        own = xxhash.xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"), seed)
-        rolled = (before * _ROLL + own) & _MASK
-        rolled ^= rolled >> 29
-        if ends or rolled % DIVISOR == 0 and before:
-            out.append((start, i + 1))
-            start, before = i + 1, 0 if ends else own
-        else:
-            before = own
-    if start < len(found):
-        out.append((start, len(found)))
-    return out
-
-
-def line_words(line: str) -> list[str]:
-    """The line cut at single spaces, further white space kept with a word: joined by spaces, the line."""
-    parts = line.split(" ")
-    if not _BLANK.search(line):
-        return parts
-    out, before = [], ""
-    for part in parts:
-        if not part or part.isspace():
-            before += part + " "
-        else:
-            out.append(before + part)
-            before = ""
-    if before:
-        out[-1] += " " + before[:-1]
-    return out
-
-
-def word_units(text: str) -> tuple[list[str], list[int]]:
-    """The words of the lines that are not blank, and the line of each."""
-    words: list[str] = []
-    lines: list[int] = []
-    for number, line in enumerate(text.split("\n")):
-        if line and not line.isspace():
-            own = line_words(line)
-            words += own
-            lines += [number] * len(own)
-    return words, lines
-
-
-def line_chunks(text: str, seed: int = 0) -> tuple[list[tuple[int, int]], list[str]]:
-    """The chunks of lines as (first word, after last word), and their texts."""
-    found = units(text)
-    edges = [0]
-    for unit, _, _, _ in found:
-        edges.append(edges[-1] + sum(1 for p in unit.split(" ") if p and not p.isspace()))
-    cut = chunks(found, seed)
-    return [(edges[a], edges[b]) for a, b in cut], ["\n".join(u[0] for u in found[a:b]) for a, b in cut]
-
-
-def window_text(words: list[str], lines: list[int], start: int, size: int) -> str:
-    out = words[start]
-    for i in range(start + 1, start + size):
-        out += ("\n" if lines[i] != lines[i - 1] else " ") + words[i]
-    return out
-
-
-def chunk_texts(text: str, seed: int = 0) -> tuple[list[tuple[str, int, bool, bool]], list[tuple[int, int]], list[str]]:
-    """All that is compared, by itself: the words as units; the chunks of lines and, behind a
-    part that is the whole text, every run of LEAST_WORDS words, marked so that it equals no chunk."""
-    words, lines = word_units(text)
-    cut, parts = line_chunks(text, seed)
-    if len(words) >= LEAST_WORDS:
-        starts = range(len(words) - LEAST_WORDS + 1)
-        cut = [*cut, (0, 0), *((i, i + LEAST_WORDS) for i in starts)]
-        parts = [*parts, "\0" + text, *("\1" + window_text(words, lines, i, LEAST_WORDS) for i in starts)]
-    return [(w, n, False, False) for w, n in zip(words, lines)], cut, parts
-
-
-class _Words(dict):
-    """Hashes of words, kept while there are not too many."""
-
-    def __init__(self, seed: int):
-        self.seed = seed
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = out = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"), self.seed + 2)
+_LETTERS = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Chunks of one hash in a row (one word over and over) start this many words apart.
+_THIN = 12
+
+
+def chunk_words(least: int) -> int:
+    return max(1, 2 * least // 5)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x ^ x >> np.uint64(31)
+    x *= np.uint64(_MIX)
+    return x ^ x >> np.uint64(29)
+
+
+class _Powers:
+    """Powers of an odd number and of its inverse modulo 2**64, kept for the longest text yet."""
+
+    up = down = np.ones(1, np.uint64)
+
+    @classmethod
+    def of(cls, length: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < length:
+            both = (np.full(length, x, np.uint64) for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+            cls.up, cls.down = (np.cumprod(x) for x in both)
+        return cls.up[:length], cls.down[:length]
+
+
+class Words:
+    """The words of some texts, one after another, as places in their joined UTF-8 bytes."""
+
+    def __init__(self, texts: pa.Array):
+        texts = texts.cast(pa.large_string())
+        edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        held = texts.buffers()[2]
+        data = np.frombuffer(held, np.uint8) if held is not None and len(held) else np.zeros(0, np.uint8)
+        self.data = data[edges[0] : edges[-1]]
+        self.edges = edges - edges[0]
+        solid = ~_SPACE[self.data]
+        first, last = solid.copy(), solid.copy()
+        first[1:] &= ~solid[:-1]
+        last[:-1] &= ~solid[1:]
+        inner = self.edges[(self.edges > 0) & (self.edges < len(solid))]
+        first[inner] = solid[inner]  # a text starts and ends its own words
+        last[inner - 1] = solid[inner - 1]
+        self.starts, self.ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+        self.text = np.searchsorted(self.edges, self.starts, side="right") - 1
+        #: The word each text starts with, and in the end the number of words.
+        self.begin = np.searchsorted(self.starts, self.edges)
+
+    def hashes(self) -> np.ndarray:
+        """Of each word: the polynomial of its bytes, from running sums, mixed."""
+        up, down = _Powers.of(len(self.data) + 1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTERS[self.data] * up[:-1])])
+        return _mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
+
+    def breaks(self) -> np.ndarray:
+        """Whether the word is the first of a line or text."""
+        line = np.concatenate([[0], np.cumsum(self.data == 10)])[self.starts]
+        out = np.ones(len(line), bool)
+        out[1:] = (line[1:] != line[:-1]) | (self.text[1:] != self.text[:-1])
         return out
 
 
@@ -162,267 +114,205 @@ def run_hashes(own: np.ndarray, breaks: np.ndarray, size: int) -> np.ndarray:
     if len(own) < size:
         return np.zeros(0, np.uint64)
     mark = breaks.astype(np.uint64) * np.uint64(_BREAK)
-    power = np.full(len(own), _ROLL, np.uint64)
-    back = np.full(len(own), pow(_ROLL, -1, 1 << 64), np.uint64)
-    power[0] = back[0] = 1
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((own + mark) * np.cumprod(power))])
+    up, down = _Powers.of(len(own))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((own + mark) * up)])
     n = len(own) - size + 1
-    out = (sums[size:] - sums[:n]) * np.cumprod(back)[:n] - mark[:n]
-    out ^= out >> np.uint64(31)
-    out *= np.uint64(_MIX)
-    return out ^ out >> np.uint64(29)
-
-
-def anchors(words: list[str], lines: list[int], known: _Words, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each run of ``least`` words: the place of its anchor, which is the shorter run inside
-    with the smallest hash, so equal runs have equal anchors.  Then the hashes of the shorter
-    runs, by place, and of the runs."""
-    none = np.zeros(0, np.int64)
-    if len(words) < least:
-        return none, none, none
-    own = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    at = np.array(lines)
-    breaks = np.concatenate([[False], at[1:] != at[:-1]])
-    size = max(1, 2 * least // 5)
-    short = run_hashes(own, breaks, size)
-    inside = np.lib.stride_tricks.sliding_window_view(short, least - size + 1)
-    place = inside.argmin(axis=1) + np.arange(len(inside))
-    return place, short.view(np.int64), run_hashes(own, breaks, least).view(np.int64)
-
-
-def _hash(text: str, seed: int) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), seed + 1) - (1 << 63)
-
-
-def removable(repeated: dict[int, bool], words: list[int], least: int = LEAST_WORDS) -> list[int]:
-    """Indexes of the chunks to remove: ``repeated`` has those that occur elsewhere, true for
-    the occurrence that stays."""
-    out: list[int] = []
-    run: list[int] = []
-    for i in range(len(words) + 1):
-        if i in repeated:
-            run.append(i)
-            continue
-        if run and sum(words[j] for j in run) >= least:
-            out += [j for j in run if not repeated[j]]
-        run = []
-    return out
-
-
-def without(text: str, found: list[tuple[str, int, bool, bool]], cut: list[tuple[int, int]], gone: list[int]) -> str:
-    """The text without some chunks; lines that lose all units go."""
-    if not gone:
-        return text
-    dropped = {i for j in gone for i in range(*cut[j])}
-    lines: list[str | None] = list(text.split("\n"))
-    left: dict[int, list[str]] = {}
-    for i, (unit, line, _, _) in enumerate(found):
-        kept = left.setdefault(line, [])
-        if i not in dropped:
-            kept.append(unit)
-    for line, kept in left.items():
-        lines[line] = " ".join(kept) if kept else None
-    out = [line for line in lines if line is not None]
-    return "\n".join(out) if any(line.strip() for line in out) else ""
-
-
-def _lists(found: list[dict[str, np.ndarray]], kind: pa.StructType) -> pa.Array:
-    """An array of lists of structs from each list's columns."""
-    names = [f.name for f in kind]
-    sizes = [len(f[names[0]]) for f in found]
-    flat = [pa.array(np.concatenate([f[n] for f in found]), kind.field(n).type) for n in names]
-    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(flat, names=names))
-
-
-_PLACED = pa.struct([("place", pa.int64()), ("hash", pa.int64())])
-_SEEN = pa.list_(pa.struct([("hash", pa.int64()), ("text", pa.string())]))
-_SPANS = pa.list_(pa.list_(pa.int32()))
-_PLACED_SQL = "array<struct<place: bigint, hash: bigint>>"
-_SEEN_SQL = "array<struct<hash: bigint, text: string>>"
-
-
-def _repeated(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``hash`` and ``first`` of what ``pieces`` (``doc_id``, ``key``, ``placed``) hold more than
-    once, and the ``hits`` of each key."""
-    each = pieces.select("doc_id", "key", F.explode("placed").alias("p")).select("doc_id", "key", "p.place", "p.hash")
-    first = F.min(F.struct("doc_id", "key", "place")).alias("first")
-    often = each.groupBy("hash").agg(F.count("*").alias("n"), first).where("n > 1").select("hash", "first")
-    often = stored(often, "repeated")
-    stays = F.struct("doc_id", "key", "place").eqNullSafe(F.col("first"))
-    hits = each.join(often, "hash").select("key", "place", "hash", stays.alias("stays"))
-    # A set, as repeated rows share their key; without a distinct before it, AQE may split the join at common hashes.
-    return often, hits.groupBy("key").agg(F.collect_set(F.struct("place", "hash", "stays")).alias("hits"))  # a document's
-
-
-def _count(dropped: set[int]) -> int:
-    """Runs of neighbours in a set of places."""
-    return sum(i - 1 not in dropped for i in dropped)
-
-
-def cover(places: list[int], size: int) -> list[int]:
-    """Some of the runs of ``size`` words at ``places`` (sorted) that cover all their words."""
-    out: list[int] = []
-    end, i = 0, 0
-    while i < len(places):
-        if places[i] + size > end:
-            open_from = max(end, places[i])
-            while i + 1 < len(places) and places[i + 1] <= open_from:
-                i += 1
-            out.append(places[i])
-            end = places[i] + size
-        i += 1
+    return _mixed((sums[size:] - sums[:n]) * down[:n] - mark[:n])
+
+
+def _over(of: np.ufunc, values: np.ndarray, size: int) -> np.ndarray:
+    """The least or greatest of each ``size`` values in a row."""
+    step = 1
+    while 2 * step <= size:
+        values = of(values[:-step], values[step:])
+        step *= 2
+    rest = size - step
+    return of(values[:-rest], values[rest:]) if rest else values
+
+
+def chunk_places(words: Words, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words that chunks start with, in order, and the chunks' hashes."""
+    size = chunk_words(least)
+    if len(words.starts) < least:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    short = run_hashes(words.hashes(), words.breaks(), size)
+    span = least - size + 1
+    low = _over(np.minimum, short, span)
+    low[words.text[: len(low)] != words.text[least - 1 :]] = 0  # a run over two texts is none
+    room = np.zeros(span - 1, np.uint64)
+    chosen = _over(np.maximum, np.concatenate([room, low, room]), span) == short
+    chosen &= short > 0
+    place = np.arange(len(short)) - words.begin[words.text[: len(short)]]
+    chosen[1:] &= ~(chosen[:-1] & (short[1:] == short[:-1])) | (place[1:] % _THIN == 0)
+    at = np.flatnonzero(chosen)
+    return at, short[at].view(np.int64)
+
+
+def equal_words(words: Words, at: int, chunk: bytes, before: bytes, reach: int) -> tuple[int, int]:
+    """The words around word ``at`` (of a single text) that equal, byte by byte, the words of
+    ``chunk``, which starts there, and of ``before``, which ends there: first, after last."""
+    starts, ends, start = words.starts, words.ends, words.starts[at]
+    top = min(at + reach, len(starts))
+    own = words.data[start : ends[top - 1]].tobytes()
+    same = _prefix(own, chunk)
+    stop = at + int(np.searchsorted(ends[at:top] - start, same, side="right"))
+    if stop > at and ends[stop - 1] - start == same < len(chunk) and not _SPACE[chunk[same]]:
+        stop -= 1
+    bottom = max(at - reach, 0)
+    own = words.data[starts[bottom] : start].tobytes()
+    same = _prefix(own[::-1], before[::-1])
+    first = bottom + int(np.searchsorted(starts[bottom:at], start - same))
+    if first < at and start - starts[first] == same < len(before) and not _SPACE[before[-same - 1]]:
+        first += 1
+    return first, stop
+
+
+def _prefix(one: bytes, other: bytes) -> int:
+    """Bytes that both start with."""
+    n = min(len(one), len(other))
+    if one[:n] == other[:n]:
+        return n
+    a, b = np.frombuffer(one, np.uint8, n), np.frombuffer(other, np.uint8, n)
+    return int((a != b).argmax())
+
+
+def without(words: Words, gone: np.ndarray) -> str:
+    """The (single) text without the words marked; lines that lose all words go."""
+    data, starts, ends = words.data.tobytes(), words.starts, words.ends
+    turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
+    out, done = [], 0
+    for i, j in zip(turns[::2].tolist(), turns[1::2].tolist()):
+        opens = i == 0 or b"\n" in data[ends[i - 1] : starts[i]]
+        closes = j == len(starts) or b"\n" in data[ends[j - 1] : starts[j]]
+        joint = b""
+        if opens and closes:
+            start, stop = data.rfind(b"\n", 0, starts[i]) + 1, data.find(b"\n", ends[j - 1]) + 1
+            if not stop:
+                start, stop = max(start - 1, done), len(data)
+        elif opens:
+            start, stop = starts[i], starts[j]
+        elif closes:
+            start, stop = ends[i - 1], ends[j - 1]
+        elif b"\n" in data[starts[i] : starts[j]]:
+            start, stop, joint = ends[i - 1], starts[j], b"\n"
+        else:
+            start, stop = starts[i], starts[j]
+        out += [data[done:start], joint]
+        done = stop
+    left = b"".join([*out, data[done:]])
+    return left.decode("utf-8") if left.strip() else ""
+
+
+def _filter(repeated: DataFrame) -> np.ndarray:
+    """A bitmap of the hashes; at most FILTER_BITS / 64 rows reach the driver."""
+    at = F.col("hash").bitwiseAND(F.lit(FILTER_BITS - 1))
+    bit = F.expr("shiftleft(1L, CAST(hash & 63 AS INT))")
+    rows = repeated.groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS >> 6, np.int64)
+    out[rows["at"].to_numpy()] = rows["bits"].to_numpy()
     return out
 
 
-def _attempt(docs: DataFrame, least: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """``row``, ``clean``, ``removed_chunks`` and ``removed_words`` per document, and the hashes
-    that different bytes were found under."""
-    text = whole_text()
-    key = F.xxhash64(docs["doc_id"], text, F.lit(seed)).alias("key")
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), key, text.alias("text"))
+def _occurrences(rows: DataFrame, least: int) -> DataFrame:
+    """``doc_id``, ``key``, ``place``, ``hash`` of the chunks whose hash may be repeated, with the
+    text from the chunk on and ``before`` it."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words(seed)
-        for batch in slices(batches):
-            found = []
-            for t in batch["text"].to_pylist():
-                whole = np.array([_hash(c, seed) for c in line_chunks(t, seed)[1]], np.int64)
-                place, short, _ = anchors(*word_units(t), known, least)
-                place = np.unique(place)
-                places = np.concatenate([np.arange(len(whole)), place + _ANCHORS])
-                found.append({"place": places, "hash": np.concatenate([whole, short[place]])})
-            columns = [batch["doc_id"], batch["key"], _lists(found, _PLACED)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "placed"])
-
-    pieces = stored(rows.mapInArrow(cut, f"doc_id long, key long, placed {_PLACED_SQL}"), "chunks")
-    by_key = _repeated(pieces)[1]
-
-    def drop_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words(seed)
-        none = np.zeros(0, np.int64)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            texts, spans, seen, windows, counts = [], [], [], [], []
-            for text, hits in zip(batch["text"].to_pylist(), batch["hits"].to_pylist()):
-                gone: list[int] = []
-                at: list[tuple[int, int]] = []
-                decide: list[dict] = []
-                dropped: set[int] = set()
-                placed = {"place": none, "hash": none}
-                if hits:
-                    at, parts = line_chunks(text, seed)
-                    repeated = {
-                        h["place"]: h["stays"]
-                        for h in hits
-                        if h["place"] < len(parts) and _hash(parts[h["place"]], seed) == h["hash"]
-                    }
-                    gone = removable(repeated, [len(p.split()) for p in parts], least)
-                    kept = [i for i, stays in repeated.items() if stays]
-                    decide = [{"hash": _hash(parts[i], seed), "text": parts[i]} for i in sorted({*gone, *kept})]
-                    again = [h["place"] - _ANCHORS for h in hits if h["place"] >= _ANCHORS]
-                    if again:
-                        place, _, long = anchors(*word_units(text), known, least)
-                        some = np.flatnonzero(np.isin(place, again))
-                        placed = {"place": some, "hash": long[some]}
-                    elif gone:
-                        words, lines = word_units(text)
-                        dropped = {i for j in gone for i in range(*at[j])}
-                        units_ = [(w, n, False, False) for w, n in zip(words, lines)]
-                        text = without(text, units_, at, gone)
-                        counts.append((len(gone), sum(len(words[i].split()) for i in dropped)))
-                if not dropped:
-                    counts.append((0, 0))
-                texts.append(text)
-                windows.append(placed)
-                spans.append([list(at[j]) for j in gone])
-                seen.append(decide)
-            arrays = [
-                batch["row"],
-                batch["doc_id"],
-                batch["key"],
-                pa.array(texts, pa.string()),
-                pa.array([c for c, _ in counts], pa.int64()),
-                pa.array([w for _, w in counts], pa.int64()),
-                pa.array(spans, _SPANS),
-                pa.array(seen, _SEEN),
-                _lists(windows, _PLACED),
-            ]
-            names = ["row", "doc_id", "key", "text", "removed_chunks", "removed_words", "gone", "seen", "placed"]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            each, n = np.unique(chunk_places(Words(batch["text"]), least)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(each), pa.array(n, pa.int64())], names=["hash", "n"])
 
-    # The text travels once, so the row goes without it.
-    rest = F.struct(*[docs[c] for c in docs.columns if c != "text"])
-    id_ = docs["doc_id"].cast("long").alias("doc_id")
-    whole = docs.select(key, id_, text.alias("text"), rest.alias("row")).join(by_key, "key", "left")
-    row_sql = whole.schema["row"].dataType.simpleString()
-    schema = (
-        f"row {row_sql}, doc_id long, key long, text string, removed_chunks long, removed_words long, "
-        f"gone array<array<int>>, seen {_SEEN_SQL}, placed {_PLACED_SQL}"
-    )
-    whole = whole.select("row", "doc_id", "key", "text", "hits")
-    first = stored(whole.mapInArrow(drop_chunks, schema), "first")
-    # Only documents with a repeated anchor go on.
-    ready, more = first.where("size(placed) = 0"), first.where("size(placed) > 0")
-    often, by_key = _repeated(more.select("doc_id", "key", "placed"))
-
-    def drop_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counted = rows.select("text").mapInArrow(count, "hash long, n long")
+    repeated = counted.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash")
+    shared = rows.sparkSession.sparkContext.broadcast(_filter(repeated))
+    reach = least - chunk_words(least)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
         for batch in slices(batches):
-            texts, counts, seen = [], [], []
-            columns = zip(batch["text"].to_pylist(), batch["gone"].to_pylist(), batch["hits"].to_pylist())
-            for text, gone, hits in columns:
-                words, lines = word_units(text)
-                hashes = {h["place"]: h["hash"] for h in hits or [] if not h["stays"]}
-                spans = [*map(tuple, gone), *((p, p + least) for p in hashes)]
-                dropped = {i for a, b in spans for i in range(a, b)}
-                found = [(w, n, False, False) for w, n in zip(words, lines)]
-                texts.append(without(text, found, spans, list(range(len(spans)))))
-                by_chunks = {i for a, b in gone for i in range(a, b)}
-                counts.append((len(gone) + _count(dropped - by_chunks), sum(len(words[i].split()) for i in dropped)))
-                some = cover(sorted(hashes), least)
-                seen.append([{"hash": hashes[p], "text": window_text(words, lines, p, least)} for p in some])
-            arrays = [
-                batch["row"],
-                pa.array(texts, pa.string()),
-                pa.array([c for c, _ in counts], pa.int64()),
-                pa.array([w for _, w in counts], pa.int64()),
-                pa.array(seen, _SEEN),
+            words = Words(batch["text"])
+            at, hashes = chunk_places(words, least)
+            low = hashes & np.int64(FILTER_BITS - 1)
+            some = bits[low >> 6] >> (low & 63) & 1 == 1
+            at, hashes = at[some], hashes[some]
+            text = words.text[at]
+            first, after = words.begin[text], words.begin[text + 1]
+            data, starts = memoryview(words.data), words.starts[at].tolist()
+            back = words.starts[np.maximum(at - reach, first)].tolist()
+            stop = words.ends[np.minimum(at + least + _THIN, after) - 1].tolist()
+            columns = [
+                batch["doc_id"].take(pa.array(text)),
+                batch["key"].take(pa.array(text)),
+                pa.array(at - first, pa.int64()),
+                pa.array(hashes, pa.int64()),
+                pa.array([bytes(data[a:b]) for a, b in zip(starts, stop)], pa.binary()),
+                pa.array([bytes(data[a:b]) for a, b in zip(back, starts)], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["row", "clean", "removed_chunks", "removed_words", "seen"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "place", "hash", "chunk", "before"])
 
-    schema = f"row {row_sql}, clean string, removed_chunks long, removed_words long, seen {_SEEN_SQL}"
-    joined = more.join(by_key, "key", "left").select("row", "text", "gone", "hits")
-    second = stored(joined.mapInArrow(drop_runs, schema), "clean")
+    schema = "doc_id long, key long, place long, hash long, chunk binary, before binary"
+    return stored(rows.mapInArrow(find, schema), "chunks")
 
-    def unlike(seen: DataFrame) -> DataFrame:
-        return seen.groupBy("hash").agg(F.min("text").alias("low"), F.max("text").alias("high"))
 
-    by_chunks = unlike(first.select(F.explode("seen").alias("s")).select("s.hash", "s.text")).where("low <> high")
-    wanted = unlike(second.select(F.explode("seen").alias("s")).select("s.hash", "s.text"))
-    asked = wanted.join(often, "hash").groupBy("first.key")
-    asked = asked.agg(F.collect_list(F.struct("first.place", "hash", "low", "high")).alias("asked"))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def cleaned_rows(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
+    """``row`` (all columns but the text), ``text``, ``removed_chunks`` (runs of words) and
+    ``removed_words`` of each document."""
+    text = whole_text()
+    id_ = docs["doc_id"].cast("long").alias("doc_id")
+    key = F.xxhash64(id_, text).alias("key")
+    found = _occurrences(docs.select(id_, key, text.alias("text")), least)
+    place = F.struct("doc_id", "key", "place")
+    first = found.groupBy("hash").agg(F.min(F.struct("doc_id", "key", "place", "chunk", "before")).alias("first"))
+    known = F.struct("first.doc_id", "first.key", "first.place")
+    later = found.select("hash", "doc_id", "key", "place").join(first, "hash").where(~place.eqNullSafe(known))
+    # A set, as repeated rows share their key; a document's own chunks bound it.
+    keeps = F.when(F.col("first.key") == F.col("key"), least - F.col("place") + F.col("first.place")).otherwise(0)
+    around = [F.col("first.chunk").alias("chunk"), F.col("first.before").alias("before")]
+    hit = F.struct("place", keeps.alias("keeps"), *around)
+    hits = later.groupBy("key").agg(F.collect_set(hit).alias("hits"))
+
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            bad = []
-            for text, asked in zip(batch["text"].to_pylist(), batch["asked"].to_pylist()):
-                words, lines = word_units(text)
-                for a in asked:
-                    own = window_text(words, lines, a["place"], least)
-                    if not own == a["low"] == a["high"]:
-                        bad.append(a["hash"])
-            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.int64())], names=["hash"])
+            texts, runs, counts = batch["text"].to_pylist(), [0] * batch.num_rows, [0] * batch.num_rows
+            for i, hits in enumerate(batch["hits"].to_pylist()):
+                if not hits:
+                    continue
+                words = Words(batch["text"].slice(i, 1))
+                gone = np.zeros(len(words.starts), bool)
+                for h in hits:
+                    if h["place"] < len(gone):
+                        a, b = equal_words(words, h["place"], h["chunk"], h["before"], least + _THIN)
+                        if b - a >= least:
+                            gone[a + max(0, h["keeps"]) : b] = True
+                if gone.any():
+                    texts[i], counts[i] = without(words, gone), int(gone.sum())
+                    runs[i] = int(gone[0]) + int((np.diff(gone.astype(np.int8)) == 1).sum())
+            columns = [batch["row"], pa.array(texts, pa.string()), pa.array(runs, pa.int64()), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "text", "removed_chunks", "removed_words"])
 
-    by_runs = more.select("key", "text").join(asked, "key").select("text", "asked").mapInArrow(compare, "hash long")
-    ready = ready.select("row", F.col("text").alias("clean"), "removed_chunks", "removed_words")
-    return ready.unionByName(second.drop("seen")), by_chunks.select("hash").unionByName(by_runs)
+    # The text travels once, so the row goes without it.
+    rest = F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row")
+    whole = docs.select(key, rest, text.alias("text")).join(hits, "key", "left").select("row", "text", "hits")
+    added = [T.StructField("removed_chunks", T.LongType()), T.StructField("removed_words", T.LongType())]
+    return whole.mapInArrow(remove, T.StructType([whole.schema["row"], whole.schema["text"], *added]))
 
 
 def remove_repeated_chunks(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """The documents with repeated passages removed from ``text``, and ``removed_chunks`` (chunks,
-    and runs of words beyond them) and ``removed_words``."""
-    for seed in count():
-        done, unlike = _attempt(docs, least, seed)
-        if unlike.isEmpty():
-            break
-    columns = [F.col("clean").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
-    return done.select(*columns, "removed_chunks", "removed_words")
+    """The documents with repeated passages removed from ``text``, and ``removed_chunks`` (runs
+    of words) and ``removed_words``."""
+    added = ["removed_chunks", "removed_words"]
+    kept = [c for c in docs.columns if c.lower() not in added]
+    columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in kept]
+    return cleaned_rows(docs, least).select(*columns, *added)
+
+
+def drop_repeated_passages(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
+    """The documents with repeated passages removed from ``text``, their own columns alone;
+    ``n_chars`` is brought up to date where the text changed."""
+    columns = []
+    for c in docs.columns:
+        own = F.col(f"row.`{c}`")
+        if c == "n_chars":
+            own = F.when(F.col("removed_words") > 0, F.length("text").cast(docs.schema[c].dataType)).otherwise(own)
+        columns.append(F.col("text") if c == "text" else own.alias(c))
+    return cleaned_rows(docs, least).select(*columns)
