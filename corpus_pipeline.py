@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tickloom.llm import dart_minhash, line_chunks, mixing, packing, toxicity
 from tickloom.session import scratch_path
@@ -23,12 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = line_chunks.remove_repeated_chunks(docs)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        size = F.when(F.col("removed_chunks") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-        cleaned = cleaned.withColumn("n_chars", size)
-    return cleaned.select(docs.columns)
+    return line_chunks.drop_repeated_passages(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
