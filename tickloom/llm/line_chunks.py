@@ -17,7 +17,8 @@ close to a chunk, and no chunk covers the edit, or begins or ends there, a few w
 Three passes over the texts: one counts hashes, one finds the occurrences of the repeated
 ones, one removes.  Between the first two stands a bitmap of FILTER_BITS bits (16 MB whatever
 the corpus) that keeps most chunks that occur once out of the second shuffle; those it lets
-through are told apart exactly.
+through are told apart exactly.  Another keeps the text around later occurrences out.  Where an
+occurrence and the first one have the same neighbour, the neighbour brings the text beyond it.
 
 Null texts count as empty and become empty; a text nothing is removed from is unchanged, one
 that is all repeats becomes empty, lines that lose all words go; rows of equal id and text are
@@ -31,7 +32,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -213,9 +215,32 @@ def _filter(repeated: DataFrame) -> np.ndarray:
     return out
 
 
+def _held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    low = hashes & np.int64(FILTER_BITS - 1)
+    return bits[low >> 6] >> (low & 63) & 1 == 1
+
+
+def _neighbours(at: np.ndarray, hashes: np.ndarray, text: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each chunk the words to the next one of its text, 0 if that starts more than ``reach``
+    on, and a hash of both."""
+    gap = np.zeros(len(at), np.int64)
+    gap[:-1] = np.where((text[1:] == text[:-1]) & (at[1:] - at[:-1] <= reach), at[1:] - at[:-1], 0)
+    both = hashes.view(np.uint64) * np.uint64(_BASE) + np.roll(hashes, -1).view(np.uint64)
+    return gap, _mixed(both + gap.astype(np.uint64)).view(np.int64)
+
+
+_FOUND = (
+    "doc_id long, key long, place long, hash long, next long, back long, "
+    "core binary, after binary, near binary, far binary, mark long, next_mark long, back_mark long"
+)
+
+
 def _occurrences(rows: DataFrame, least: int) -> DataFrame:
     """``doc_id``, ``key``, ``place``, ``hash`` of the chunks whose hash may be repeated, with the
-    text from the chunk on and ``before`` it."""
+    text around: ``core`` reaches to the end of the next such chunk of the text, ``after`` beyond it,
+    ``near`` back to the chunk before, ``far`` before that; ``next`` and ``back`` name those
+    neighbours (null: none is close, so core and near are all).  ``mark`` tells the occurrence from
+    others, ``next_mark`` and ``back_mark`` are those of the neighbours."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -225,33 +250,104 @@ def _occurrences(rows: DataFrame, least: int) -> DataFrame:
     counted = rows.select("text").mapInArrow(count, "hash long, n long")
     repeated = counted.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash")
     shared = rows.sparkSession.sparkContext.broadcast(_filter(repeated))
-    reach = least - chunk_words(least)
+    size = chunk_words(least)
+    reach = least - size
+    names = T.StructType.fromDDL(_FOUND).names
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         for batch in slices(batches):
             words = Words(batch["text"])
             at, hashes = chunk_places(words, least)
-            low = hashes & np.int64(FILTER_BITS - 1)
-            some = bits[low >> 6] >> (low & 63) & 1 == 1
+            some = _held(shared.value, hashes)
             at, hashes = at[some], hashes[some]
             text = words.text[at]
             first, after = words.begin[text], words.begin[text + 1]
-            data, starts = memoryview(words.data), words.starts[at].tolist()
-            back = words.starts[np.maximum(at - reach, first)].tolist()
-            stop = words.ends[np.minimum(at + least + _THIN, after) - 1].tolist()
+            gap, link = _neighbours(at, hashes, text, reach) if len(at) else (at, at)
+            before = np.roll(gap, 1)
+            thin = (gap > 0) & (hashes == np.roll(hashes, -1))
+            stop = np.minimum(at + least + _THIN * (thin | np.roll(thin, 1)), after)
+            start = np.maximum(at - reach, first)
+            edges = [
+                words.starts[start],
+                words.starts[np.where(before > 0, at - before, start)],
+                words.starts[at],
+                words.ends[np.where(gap > 0, at + gap + size, stop) - 1],
+                words.ends[stop - 1],
+            ]
+            data, edges = memoryview(words.data), [e.tolist() for e in edges]
+            keys = batch["key"].to_numpy()[text].view(np.uint64)
+            mark = _mixed(_mixed(keys + (at - first).astype(np.uint64)) + hashes.view(np.uint64)).view(np.int64)
+
+            def part(i: int) -> pa.Array:
+                return pa.array([bytes(data[a:b]) for a, b in zip(edges[i], edges[i + 1])], pa.binary())
+
             columns = [
                 batch["doc_id"].take(pa.array(text)),
                 batch["key"].take(pa.array(text)),
                 pa.array(at - first, pa.int64()),
                 pa.array(hashes, pa.int64()),
-                pa.array([bytes(data[a:b]) for a, b in zip(starts, stop)], pa.binary()),
-                pa.array([bytes(data[a:b]) for a, b in zip(back, starts)], pa.binary()),
+                pa.array(link, pa.int64(), mask=gap == 0),
+                pa.array(np.roll(link, 1), pa.int64(), mask=before == 0),
+                *(part(i) for i in (2, 3, 1, 0)),
+                *(pa.array(np.roll(mark, i), pa.int64()) for i in (0, -1, 1)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "place", "hash", "chunk", "before"])
-
-    schema = "doc_id long, key long, place long, hash long, chunk binary, before binary"
-    return stored(rows.mapInArrow(find, schema), "chunks")
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return stored(rows.mapInArrow(find, _FOUND), "chunks")
+
+
+def _firsts(found: DataFrame) -> DataFrame:
+    """The ``first`` occurrence of each ``hash``, with the text around.  A bitmap of those keeps the
+    text of most others out of the shuffle; what it lets through loses to the first.  ``next`` and
+    ``back`` stay where the neighbour is a first occurrence itself, so that whoever shares the
+    chunk and the neighbour gets both from this text."""
+    own = ["doc_id", "key", "place", "mark"]
+    least = found.groupBy("hash").agg(F.min(F.struct(*own)).alias("first"), F.count("*").alias("n")).where("n > 1")
+    shared = found.sparkSession.sparkContext.broadcast(_filter(least.select(F.col("first.mark").alias("hash"))))
+    names = found.columns
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = shared.value
+            for side in ("next", "back"):
+                near = pa.array(_held(bits, batch[f"{side}_mark"].to_numpy()))
+                linked = pc.if_else(near, batch[side], pa.scalar(None, pa.int64()))
+                batch = batch.set_column(names.index(side), side, linked)
+            yield batch.filter(pa.array(_held(bits, batch["mark"].to_numpy())))
+
+    around = ["doc_id", "key", "place", "next", "back", "core", "after", "near", "far"]
+    kept = found.mapInArrow(keep, _FOUND)
+    return kept.groupBy("hash").agg(F.min(F.struct(*around)).alias("first"))
+
+
+def removed_words(words: Words, key: int, hits: list[dict], least: int) -> np.ndarray:
+    """Which words of a (single) text go: those in runs of ``least`` or more that equal the words
+    around the first occurrences."""
+    gone = np.zeros(len(words.starts), bool)
+    size = chunk_words(least)
+    runs: dict[tuple[int, int], tuple[int, int]] = {}
+
+    def close(source: int, shift: int) -> None:
+        a, b = runs.pop((source, shift))
+        if b - a >= least:  # the first run of a text that repeats itself without a gap stays
+            gone[a + max(0, least - shift if source == key else 0) : b] = True
+
+    for h in sorted(hits, key=lambda h: h["place"]):
+        if h["place"] >= len(gone):
+            continue
+        a, b = equal_words(words, h["place"], h["chunk"], h["before"], least + _THIN)
+        if b - h["place"] < size:
+            continue
+        with_ = (h["source"], h["shift"])
+        if with_ in runs:
+            if runs[with_][1] >= h["place"] + size:  # the run holds this chunk, so both are one
+                a, b = min(a, runs[with_][0]), max(b, runs[with_][1])
+            else:
+                close(*with_)
+        runs[with_] = (a, b)
+    for with_ in list(runs):
+        close(*with_)
+    return gone
 
 
 def cleaned_rows(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
@@ -262,28 +358,32 @@ def cleaned_rows(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     key = F.xxhash64(id_, text).alias("key")
     found = _occurrences(docs.select(id_, key, text.alias("text")), least)
     place = F.struct("doc_id", "key", "place")
-    first = found.groupBy("hash").agg(F.min(F.struct("doc_id", "key", "place", "chunk", "before")).alias("first"))
     known = F.struct("first.doc_id", "first.key", "first.place")
-    later = found.select("hash", "doc_id", "key", "place").join(first, "hash").where(~place.eqNullSafe(known))
+    each = found.select("hash", "doc_id", "key", "place", "next", "back")
+    later = each.join(_firsts(found), "hash").where(~place.eqNullSafe(known))
+
+    def unless(link: str, far: str) -> Column:
+        """The text beyond a neighbour, but where both have the same one, which brings it itself."""
+        return F.when(F.col(link) == F.col(f"first.{link}"), F.lit(b"")).otherwise(F.col(f"first.{far}"))
+
     # A set, as repeated rows share their key; a document's own chunks bound it.
-    keeps = F.when(F.col("first.key") == F.col("key"), least - F.col("place") + F.col("first.place")).otherwise(0)
-    around = [F.col("first.chunk").alias("chunk"), F.col("first.before").alias("before")]
-    hit = F.struct("place", keeps.alias("keeps"), *around)
+    hit = F.struct(
+        "place",
+        F.col("first.key").alias("source"),
+        (F.col("place") - F.col("first.place")).alias("shift"),
+        F.concat("first.core", unless("next", "after")).alias("chunk"),
+        F.concat(unless("back", "far"), "first.near").alias("before"),
+    )
     hits = later.groupBy("key").agg(F.collect_set(hit).alias("hits"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts, runs, counts = batch["text"].to_pylist(), [0] * batch.num_rows, [0] * batch.num_rows
-            for i, hits in enumerate(batch["hits"].to_pylist()):
+            for i, (key, hits) in enumerate(zip(batch["key"].to_pylist(), batch["hits"].to_pylist())):
                 if not hits:
                     continue
                 words = Words(batch["text"].slice(i, 1))
-                gone = np.zeros(len(words.starts), bool)
-                for h in hits:
-                    if h["place"] < len(gone):
-                        a, b = equal_words(words, h["place"], h["chunk"], h["before"], least + _THIN)
-                        if b - a >= least:
-                            gone[a + max(0, h["keeps"]) : b] = True
+                gone = removed_words(words, key, hits, least)
                 if gone.any():
                     texts[i], counts[i] = without(words, gone), int(gone.sum())
                     runs[i] = int(gone[0]) + int((np.diff(gone.astype(np.int8)) == 1).sum())
@@ -292,7 +392,7 @@ def cleaned_rows(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
 
     # The text travels once, so the row goes without it.
     rest = F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row")
-    whole = docs.select(key, rest, text.alias("text")).join(hits, "key", "left").select("row", "text", "hits")
+    whole = docs.select(key, rest, text.alias("text")).join(hits, "key", "left").select("row", "key", "text", "hits")
     added = [T.StructField("removed_chunks", T.LongType()), T.StructField("removed_words", T.LongType())]
     return whole.mapInArrow(remove, T.StructType([whole.schema["row"], whole.schema["text"], *added]))
 
