@@ -216,7 +216,7 @@ def _filter(repeated: DataFrame) -> np.ndarray:
 
 
 def _held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    low = hashes & np.int64(FILTER_BITS - 1)
+    low = hashes.astype(np.int64) & np.int64(FILTER_BITS - 1)
     return bits[low >> 6] >> (low & 63) & 1 == 1
 
 
@@ -226,12 +226,12 @@ def _neighbours(at: np.ndarray, hashes: np.ndarray, text: np.ndarray, reach: int
     gap = np.zeros(len(at), np.int64)
     gap[:-1] = np.where((text[1:] == text[:-1]) & (at[1:] - at[:-1] <= reach), at[1:] - at[:-1], 0)
     both = hashes.view(np.uint64) * np.uint64(_BASE) + np.roll(hashes, -1).view(np.uint64)
-    return gap, _mixed(both + gap.astype(np.uint64)).view(np.int64)
+    return gap, (_mixed(both + gap.astype(np.uint64)) >> np.uint64(33)).astype(np.int32)
 
 
 _FOUND = (
-    "doc_id long, key long, place long, hash long, next long, back long, "
-    "core binary, after binary, near binary, far binary, mark long, next_mark long, back_mark long"
+    "doc_id long, key long, place int, hash long, next int, back int, "
+    "core binary, after binary, near binary, far binary, mark int, next_mark int, back_mark int"
 )
 
 
@@ -262,7 +262,7 @@ def _occurrences(rows: DataFrame, least: int) -> DataFrame:
             at, hashes = at[some], hashes[some]
             text = words.text[at]
             first, after = words.begin[text], words.begin[text + 1]
-            gap, link = _neighbours(at, hashes, text, reach) if len(at) else (at, at)
+            gap, link = _neighbours(at, hashes, text, reach) if len(at) else (at, at.astype(np.int32))
             before = np.roll(gap, 1)
             thin = (gap > 0) & (hashes == np.roll(hashes, -1))
             stop = np.minimum(at + least + _THIN * (thin | np.roll(thin, 1)), after)
@@ -276,7 +276,8 @@ def _occurrences(rows: DataFrame, least: int) -> DataFrame:
             ]
             data, edges = memoryview(words.data), [e.tolist() for e in edges]
             keys = batch["key"].to_numpy()[text].view(np.uint64)
-            mark = _mixed(_mixed(keys + (at - first).astype(np.uint64)) + hashes.view(np.uint64)).view(np.int64)
+            mark = _mixed(_mixed(keys + (at - first).astype(np.uint64)) + hashes.view(np.uint64))
+            mark = (mark & np.uint64(FILTER_BITS - 1)).astype(np.int32)
 
             def part(i: int) -> pa.Array:
                 return pa.array([bytes(data[a:b]) for a, b in zip(edges[i], edges[i + 1])], pa.binary())
@@ -284,12 +285,12 @@ def _occurrences(rows: DataFrame, least: int) -> DataFrame:
             columns = [
                 batch["doc_id"].take(pa.array(text)),
                 batch["key"].take(pa.array(text)),
-                pa.array(at - first, pa.int64()),
+                pa.array(at - first, pa.int32()),
                 pa.array(hashes, pa.int64()),
-                pa.array(link, pa.int64(), mask=gap == 0),
-                pa.array(np.roll(link, 1), pa.int64(), mask=before == 0),
+                pa.array(link, pa.int32(), mask=gap == 0),
+                pa.array(np.roll(link, 1), pa.int32(), mask=before == 0),
                 *(part(i) for i in (2, 3, 1, 0)),
-                *(pa.array(np.roll(mark, i), pa.int64()) for i in (0, -1, 1)),
+                *(pa.array(np.roll(mark, i), pa.int32()) for i in (0, -1, 1)),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -311,7 +312,7 @@ def _firsts(found: DataFrame) -> DataFrame:
             bits = shared.value
             for side in ("next", "back"):
                 near = pa.array(_held(bits, batch[f"{side}_mark"].to_numpy()))
-                linked = pc.if_else(near, batch[side], pa.scalar(None, pa.int64()))
+                linked = pc.if_else(near, batch[side], pa.scalar(None, pa.int32()))
                 batch = batch.set_column(names.index(side), side, linked)
             yield batch.filter(pa.array(_held(bits, batch["mark"].to_numpy())))
 
@@ -357,10 +358,9 @@ def cleaned_rows(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     id_ = docs["doc_id"].cast("long").alias("doc_id")
     key = F.xxhash64(id_, text).alias("key")
     found = _occurrences(docs.select(id_, key, text.alias("text")), least)
-    place = F.struct("doc_id", "key", "place")
-    known = F.struct("first.doc_id", "first.key", "first.place")
-    each = found.select("hash", "doc_id", "key", "place", "next", "back")
-    later = each.join(_firsts(found), "hash").where(~place.eqNullSafe(known))
+    each = found.select("hash", "key", "place", "next", "back")  # the key is of the id and text
+    itself = (F.col("key") == F.col("first.key")) & (F.col("place") == F.col("first.place"))
+    later = each.join(_firsts(found), "hash").where(~itself)
 
     def unless(link: str, far: str) -> Column:
         """The text beyond a neighbour, but where both have the same one, which brings it itself."""
