@@ -19,6 +19,8 @@ ones, one removes.  Between the first two stands a bitmap of FILTER_BITS bits (1
 the corpus) that keeps most chunks that occur once out of the second shuffle; those it lets
 through are told apart exactly.  Another keeps the text around later occurrences out.  Where an
 occurrence and the first one have the same neighbour, the neighbour brings the text beyond it.
+A third one holds the documents with a later occurrence; only those are shuffled with their
+texts, the others pass.  A full bitmap lets everything through, which costs time, not rows.
 
 Null texts count as empty and become empty; a text nothing is removed from is unchanged, one
 that is all repeats becomes empty, lines that lose all words go; rows of equal id and text are
@@ -36,6 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
 from tickloom.llm.common import slices, stored, whole_text
 
@@ -297,14 +300,19 @@ def _occurrences(rows: DataFrame, least: int) -> DataFrame:
     return stored(rows.mapInArrow(find, _FOUND), "chunks")
 
 
-def _firsts(found: DataFrame) -> DataFrame:
+def _places(found: DataFrame) -> DataFrame:
+    """``first``: where each ``hash`` that is repeated occurs first."""
+    own = F.struct("doc_id", "key", "place", "mark")
+    least = found.groupBy("hash").agg(F.min(own).alias("first"), F.count("*").alias("n")).where("n > 1")
+    return stored(least.select("hash", "first"), "first-places")
+
+
+def _firsts(found: DataFrame, places: DataFrame) -> DataFrame:
     """The ``first`` occurrence of each ``hash``, with the text around.  A bitmap of those keeps the
     text of most others out of the shuffle; what it lets through loses to the first.  ``next`` and
     ``back`` stay where the neighbour is a first occurrence itself, so that whoever shares the
     chunk and the neighbour gets both from this text."""
-    own = ["doc_id", "key", "place", "mark"]
-    least = found.groupBy("hash").agg(F.min(F.struct(*own)).alias("first"), F.count("*").alias("n")).where("n > 1")
-    shared = found.sparkSession.sparkContext.broadcast(_filter(least.select(F.col("first.mark").alias("hash"))))
+    shared = found.sparkSession.sparkContext.broadcast(_filter(places.select(F.col("first.mark").alias("hash"))))
     names = found.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,9 +366,12 @@ def cleaned_rows(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     id_ = docs["doc_id"].cast("long").alias("doc_id")
     key = F.xxhash64(id_, text).alias("key")
     found = _occurrences(docs.select(id_, key, text.alias("text")), least)
+    places = _places(found)
     each = found.select("hash", "key", "place", "next", "back")  # the key is of the id and text
     itself = (F.col("key") == F.col("first.key")) & (F.col("place") == F.col("first.place"))
-    later = each.join(_firsts(found), "hash").where(~itself)
+    later = each.join(_firsts(found, places), "hash").where(~itself)
+    touched = each.select("hash", "key", "place").join(places, "hash").where(~itself)
+    shared = docs.sparkSession.sparkContext.broadcast(_filter(touched.select(F.col("key").alias("hash"))))
 
     def unless(link: str, far: str) -> Column:
         """The text beyond a neighbour, but where both have the same one, which brings it itself."""
@@ -390,11 +401,18 @@ def cleaned_rows(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
             columns = [batch["row"], pa.array(texts, pa.string()), pa.array(runs, pa.int64()), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "text", "removed_chunks", "removed_words"])
 
+    @arrow_udf("boolean")
+    def may_repeat(keys: pa.Array) -> pa.Array:
+        return pa.array(_held(shared.value, keys.to_numpy(zero_copy_only=False)))
+
     # The text travels once, so the row goes without it.
     rest = F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row")
-    whole = docs.select(key, rest, text.alias("text")).join(hits, "key", "left").select("row", "key", "text", "hits")
-    added = [T.StructField("removed_chunks", T.LongType()), T.StructField("removed_words", T.LongType())]
-    return whole.mapInArrow(remove, T.StructType([whole.schema["row"], whole.schema["text"], *added]))
+    rows = docs.select(key, rest, text.alias("text"))
+    whole = rows.where(may_repeat("key")).join(hits, "key", "left").select("row", "key", "text", "hits")
+    added = ["removed_chunks", "removed_words"]
+    schema = T.StructType([whole.schema["row"], whole.schema["text"], *(T.StructField(c, T.LongType()) for c in added)])
+    unique = rows.where(~may_repeat("key")).select("row", "text", *(F.lit(0).cast("long").alias(c) for c in added))
+    return whole.mapInArrow(remove, schema).unionAll(unique)
 
 
 def remove_repeated_chunks(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
