@@ -30,11 +30,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut so that a piece holds about SLICE_CHARS bytes of text, or one row."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_CHARS
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that a piece holds about ``size`` bytes of text, or one row."""
     for batch in batches:
         lengths = np.array(pc.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
-        piece = np.cumsum(lengths) // SLICE_CHARS
+        piece = np.cumsum(lengths) // size
         edges = np.flatnonzero(np.diff(piece)) + 1
         for start, end in zip([0, *edges], [*edges, batch.num_rows]):
             if end > start:

@@ -44,6 +44,8 @@ from tickloom.llm.common import slices, stored, whole_text
 
 LEAST_WORDS = 40
 FILTER_BITS = 1 << 27
+#: Bytes of text hashed at a time: arrays with eight bytes for each are still in reach of a cache.
+HASHED = 500_000
 
 _BASE = 0x9E3779B97F4A7C15
 _MIX = 0xD6E8FEB86659FD93
@@ -96,22 +98,24 @@ class Words:
         first[inner] = solid[inner]  # a text starts and ends its own words
         last[inner - 1] = solid[inner - 1]
         self.starts, self.ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-        self.text = np.searchsorted(self.edges, self.starts, side="right") - 1
         #: The word each text starts with, and in the end the number of words.
         self.begin = np.searchsorted(self.starts, self.edges)
+        self.text = np.repeat(np.arange(len(self.edges) - 1), np.diff(self.begin))
 
     def hashes(self) -> np.ndarray:
         """Of each word: the polynomial of its bytes, from running sums, mixed."""
         up, down = _Powers.of(len(self.data) + 1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTERS[self.data] * up[:-1])])
+        terms, sums = _LETTERS[self.data], np.zeros(len(up), np.uint64)
+        terms *= up[:-1]
+        np.cumsum(terms, out=sums[1:])
         return _mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
 
     def breaks(self) -> np.ndarray:
         """Whether the word is the first of a line or text."""
-        line = np.concatenate([[0], np.cumsum(self.data == 10)])[self.starts]
-        out = np.ones(len(line), bool)
-        out[1:] = (line[1:] != line[:-1]) | (self.text[1:] != self.text[:-1])
-        return out
+        out = np.zeros(len(self.starts) + 1, bool)
+        out[np.searchsorted(self.starts, np.flatnonzero(self.data == 10))] = True
+        out[self.begin] = True
+        return out[:-1]
 
 
 def run_hashes(own: np.ndarray, breaks: np.ndarray, size: int) -> np.ndarray:
@@ -246,7 +250,7 @@ def _occurrences(rows: DataFrame, least: int) -> DataFrame:
     others, ``next_mark`` and ``back_mark`` are those of the neighbours."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=HASHED):
             each, n = np.unique(chunk_places(Words(batch["text"]), least)[1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(each), pa.array(n, pa.int64())], names=["hash", "n"])
 
@@ -258,7 +262,7 @@ def _occurrences(rows: DataFrame, least: int) -> DataFrame:
     names = T.StructType.fromDDL(_FOUND).names
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=HASHED):
             words = Words(batch["text"])
             at, hashes = chunk_places(words, least)
             some = _held(shared.value, hashes)
