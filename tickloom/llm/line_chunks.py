@@ -30,7 +30,9 @@ for columns named like the two that are added, which those replace.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +53,9 @@ _BASE = 0x9E3779B97F4A7C15
 _MIX = 0xD6E8FEB86659FD93
 _BREAK = 0xA0761D6478BD642F
 _LETTERS = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
+_BLANK = b"\t\n\v\f\r "
 _SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_SPACE[list(_BLANK)] = True
 #: Chunks of one hash in a row (one word over and over) start this many words apart.
 _THIN = 12
 
@@ -102,6 +105,11 @@ class Words:
         self.begin = np.searchsorted(self.starts, self.edges)
         self.text = np.repeat(np.arange(len(self.edges) - 1), np.diff(self.begin))
 
+    @cached_property
+    def plain(self) -> tuple[bytes, list[int], list[int]]:
+        """Bytes, starts and ends, as Python reads them fastest one by one."""
+        return self.data.tobytes(), self.starts.tolist(), self.ends.tolist()
+
     def hashes(self) -> np.ndarray:
         """Of each word: the polynomial of its bytes, from running sums, mixed."""
         up, down = _Powers.of(len(self.data) + 1)
@@ -160,18 +168,16 @@ def chunk_places(words: Words, least: int) -> tuple[np.ndarray, np.ndarray]:
 def equal_words(words: Words, at: int, chunk: bytes, before: bytes, reach: int) -> tuple[int, int]:
     """The words around word ``at`` (of a single text) that equal, byte by byte, the words of
     ``chunk``, which starts there, and of ``before``, which ends there: first, after last."""
-    starts, ends, start = words.starts, words.ends, words.starts[at]
-    top = min(at + reach, len(starts))
-    own = words.data[start : ends[top - 1]].tobytes()
-    same = _prefix(own, chunk)
-    stop = at + int(np.searchsorted(ends[at:top] - start, same, side="right"))
-    if stop > at and ends[stop - 1] - start == same < len(chunk) and not _SPACE[chunk[same]]:
+    data, starts, ends = words.plain
+    start, top = starts[at], min(at + reach, len(starts))
+    same = _prefix(data[start : ends[top - 1]], chunk)
+    stop = bisect_right(ends, start + same, at, top)
+    if stop > at and ends[stop - 1] - start == same < len(chunk) and chunk[same] not in _BLANK:
         stop -= 1
     bottom = max(at - reach, 0)
-    own = words.data[starts[bottom] : start].tobytes()
-    same = _prefix(own[::-1], before[::-1])
-    first = bottom + int(np.searchsorted(starts[bottom:at], start - same))
-    if first < at and start - starts[first] == same < len(before) and not _SPACE[before[-same - 1]]:
+    same = _prefix(data[starts[bottom] : start][::-1], before[::-1])
+    first = bisect_left(starts, start - same, bottom, at)
+    if first < at and start - starts[first] == same < len(before) and before[-same - 1] not in _BLANK:
         first += 1
     return first, stop
 
@@ -333,9 +339,9 @@ def _firsts(found: DataFrame, places: DataFrame) -> DataFrame:
     return kept.groupBy("hash").agg(F.min(F.struct(*around)).alias("first"))
 
 
-def removed_words(words: Words, key: int, hits: list[dict], least: int) -> np.ndarray:
+def removed_words(words: Words, key: int, hits: list[tuple[int, int, int, bytes, bytes]], least: int) -> np.ndarray:
     """Which words of a (single) text go: those in runs of ``least`` or more that equal the words
-    around the first occurrences."""
+    around the first occurrences.  A hit: place, source, shift, chunk, before."""
     gone = np.zeros(len(words.starts), bool)
     size = chunk_words(least)
     runs: dict[tuple[int, int], tuple[int, int]] = {}
@@ -345,15 +351,15 @@ def removed_words(words: Words, key: int, hits: list[dict], least: int) -> np.nd
         if b - a >= least:  # the first run of a text that repeats itself without a gap stays
             gone[a + max(0, least - shift if source == key else 0) : b] = True
 
-    for h in sorted(hits, key=lambda h: h["place"]):
-        if h["place"] >= len(gone):
+    for place, source, shift, chunk, before in sorted(hits):
+        if place >= len(gone):
             continue
-        a, b = equal_words(words, h["place"], h["chunk"], h["before"], least + _THIN)
-        if b - h["place"] < size:
+        a, b = equal_words(words, place, chunk, before, least + _THIN)
+        if b - place < size:
             continue
-        with_ = (h["source"], h["shift"])
+        with_ = (source, shift)
         if with_ in runs:
-            if runs[with_][1] >= h["place"] + size:  # the run holds this chunk, so both are one
+            if runs[with_][1] >= place + size:  # the run holds this chunk, so both are one
                 a, b = min(a, runs[with_][0]), max(b, runs[with_][1])
             else:
                 close(*with_)
@@ -363,6 +369,15 @@ def removed_words(words: Words, key: int, hits: list[dict], least: int) -> np.nd
     return gone
 
 
+def _hit_rows(hits: pa.Array) -> Iterator[list[tuple[int, int, int, bytes, bytes]]]:
+    """The hits of each row, none for null."""
+    flat = hits.flatten()
+    parts = [flat.field(i).to_pylist() for i in range(flat.type.num_fields)]
+    ends = np.cumsum(hits.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
+    for start, end in zip([0, *ends], ends):
+        yield list(zip(*(p[start:end] for p in parts)))
+
+
 def cleaned_rows(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """``row`` (all columns but the text), ``text``, ``removed_chunks`` (runs of words) and
     ``removed_words`` of each document."""
@@ -394,7 +409,7 @@ def cleaned_rows(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts, runs, counts = batch["text"].to_pylist(), [0] * batch.num_rows, [0] * batch.num_rows
-            for i, (key, hits) in enumerate(zip(batch["key"].to_pylist(), batch["hits"].to_pylist())):
+            for i, (key, hits) in enumerate(zip(batch["key"].to_pylist(), _hit_rows(batch["hits"]))):
                 if not hits:
                     continue
                 words = Words(batch["text"].slice(i, 1))
