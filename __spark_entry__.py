@@ -17,7 +17,17 @@ import oracles
 from tickloom import schemas
 from tickloom.constants import PREDICTION
 from tickloom.functions.scalar import KEYS, symbol_id
-from tickloom.operators import aggregate, cleaning, features, incremental, rolling, training, transformers, universe
+from tickloom.operators import (
+    aggregate,
+    boosting,
+    cleaning,
+    features,
+    incremental,
+    rolling,
+    training,
+    transformers,
+    universe,
+)
 from tickloom.plans import jobs
 from tickloom.session import scratch_path
 from tickloom.sources import archives, datasets, layouts, tables
@@ -280,6 +290,22 @@ def user_transformer(spark, sf_dir):
     return tidy(made.select("symbol_id", "date", *[f"{c}_scaled" for c in columns]))
 
 
+def boosted_trees(spark, sf_dir):
+    """Two regularised trees on the price of every trade, a seventh of them without a quantity,
+    and each trade's forecast."""
+    trades = load_views(spark, sf_dir)["spot_trades"].selectExpr(
+        "trade_id", "price",
+        "IF(trade_id % 7 = 0, NULL, quantity) AS quantity",
+        "CAST(month(`timestamp`) AS DOUBLE) AS month",
+        "CAST(trade_id % 5 AS DOUBLE) AS residue",
+    )
+    cuts = list(oracles.BOOSTING_CUTS.values())
+    model = boosting.fit(
+        trades, list(oracles.BOOSTING_CUTS), "price", trees=2, depth=3, input_fraction=1.0, row_fraction=1.0, cuts=cuts, unit=2.0**20
+    )
+    return tidy(model.predict(trades).select("trade_id", "price", PREDICTION))
+
+
 def predictions(spark, sf_dir):
     """Train on the 730 days before the run date, then score every row after it."""
     steps = features.feature_steps(None)
@@ -611,6 +637,7 @@ _QUERIES = (
     forward_label,
     training_set,
     user_transformer,
+    boosted_trees,
     predictions,
     predict_day,
     next_start,

@@ -6,6 +6,7 @@ windows, gap filling and drawdowns all take another way here.
 
 from __future__ import annotations
 
+from tickloom.constants import PREDICTION
 from views import view_sql
 
 AS_OF = "2000-06-15"  # target day of the single-day runs
@@ -14,6 +15,12 @@ SCORING_RUN = "2000-01-20"  # a daily run after it; its target is the day before
 HOT_DAY = "2000-01-01"  # gets half of the futures trades in one query
 UNTIL = "2002-01-01"  # end of the load plans
 
+BOOSTING_CUTS = {
+    "quantity": [float(c) for c in range(4, 50, 3)],
+    "month": [float(c) for c in range(2, 13)],
+    "residue": [1.0, 2.0, 3.0, 4.0],
+}
+
 V = view_sql("duckdb")
 KEYS = ("asset_id_base", "asset_id_quote", "exchange_id")
 KEY_LIST = ", ".join(KEYS)
@@ -31,6 +38,54 @@ def money(x: str, scale: int = 2) -> str:
     return f"CAST(sum(CAST({x} AS DECIMAL(18,{scale}))) AS DOUBLE)"
 
 
+def boosted(trees: int, depth: int, l2: float = 5, rate: float = 0.1, least: int = 20, unit: int = 1 << 20) -> str:
+    """Trees level by level: a table of the rows with their node, joined with the best splits."""
+    inputs = list(BOOSTING_CUTS)
+    bins = ", ".join(
+        f"CASE WHEN {c} IS NULL THEN -1 ELSE len(list_filter({cuts}, lambda e: e <= {c})) END AS b{i}"
+        for i, (c, cuts) in enumerate(BOOSTING_CUTS.items())
+    )
+
+    def steps(x: str) -> str:
+        return f"CAST(floor(({x}) * {unit}.0 + 0.5) AS BIGINT)"
+
+    def part(g: str, h: str) -> str:
+        return f"({g} / {unit}::DOUBLE) * ({g} / {unit}::DOUBLE) / ({h} + {l2}::DOUBLE)"
+
+    own = "CASE input " + " ".join(f"WHEN {i} THEN b{i}" for i in range(len(inputs))) + " END"
+    ctes = [
+        "trades AS (SELECT trade_id, price, CASE WHEN trade_id % 7 <> 0 THEN quantity END AS quantity,"
+        f' CAST(month("timestamp") AS DOUBLE) AS month, CAST(trade_id % 5 AS DOUBLE) AS residue FROM ({V["spot_trades"]}) t)',
+        f"t0 AS MATERIALIZED (SELECT trade_id, price, {bins},"
+        f" (SELECT sum({steps('price')})::DOUBLE / count(*) / {unit} FROM trades) AS f FROM trades)",
+    ]
+    for t in range(trees):
+        ctes.append(f"n{t}_0 AS (SELECT *, {steps('f - price')} AS g, 1 AS node FROM t{t})")
+        for d in range(depth):
+            here = f"n{t}_{d}"
+            each = " UNION ALL ".join(f"SELECT node, {i} AS input, b{i} AS bin, g FROM {here}" for i in range(len(inputs)))
+            ctes += [
+                f"h{here} AS (SELECT node, input, bin, sum(g)::DOUBLE AS g, count(*) AS h FROM ({each}) e GROUP BY ALL)",
+                f"w{here} AS (SELECT node, sum(g)::DOUBLE AS g, count(*) AS h FROM {here} GROUP BY ALL)",
+                f"c{here} AS (SELECT a.node, a.input, a.bin, s.ml, w.g, w.h, sum(b.g) AS gl, sum(b.h) AS hl"
+                f" FROM h{here} a CROSS JOIN (VALUES (false), (true)) s(ml) JOIN w{here} w USING (node)"
+                f" JOIN h{here} b ON b.node = a.node AND b.input = a.input"
+                " AND (b.bin BETWEEN 0 AND a.bin OR (s.ml AND b.bin = -1))"
+                " WHERE a.bin >= 0 GROUP BY ALL)",
+                f"s{here} AS (SELECT node, input, bin, ml FROM (SELECT *, {part('gl', 'hl')} + {part('(g - gl)', '(h - hl)')}"
+                f" - {part('g', 'h')} AS gain FROM c{here} WHERE hl >= {least} AND h - hl >= {least}) x WHERE gain > 0"
+                " QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, input, bin, ml) = 1)",
+                f"n{t}_{d + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (node), CASE WHEN s.node IS NULL THEN r.node"
+                f" WHEN CASE WHEN {own} = -1 THEN ml ELSE {own} <= s.bin END THEN 2 * r.node ELSE 2 * r.node + 1 END AS node"
+                f" FROM {here} r LEFT JOIN s{here} s ON s.node = r.node)",
+            ]
+        ctes.append(
+            f"t{t + 1} AS MATERIALIZED (SELECT * EXCLUDE (g, node, f), f - (sum(g) OVER (PARTITION BY node))::DOUBLE / {unit}"
+            f" / (count(*) OVER (PARTITION BY node) + {l2}) * {rate} AS f FROM n{t}_{depth})"
+        )
+    return f"WITH {', '.join(ctes)} SELECT trade_id, {r6('price')} AS price, {r6('f')} AS {PREDICTION} FROM t{trees}"
+
+
 def select(columns: dict[str, str], source: str) -> str:
     body = ",\n  ".join(f'{e} AS "{c}"' for c, e in columns.items())
     return f"SELECT {body}\nFROM ({source}) src"
@@ -671,6 +726,7 @@ def all_sql() -> dict[str, str]:
         .query(),
         "training_set": training(),
         "user_transformer": scaled("close_spot", "volume_spot", "close_futures"),
+        "boosted_trees": boosted(trees=2, depth=3),
         "predict_day": (
             f'SELECT symbol_id, "date", true AS finite FROM ({joined()}) j'
             f" WHERE close_futures IS NOT NULL AND \"date\" = DATE '{SCORING_RUN}' - INTERVAL 1 DAY"

@@ -125,5 +125,7 @@ MODEL_PARAMS = {
     "depth": 5,
     "feature_fraction": 0.8,
     "bagging_fraction": 0.8,
+    "bagging_freq": 5,
+    "l2": 5.0,
     "seed": 19,
 }
