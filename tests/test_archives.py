@@ -82,3 +82,29 @@ def test_unmatched_ambiguous_and_missing_archives(spark, landing):
         ("BTCUSDT", "2024-01-02"): "missing",
     }
     assert symbols_from_path(data_rows(read), symbols).count() == 4  # BTC alone, once
+
+
+def test_archives_are_packed_in_pieces_from_sorted_lines(spark):
+    from pyspark.sql import functions as F
+
+    from tickloom.sources.archives import pack_archives, unpack
+
+    lines = [(name, f"{i:03}", 'a "b", c' if i % 2 else None) for i in range(57) for name in ("X", "Y", None)]
+    table = spark.createDataFrame(lines, "name string, c0 string, c1 string").repartition(3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
+    try:
+        packed = pack_archives(table.select("c0", "c1", "name"), F.col("name"))
+        # No group of rows is a frame of its own.
+        assert "FlatMapGroups" not in packed._jdf.queryExecution().toString()
+        got = packed.collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted((r["path"] or "") for r in got) == ["", "X", "Y"]
+    for r in got:
+        assert r["length"] == len(r["content"])
+        with zipfile.ZipFile(io.BytesIO(r["content"])) as archive:
+            text = archive.read("lines.csv").decode().splitlines()
+        assert text == [f'{i:03},"a ""b"", c"' if i % 2 else f"{i:03}," for i in range(57)]
+    back = unpack(spark.createDataFrame([(r["path"], r["length"], bytes(r["content"])) for r in got if r["path"]], "path string, length long, content binary"), 2)
+    assert back.where("status = 'ok'").agg(F.sum("rows")).first()[0] == 114

@@ -82,21 +82,50 @@ def pack_archives(lines: DataFrame, path: Column) -> DataFrame:
     """The reverse of :func:`unpack`: text rows ``c0..`` as zipped CSV archives, a row of
     ``path``, ``length`` and ``content`` per distinct ``path``, lines in order.
 
-    An archive is one cell, so it meets in one task, like the file it stands for.
+    An archive is one cell, so it meets in one task, like the file it stands for.  Spark sorts
+    its lines; the task holds a batch of them and the archive's zipped bytes.
     """
     fields = [c for c in lines.columns if c.startswith("c") and c[1:].isdigit()]
 
-    def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-            text = frame[fields].sort_values(fields).to_csv(header=False, index=False)
-            # A fixed time, so that the same rows give the same bytes.
-            archive.writestr(zipfile.ZipInfo("lines.csv", (2000, 1, 1, 0, 0, 0)), text, zipfile.ZIP_DEFLATED)
-        content = out.getvalue()
-        return pd.DataFrame([{"path": frame["path"].iloc[0], "length": len(content), "content": content}])
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current: _Zipped | None = None
+        for batch in batches:
+            # Paths are in order, so each takes one run of rows (nulls too).
+            runs = (batch["path"] != batch["path"].shift()) & ~(batch["path"].isna() & batch["path"].shift().isna())
+            for _, run in batch.groupby(runs.cumsum(), sort=False):
+                name = None if pd.isna(run["path"].iloc[0]) else run["path"].iloc[0]
+                if current is None or name != current.path:
+                    if current is not None:
+                        yield current.row()
+                    current = _Zipped(name)
+                current.add(run[fields])
+        if current is not None:
+            yield current.row()
 
     named = lines.select(path.alias("path"), *fields)
-    return named.groupBy("path").applyInPandas(pack, "path string, length long, content binary")
+    ordered = named.repartition("path").sortWithinPartitions("path", *[F.col(c).asc_nulls_last() for c in fields])
+    return ordered.mapInPandas(pack, "path string, length long, content binary")
+
+
+class _Zipped:
+    """An archive that grows by some lines at a time."""
+
+    def __init__(self, path: str | None):
+        self.path, self._out = path, io.BytesIO()
+        self._archive = zipfile.ZipFile(self._out, "w", zipfile.ZIP_DEFLATED)
+        # A fixed time, so that the same rows give the same bytes.
+        member = zipfile.ZipInfo("lines.csv", (2000, 1, 1, 0, 0, 0))
+        member.compress_type = zipfile.ZIP_DEFLATED
+        self._text = self._archive.open(member, "w", force_zip64=True)
+
+    def add(self, lines: pd.DataFrame) -> None:
+        self._text.write(lines.to_csv(header=False, index=False).encode())
+
+    def row(self) -> pd.DataFrame:
+        self._text.close()
+        self._archive.close()
+        content = self._out.getvalue()
+        return pd.DataFrame([{"path": self.path, "length": len(content), "content": content}])
 
 
 def _outcome(path: str, status: str, error: str | None, rows: int, fields: list[str]) -> pd.DataFrame:
