@@ -184,3 +184,26 @@ def test_midnight_bar_belongs_to_its_start(rows):
     assert one(daily_ohlcv(bars, label="end"))["date"] == dt.date(2024, 1, 2)
     with pytest.raises(ValueError):
         daily_ohlcv(bars, label="middle")
+
+
+def test_only_rows_of_the_wanted_parts_are_counted_by_value(spark, sf_dir):
+    from tickloom.functions.scalar import KEYS
+    from tickloom.operators.percentiles import percentiles
+    from views import load_views
+
+    trades = load_views(spark, sf_dir)["spot_trades"]
+    made = percentiles(trades, KEYS, "quote_quantity", {"": None}, [0.5])
+    plan = made._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    by_value = [i for i, line in enumerate(plan) if "Aggregate [" in line and ", _x#" in line.split("]")[0]]
+    assert by_value and all(any("array_contains" in below for below in plan[i:]) for i in by_value)
+
+
+def test_percentiles_over_signs_octaves_and_copies(spark):
+    made = np.concatenate([np.geomspace(1e-3, 1e6, 701), -np.geomspace(1e-2, 1e4, 300), np.full(500, 7.25), [0.0, -0.0]])
+    rows = spark.createDataFrame([(None, float(v)) for v in made], "g string, v double").repartition(5)
+    from tickloom.operators.percentiles import percentiles
+
+    probs = [0.0, 0.1, 0.5, 0.73, 1.0]
+    got = percentiles(rows, ["g"], "v", {"all": None, "minus": "v < 0"}, probs).first()
+    assert got["_p_all"] == pytest.approx(np.quantile(made, probs), rel=1e-12)
+    assert got["_p_minus"] == pytest.approx(np.quantile(made[made < 0], probs), rel=1e-12)

@@ -2,16 +2,20 @@
 
 One way for groups of every size, of which no task ever holds one:
 
-1. Rows are counted per group and value, combining on the map side, and dealt by both, so
-   neither a large group nor a frequent value fills a task.
-2. A value's cell is its sign and its logarithm in CELLS steps an octave, an order-preserving
-   number, so cells hold disjoint ranges.  The counts per cell, running over the cells of a
-   group, tell which cells hold the wanted ranks.
-3. Only the values of those cells are ranked, each cell by itself: of a large group some
-   ten-thousandth.
-
-So a task meets at most the cells of a group (CELLS for each doubling between its smallest and
-largest value, however many rows) or the different values of a cell.
+Rows are dealt evenly once, in any order.
+
+1. A value's cell is its sign and its logarithm in CELLS steps an octave, an order-preserving
+   number, so cells hold disjoint ranges; 2**_PART_BITS neighbouring cells are a part.  Rows are
+   counted per group and part, combining on the map side.  The counts, running over the parts
+   of a group, tell which parts hold the wanted ranks, two for each at most.
+2. The rows of those parts alone are counted per value, combining on the map side, and dealt by
+   group and value, so neither a large group nor a frequent value fills a task.
+3. The same counts per cell leave the cells that hold the wanted ranks: of a large group some
+   ten-thousandth.  Their values are ranked, each cell by itself.
+
+So a task counts at most the parts of its groups (CELLS >> _PART_BITS for each doubling between
+the smallest and largest value, however many rows or different values), and meets at most the
+cells of a part or the different values of a cell.
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ from tickloom.functions.sqltext import q
 
 #: Cells an octave.
 CELLS = 1 << 12
+# Cells of a part, as a power of two.
+_PART_BITS = 8
 # More than the cell of any number: a double's binary exponent is at least -1,074.
 _OFFSET = 1_100 * CELLS
 _INFINITE, _NAN = 1 << 40, 1 << 41
@@ -57,35 +63,44 @@ def percentiles(
     """Per group and subset (name -> condition on the row, None for all rows) an array
     ``_p_{name}`` of the continuous percentiles of ``value``; its entries are null where the
     subset has no value, and a group without any value has no row."""
-    group, cells_of = [q(k) for k in keys], [*keys, "_cell"]
-    counts = [f"count_if({c})" if c else "count(1)" for c in subsets.values()]
-    tags = range(len(counts))
-    # Zero has one sign here, as values are grouped.
-    values = (
-        rows.where(f"{value} IS NOT NULL")
-        .withColumn("_x", F.expr(f"{value} + 0D"))
-        .groupBy(*keys, "_x")
-        .agg(*[F.expr(f"{c} AS _n{t}") for t, c in enumerate(counts)])
-        .withColumn("_cell", F.expr(cell("_x")))
-    )
+    group, parts_of, cells_of = [q(k) for k in keys], [*keys, "_part"], [*keys, "_part", "_cell"]
+    tags = range(len(subsets))
+    counts = [F.expr(f"sum(_n{t}) AS _n{t}") for t in tags]
     ranks = [(t, i, f"({p}D * (_of{t} - 1))") for t in tags for i, p in enumerate(probs)]
+    # Both ranks that are interpolated may lie in the part or cell.
+    holds = [f"_n{t} > 0 AND ceil({at}) >= _upto{t} - _n{t} AND floor({at}) < _upto{t}" for t, _, at in ranks]
+    any_rank = " OR ".join(f"({h})" for h in holds)
 
-    counted = values.groupBy(*cells_of).agg(*[F.expr(f"sum(_n{t}) AS _n{t}") for t in tags])
-    running = [f"sum(_n{t}) OVER {_over(keys, '_cell')} AS _upto{t}" for t in tags]
+    # Zero has one sign here, as values are grouped.
+    ones = [f"IF({c}, 1, 0) AS _n{t}" if c else f"1 AS _n{t}" for t, c in enumerate(subsets.values())]
+    each = rows.where(f"{value} IS NOT NULL").selectExpr(*group, f"{value} + 0D AS _x", *ones)
+    # Read once, used twice: both uses need the same columns of the dealt rows.
+    each = each.withColumn("_deal", F.expr("CAST(monotonically_increasing_id() % 4096 AS SMALLINT)")).repartition("_deal").drop("_deal")
+    each = each.withColumn("_part", F.expr(f"shiftright({cell('_x')}, {_PART_BITS})"))
+
+    running = [f"sum(_n{t}) OVER {_over(keys, '_part')} AS _upto{t}" for t in tags]
     totals = [f"sum(_n{t}) OVER {_over(keys)} AS _of{t}" for t in tags]
-    # Both ranks that are interpolated may lie in the cell.
-    holds = [f"_n{t} > 0 AND ceil({at}) >= _upto{t} - _n{t} AND floor({at}) < _upto{t}" for t, _, at in ranks]
-    chosen = counted.selectExpr("*", *running, *totals).where(" OR ".join(f"({h})" for h in holds))
     before = [f"_upto{t} - _n{t} AS _before{t}" for t in tags]
-    chosen = chosen.selectExpr(*group, "_cell", *before, *[f"_of{t}" for t in tags])
+    known = [*before, *[f"_of{t}" for t in tags]]
+    parts = each.groupBy(*parts_of).agg(*counts).selectExpr("*", *running, *totals).where(any_rank)
+    parts = parts.selectExpr(*group, "_part", *known)
+    # One narrow row a group, so that it is likely to be small enough to be sent to the rows.
+    held = parts.groupBy(*keys).agg(F.collect_set("_part").alias("_parts"))
+    # Without coalesce, Spark would put a filter on the part below the dealing of one use only.
+    wanted = _match(each, held, keys).where("coalesce(array_contains(_parts, _part), false)")
+    values = wanted.groupBy(*parts_of, "_x").agg(*counts).withColumn("_cell", F.expr(cell("_x")))
+
+    counted = _match(values.groupBy(*cells_of).agg(*counts), parts, parts_of)
+    running = [f"_before{t} + sum(_n{t}) OVER {_over(parts_of, '_cell')} AS _upto{t}" for t in tags]
+    chosen = counted.selectExpr("*", *running).where(any_rank).selectExpr(*group, "_part", "_cell", *known)
 
     upto = [f"_before{t} + sum(_n{t}) OVER {_over(cells_of, '_x')} AS _upto{t}" for t in tags]
     ranked = _match(values, chosen, cells_of).selectExpr("*", *upto)
     picked = [f"max(_of{t}) AS _of{t}" for t in tags]
     for t, i, at in ranks:
         for name, rank in (("lo", f"floor({at})"), ("hi", f"ceil({at})")):
-            held = f"_n{t} > 0 AND {rank} >= _upto{t} - _n{t} AND {rank} < _upto{t}"
-            picked.append(f"max(CASE WHEN {held} THEN _x END) AS _{name}{t}_{i}")
+            there = f"_n{t} > 0 AND {rank} >= _upto{t} - _n{t} AND {rank} < _upto{t}"
+            picked.append(f"max(CASE WHEN {there} THEN _x END) AS _{name}{t}_{i}")
     found = ranked.groupBy(*keys).agg(*[F.expr(x) for x in picked])
     shown = {t: [] for t in tags}
     for t, i, at in ranks:
