@@ -445,7 +445,9 @@ def write_metadata(spark, sf_dir):
 def append_replace(spark, sf_dir):
     """Keyed rows inserted, then all rows with half of them corrected, then all once more,
     which changes nothing; read back."""
-    trades = cleaning.dedupe_trades(load_views(spark, sf_dir)["spot_trades"])
+    deduped, staged = cleaning.dedupe_trades(load_views(spark, sf_dir)["spot_trades"]), scratch_path(spark, "deduped")
+    deduped.write.option("compression", "zstd").parquet(staged)  # used three times
+    trades = spark.read.schema(deduped.schema).parquet(staged)
     root, keys = scratch_path(spark, "keyed"), ["trade_id", *KEYS]
     tables.replace_rows(trades.where("side = 'sell'").withColumn("price", F.col("price") + 1), root, keys)
     version = tables.replace_rows(trades, root, keys)

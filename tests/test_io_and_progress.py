@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,6 +140,30 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
     assert held.where("v = 'b'").count() == 0 and held.count() == 200
 
 
+def test_changed_rows_are_written_once(spark, tmp_path):
+    """Straight to their buckets, without a staged copy; what the buckets held besides stays."""
+    root, scratch = str(tmp_path / "keyed"), Path(scratch_root(spark)) / "tickloom"
+    staged = lambda: set(scratch.glob("*")) if scratch.exists() else set()
+    rows = spark.range(300).selectExpr("IF(id = 7, NULL, id) AS k", "IF(id % 3 = 0, NULL, 'a') AS v")
+    before = staged()
+    assert tables.replace_rows(rows, root, ["k"], buckets=2) == 1
+    newer = rows.where("k IS NULL OR k % 2 = 0").selectExpr("k", "coalesce(v, 'b') AS v")
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        # An attempt that died left other rows, in a bucket that this version does not touch.
+        rows.selectExpr("k", "'dead' AS v", "1 AS _bucket").write.partitionBy("_bucket").parquet(f"{root}/written=2")
+        assert tables.replace_rows(rows.where("false"), root, ["k"], buckets=2) == 1
+        assert tables.replace_rows(newer.unionByName(newer), root, ["k"], buckets=2) == 2
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    assert staged() == before
+    want = {k: "a" if k % 3 else None for k in range(300) if k != 7} | {None: "a"}
+    want |= {k: v or "b" for k, v in want.items() if k is None or k % 2 == 0}
+    held = tables.read_rows(spark, root, rows.schema).collect()
+    assert len(held) == 300 and {r["k"]: r["v"] for r in held} == want
+
+
 def test_listing_with_drifted_fields(spark):
     documents = [
         ('{"symbols": [{"symbol": "AB", "baseAsset": "A", "quoteAsset": "B", "isSpotTradingAllowed": "true"}]}',),
