@@ -207,3 +207,14 @@ def test_percentiles_over_signs_octaves_and_copies(spark):
     got = percentiles(rows, ["g"], "v", {"all": None, "minus": "v < 0"}, probs).first()
     assert got["_p_all"] == pytest.approx(np.quantile(made, probs), rel=1e-12)
     assert got["_p_minus"] == pytest.approx(np.quantile(made[made < 0], probs), rel=1e-12)
+
+
+def test_only_rows_of_the_wanted_cells_are_counted_by_value(spark, monkeypatch):
+    from tickloom.operators import percentiles as module
+
+    seen, match = [], module._match
+    monkeypatch.setattr(module, "_match", lambda left, right, on: seen.append((left, on[-1])) or match(left, right, on))
+    rows = spark.range(1, 20_001).selectExpr("'g' AS g", "CAST(id AS DOUBLE) AS v")
+    assert module.percentiles(rows, ["g"], "v", {"": None}, [0.5]).first()["_p_"] == [10_000.5]
+    (by_value,) = [left for left, last in seen if last == "_cell"]
+    assert by_value.count() < 50  # of some 600 in the wanted part

@@ -8,10 +8,11 @@ Rows are dealt evenly once, in any order.
    number, so cells hold disjoint ranges; 2**_PART_BITS neighbouring cells are a part.  Rows are
    counted per group and part, combining on the map side.  The counts, running over the parts
    of a group, tell which parts hold the wanted ranks, two for each at most.
-2. The rows of those parts alone are counted per value, combining on the map side, and dealt by
-   group and value, so neither a large group nor a frequent value fills a task.
-3. The same counts per cell leave the cells that hold the wanted ranks: of a large group some
-   ten-thousandth.  Their values are ranked, each cell by itself.
+2. The rows of those parts alone are counted per group and cell, combining on the map side; the
+   counts leave the cells that hold the wanted ranks: of a large group some ten-thousandth.
+3. The rows of those cells alone are counted per value, combining on the map side, and dealt by
+   group and value, so neither a large group nor a frequent value fills a task.  The values are
+   ranked, each cell by itself.
 
 So a task counts at most the parts of its groups (CELLS >> _PART_BITS for each doubling between
 the smallest and largest value, however many rows or different values), and meets at most the
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.sqltext import q
@@ -57,6 +58,17 @@ def _match(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     return left.join(renamed, F.expr(same)).drop(*[f"_r_{k}" for k in on])
 
 
+def _inside(
+    each: DataFrame, kept: DataFrame, keys: Sequence[str], number: str, numbered: Mapping[str, Column]
+) -> DataFrame:
+    """Rows whose part or cell is among those kept of their group."""
+    # One narrow row a group, so that it is likely to be small enough to be sent to the rows.
+    held = kept.groupBy(*keys).agg(F.collect_set(number).alias("_held"))
+    inside = f"coalesce(array_contains(_held, {number}), false)"
+    # Without coalesce, Spark would put a filter on the number below the dealing of one use only.
+    return _match(each, held, keys).withColumns(numbered).where(inside).drop("_held")
+
+
 def percentiles(
     rows: DataFrame, keys: Sequence[str], value: str, subsets: Mapping[str, str | None], probs: Sequence[float]
 ) -> DataFrame:
@@ -74,25 +86,23 @@ def percentiles(
     # Zero has one sign here, as values are grouped.
     ones = [f"IF({c}, 1, 0) AS _n{t}" if c else f"1 AS _n{t}" for t, c in enumerate(subsets.values())]
     each = rows.where(f"{value} IS NOT NULL").selectExpr(*group, f"{value} + 0D AS _x", *ones)
-    # Read once, used twice: both uses need the same columns of the dealt rows.
+    # Read once, used three times: all uses need the same columns of the dealt rows, so cells
+    # are computed after the joins.
     each = each.withColumn("_deal", F.expr("CAST(monotonically_increasing_id() % 4096 AS SMALLINT)")).repartition("_deal").drop("_deal")
-    each = each.withColumn("_part", F.expr(f"shiftright({cell('_x')}, {_PART_BITS})"))
+    numbered = {"_cell": F.expr(cell("_x")), "_part": F.expr(f"shiftright({cell('_x')}, {_PART_BITS})")}
 
     running = [f"sum(_n{t}) OVER {_over(keys, '_part')} AS _upto{t}" for t in tags]
     totals = [f"sum(_n{t}) OVER {_over(keys)} AS _of{t}" for t in tags]
     before = [f"_upto{t} - _n{t} AS _before{t}" for t in tags]
     known = [*before, *[f"_of{t}" for t in tags]]
-    parts = each.groupBy(*parts_of).agg(*counts).selectExpr("*", *running, *totals).where(any_rank)
-    parts = parts.selectExpr(*group, "_part", *known)
-    # One narrow row a group, so that it is likely to be small enough to be sent to the rows.
-    held = parts.groupBy(*keys).agg(F.collect_set("_part").alias("_parts"))
-    # Without coalesce, Spark would put a filter on the part below the dealing of one use only.
-    wanted = _match(each, held, keys).where("coalesce(array_contains(_parts, _part), false)")
-    values = wanted.groupBy(*parts_of, "_x").agg(*counts).withColumn("_cell", F.expr(cell("_x")))
+    parts = each.withColumn("_part", numbered["_part"]).groupBy(*parts_of).agg(*counts)
+    parts = parts.selectExpr("*", *running, *totals).where(any_rank).selectExpr(*group, "_part", *known)
+    cells = _inside(each, parts, keys, "_part", numbered).groupBy(*cells_of).agg(*counts)
 
-    counted = _match(values.groupBy(*cells_of).agg(*counts), parts, parts_of)
     running = [f"_before{t} + sum(_n{t}) OVER {_over(parts_of, '_cell')} AS _upto{t}" for t in tags]
-    chosen = counted.selectExpr("*", *running).where(any_rank).selectExpr(*group, "_part", "_cell", *known)
+    counted = _match(cells, parts, parts_of).selectExpr("*", *running)
+    chosen = counted.where(any_rank).selectExpr(*group, "_part", "_cell", *known)
+    values = _inside(each, chosen, keys, "_cell", numbered).groupBy(*cells_of, "_x").agg(*counts)
 
     upto = [f"_before{t} + sum(_n{t}) OVER {_over(cells_of, '_x')} AS _upto{t}" for t in tags]
     ranked = _match(values, chosen, cells_of).selectExpr("*", *upto)
