@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tickloom.llm import alignment, merkle, queries, token_counts
+from tickloom.llm.tokens import RunEncoder
 
 DOCS = T.StructType(
     [
@@ -298,3 +299,12 @@ def test_queries_cover_their_whole_table(spark, sf_dir):
     counts = queries.op12_token_counts(spark, sf_dir).orderBy("doc_id").collect()
     assert [r["n_tokens"] for r in counts] == plain_counts(BYTE, texts)
     assert spark.read.parquet(f"{sf_dir}/documents.parquet").where(F.col("doc_id").isNull()).count() == 0
+
+
+def test_runs_of_a_word_file_have_no_spaces():
+    """One entry of the table for a word wherever it stands, and none for line ends."""
+    enc = RunEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["one two\nthree", " two one three", "three\n\none", "", "two one"]
+    want = [enc.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in enc.encode(texts)] == want
+    assert sorted(enc.known) == ["one", "three", "two"]

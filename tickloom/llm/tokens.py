@@ -12,6 +12,7 @@ import json
 import os
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import regex
@@ -104,8 +105,8 @@ class RunEncoder:
             runs = [r for r in runs if r[0] != " "]
         elif self.ends_word is not None:
             for some in _portions(runs):
-                ids = self._ids(" ".join(r.lstrip(" ") for r in some))
-                words = np.cumsum([len(self.words.findall(r)) for r in some])
+                ids = self._ids(" ".join(some))
+                words = np.cumsum([1 if r.isalpha() else len(self.words.findall(r)) for r in some])
                 ends = np.flatnonzero(self.ends_word[ids]) + 1
                 if len(ends) == words[-1]:
                     self._put(some, ids, np.concatenate([[0], np.concatenate([[0], ends])[words[:-1]]]), 0)
@@ -143,6 +144,8 @@ class RunEncoder:
             return None
         if self.lower and _latin(text):
             text = text.lower()
+        if self.ends_word is not None:
+            return text.split()  # white space has no ids
         parts = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         return parts if parts[0] else parts[1:]
 
@@ -152,12 +155,11 @@ class RunEncoder:
             self._forget()
         split = [self._parts(t) for t in texts]
         runs = [r for parts in split if parts is not None for r in parts]
-        found = np.array(list(map(self.known.get, runs)), dtype=np.float64)  # nan: not yet known
-        missing = np.flatnonzero(np.isnan(found))
-        new = list(dict.fromkeys(runs[i] for i in missing))
+        places = np.fromiter(map(self.known.get, runs, repeat(-1)), np.int64, len(runs))  # -1: not yet known
+        missing = np.flatnonzero(places < 0).tolist()
+        new = list(dict.fromkeys(map(runs.__getitem__, missing)))
         self._learn(new)
-        found[missing] = [self.known[runs[i]] for i in missing]
-        places = found.astype(np.int64)
+        places[missing] = [self.known[runs[i]] for i in missing]
         runs_of = np.array([len(p) if p is not None else 1 for p in split])
         if odd := [i for i, p in enumerate(split) if p is None]:
             at = np.cumsum(runs_of)[odd] - 1 - np.arange(len(odd))
