@@ -218,3 +218,21 @@ def test_only_rows_of_the_wanted_cells_are_counted_by_value(spark, monkeypatch):
     assert module.percentiles(rows, ["g"], "v", {"": None}, [0.5]).first()["_p_"] == [10_000.5]
     (by_value,) = [left for left, last in seen if last == "_cell"]
     assert by_value.count() < 50  # of some 600 in the wanted part
+
+
+def test_percentiles_sort_no_rows_where_nothing_is_broadcast(spark):
+    """Rows are looked up among the wanted parts and cells and dealt once; keys may be null."""
+    from tickloom.operators.percentiles import percentiles
+
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(3_001).selectExpr("IF(id % 3 = 0, NULL, id % 3) AS g", "'x' AS h", "CAST(id AS DOUBLE) AS v")
+        made = percentiles(rows, ["g", "h"], "v", {"": None}, [0.5])
+        got = {r["g"]: r["_p_"] for r in made.collect()}
+        plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert got == {None: [1_500.0], 1: [1_499.5], 2: [1_500.5]}
+    assert plan.count("ShuffledHashJoin") >= 2
+    assert plan.count("Range (0, 3001") == 1

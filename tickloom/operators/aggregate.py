@@ -112,9 +112,11 @@ def _aggregate(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame
 
 
 def _join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Join two aggregates of the same rows; null-safe, as grouping treats nulls as one key."""
+    """Join two aggregates of the same rows; null-safe, as grouping treats nulls as one key: nulls
+    in structs are equal.  Key by key, Spark would filter some uses of the right side's rows by keys
+    that are constant on the left, and deal those rows once more."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    same = " AND ".join(f"{k} <=> _r_{k}" for k in keys)
+    same = f"struct({', '.join(map(q, keys))}) = struct({', '.join(q(f'_r_{k}') for k in keys)})"
     return left.join(renamed, F.expr(same), "left").drop(*[f"_r_{k}" for k in keys])
 
 

@@ -2,7 +2,8 @@
 
 One way for groups of every size, of which no task ever holds one:
 
-Rows are dealt evenly once, in any order.
+Rows are dealt once, by group and one of DEALS numbers that rows get by turns, so a large group
+goes to many tasks.
 
 1. A value's cell is its sign and its logarithm in CELLS steps an octave, an order-preserving
    number, so cells hold disjoint ranges; 2**_PART_BITS neighbouring cells are a part.  Rows are
@@ -14,7 +15,9 @@ Rows are dealt evenly once, in any order.
    group and value, so neither a large group nor a frequent value fills a task.  The values are
    ranked, each cell by itself.
 
-So a task counts at most the parts of its groups (CELLS >> _PART_BITS for each doubling between
+Wanted parts and cells, a narrow row a group, are dealt the same way and looked up in a hash table
+of those a task meets, which holds groups, never rows; so no rows are sorted, however many groups
+there are.  So a task counts at most the parts of its groups (CELLS >> _PART_BITS for each doubling between
 the smallest and largest value, however many rows or different values), and meets at most the
 cells of a part or the different values of a cell.
 """
@@ -32,6 +35,8 @@ from tickloom.functions.sqltext import q
 CELLS = 1 << 12
 # Cells of a part, as a power of two.
 _PART_BITS = 8
+#: Tasks that a group is dealt to, at most; a power of two.
+DEALS = 16
 # More than the cell of any number: a double's binary exponent is at least -1,074.
 _OFFSET = 1_100 * CELLS
 _INFINITE, _NAN = 1 << 40, 1 << 41
@@ -58,15 +63,16 @@ def _match(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     return left.join(renamed, F.expr(same)).drop(*[f"_r_{k}" for k in on])
 
 
-def _inside(
-    each: DataFrame, kept: DataFrame, keys: Sequence[str], number: str, numbered: Mapping[str, Column]
-) -> DataFrame:
+def _inside(each: DataFrame, kept: DataFrame, number: str, numbered: Mapping[str, Column]) -> DataFrame:
     """Rows whose part or cell is among those kept of their group."""
-    # One narrow row a group, so that it is likely to be small enough to be sent to the rows.
-    held = kept.groupBy(*keys).agg(F.collect_set(number).alias("_held"))
-    inside = f"coalesce(array_contains(_held, {number}), false)"
+    held = kept.groupBy("_group").agg(F.collect_set(number).alias("_held"))
+    dealt = F.explode(F.lit(list(range(DEALS))).cast("array<int>"))
+    held = held.select(F.col("_group").alias("_of"), "_held", dealt.alias("_number")).hint("shuffle_hash")
+    # A group is a struct: never null itself, and null keys inside are equal.
+    found = each.join(held, F.expr("_group = _of AND _deal = _number"))
     # Without coalesce, Spark would put a filter on the number below the dealing of one use only.
-    return _match(each, held, keys).withColumns(numbered).where(inside).drop("_held")
+    inside = f"coalesce(array_contains(_held, {number}), false)"
+    return found.withColumns(numbered).where(inside).drop("_of", "_held", "_number")
 
 
 def percentiles(
@@ -75,7 +81,7 @@ def percentiles(
     """Per group and subset (name -> condition on the row, None for all rows) an array
     ``_p_{name}`` of the continuous percentiles of ``value``; its entries are null where the
     subset has no value, and a group without any value has no row."""
-    group, parts_of, cells_of = [q(k) for k in keys], [*keys, "_part"], [*keys, "_part", "_cell"]
+    group, parts_of, cells_of = ["_group"], ["_group", "_part"], ["_group", "_part", "_cell"]
     tags = range(len(subsets))
     counts = [F.expr(f"sum(_n{t}) AS _n{t}") for t in tags]
     ranks = [(t, i, f"({p}D * (_of{t} - 1))") for t in tags for i, p in enumerate(probs)]
@@ -85,24 +91,26 @@ def percentiles(
 
     # Zero has one sign here, as values are grouped.
     ones = [f"IF({c}, 1, 0) AS _n{t}" if c else f"1 AS _n{t}" for t, c in enumerate(subsets.values())]
-    each = rows.where(f"{value} IS NOT NULL").selectExpr(*group, f"{value} + 0D AS _x", *ones)
+    whole = f"struct({', '.join(map(q, keys))}) AS _group"
+    each = rows.where(f"{value} IS NOT NULL").selectExpr(whole, f"{value} + 0D AS _x", *ones)
     # Read once, used three times: all uses need the same columns of the dealt rows, so cells
     # are computed after the joins.
-    each = each.withColumn("_deal", F.expr("CAST(monotonically_increasing_id() % 4096 AS SMALLINT)")).repartition("_deal").drop("_deal")
+    each = each.withColumn("_deal", F.expr(f"CAST(monotonically_increasing_id() & {DEALS - 1} AS INT)"))
+    each = each.repartition("_group", "_deal")
     numbered = {"_cell": F.expr(cell("_x")), "_part": F.expr(f"shiftright({cell('_x')}, {_PART_BITS})")}
 
-    running = [f"sum(_n{t}) OVER {_over(keys, '_part')} AS _upto{t}" for t in tags]
-    totals = [f"sum(_n{t}) OVER {_over(keys)} AS _of{t}" for t in tags]
+    running = [f"sum(_n{t}) OVER {_over(group, '_part')} AS _upto{t}" for t in tags]
+    totals = [f"sum(_n{t}) OVER {_over(group)} AS _of{t}" for t in tags]
     before = [f"_upto{t} - _n{t} AS _before{t}" for t in tags]
     known = [*before, *[f"_of{t}" for t in tags]]
     parts = each.withColumn("_part", numbered["_part"]).groupBy(*parts_of).agg(*counts)
-    parts = parts.selectExpr("*", *running, *totals).where(any_rank).selectExpr(*group, "_part", *known)
-    cells = _inside(each, parts, keys, "_part", numbered).groupBy(*cells_of).agg(*counts)
+    parts = parts.selectExpr("*", *running, *totals).where(any_rank).selectExpr(*parts_of, *known)
+    cells = _inside(each, parts, "_part", numbered).groupBy(*cells_of).agg(*counts)
 
     running = [f"_before{t} + sum(_n{t}) OVER {_over(parts_of, '_cell')} AS _upto{t}" for t in tags]
     counted = _match(cells, parts, parts_of).selectExpr("*", *running)
-    chosen = counted.where(any_rank).selectExpr(*group, "_part", "_cell", *known)
-    values = _inside(each, chosen, keys, "_cell", numbered).groupBy(*cells_of, "_x").agg(*counts)
+    chosen = counted.where(any_rank).selectExpr(*cells_of, *known)
+    values = _inside(each, chosen, "_cell", numbered).groupBy(*cells_of, "_x").agg(*counts)
 
     upto = [f"_before{t} + sum(_n{t}) OVER {_over(cells_of, '_x')} AS _upto{t}" for t in tags]
     ranked = _match(values, chosen, cells_of).selectExpr("*", *upto)
@@ -111,9 +119,10 @@ def percentiles(
         for name, rank in (("lo", f"floor({at})"), ("hi", f"ceil({at})")):
             there = f"_n{t} > 0 AND {rank} >= _upto{t} - _n{t} AND {rank} < _upto{t}"
             picked.append(f"max(CASE WHEN {there} THEN _x END) AS _{name}{t}_{i}")
-    found = ranked.groupBy(*keys).agg(*[F.expr(x) for x in picked])
+    found = ranked.groupBy("_group").agg(*[F.expr(x) for x in picked])
     shown = {t: [] for t in tags}
     for t, i, at in ranks:
         share, lo, hi = f"({at} - floor({at}))", f"_lo{t}_{i}", f"_hi{t}_{i}"
         shown[t].append(f"CASE WHEN {share} = 0D THEN {lo} ELSE (1D - {share}) * {lo} + {share} * {hi} END")
-    return found.selectExpr(*group, *[f"array({', '.join(shown[t])}) AS {q(f'_p_{s}')}" for t, s in enumerate(subsets)])
+    unpacked = [f"_group.{q(k)} AS {q(k)}" for k in keys]
+    return found.selectExpr(*unpacked, *[f"array({', '.join(shown[t])}) AS {q(f'_p_{s}')}" for t, s in enumerate(subsets)])
