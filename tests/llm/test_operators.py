@@ -487,6 +487,22 @@ def test_line_dedup_of_edited_copies(spark):
     assert gone_and_wanted(rows, got) > 0.97
 
 
+def test_line_dedup_of_frequent_chunks(spark, monkeypatch):
+    """Occurrences of a frequent hash do not meet in the shuffle by hash; the rows stay the same."""
+    rng = random.Random(23)
+    hot = words(rng, 60)
+    rows = [(i, f"{words(rng, 50)} {hot if i % 4 else words(rng, 60)} {words(rng, 50)}", "s") for i in range(48)]
+    rows += [(48 + i, t, "s") for i, (_, t, _) in enumerate(rows[:4])]
+    want = {r.doc_id: r.text for r in line_chunks.remove_repeated_chunks(table(spark, rows)).collect()}
+    met, firsts = [], line_chunks._firsts
+    monkeypatch.setattr(line_chunks, "FREQUENT", 30)
+    monkeypatch.setattr(line_chunks, "_firsts", lambda found, places: met.append(found) or firsts(found, places))
+    got = {r.doc_id: r.text for r in line_chunks.remove_repeated_chunks(table(spark, rows)).collect()}
+    assert got == want == plain_line_dedup(rows)
+    rest, often = ([r["count"] for r in found.groupBy("hash").count().collect()] for found in met)
+    assert max(rest) < 30 <= min(often)
+
+
 def test_line_dedup_of_one_word_over_and_over(spark):
     rows = [(1, "la " * 300 + "end", "s"), (2, "start " + "la " * 200 + "tail", "s"), (3, "lo " * 39, "s"), (4, "lo " * 39, "s")]
     got = {r.doc_id: r for r in line_chunks.remove_repeated_chunks(table(spark, rows)).collect()}

@@ -17,7 +17,8 @@ close to a chunk, and no chunk covers the edit, or begins or ends there, a few w
 Three passes over the texts: one counts hashes, one finds the occurrences of the repeated
 ones, one removes.  Between the first two stands a bitmap of FILTER_BITS bits (16 MB whatever
 the corpus) that keeps most chunks that occur once out of the second shuffle; those it lets
-through are told apart exactly.  Another keeps the text around later occurrences out.  Where an
+through are told apart exactly.  Occurrences meet the first one in a shuffle by hash; where a hash
+is frequent, the first one is sent to them.  Another keeps the text around later occurrences out.  Where an
 occurrence and the first one have the same neighbour, the neighbour brings the text beyond it.
 A third one holds the documents with a later occurrence; only those are shuffled with their
 texts, the others pass.  A full bitmap lets everything through, which costs time, not rows.
@@ -58,6 +59,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[list(_BLANK)] = True
 #: Chunks of one hash in a row (one word over and over) start this many words apart.
 _THIN = 12
+#: A hash is frequent if it has this many occurrences and one in FREQUENT_PART of all.
+FREQUENT = 10_000
+FREQUENT_PART = 256
 
 
 def chunk_words(least: int) -> int:
@@ -311,10 +315,16 @@ def _occurrences(rows: DataFrame, least: int) -> DataFrame:
 
 
 def _places(found: DataFrame) -> DataFrame:
-    """``first``: where each ``hash`` that is repeated occurs first."""
+    """``first``: where each ``hash`` that is repeated occurs first; ``n``: how often it occurs."""
     own = F.struct("doc_id", "key", "place", "mark")
     least = found.groupBy("hash").agg(F.min(own).alias("first"), F.count("*").alias("n")).where("n > 1")
-    return stored(least.select("hash", "first"), "first-places")
+    return stored(least.select("hash", "first", "n"), "first-places")
+
+
+def _frequent(places: DataFrame) -> list[int]:
+    """The frequent hashes, FREQUENT_PART at most."""
+    total = places.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return [r[0] for r in places.where(F.col("n") >= max(FREQUENT, -(-total // FREQUENT_PART))).select("hash").collect()]
 
 
 def _firsts(found: DataFrame, places: DataFrame) -> DataFrame:
@@ -339,6 +349,17 @@ def _firsts(found: DataFrame, places: DataFrame) -> DataFrame:
     return kept.groupBy("hash").agg(F.min(F.struct(*around)).alias("first"))
 
 
+def _with_firsts(each: DataFrame, found: DataFrame, places: DataFrame) -> DataFrame:
+    """``each`` occurrence with the first of its hash.  The occurrences of a frequent hash would all
+    meet in one task; there the few first ones are sent to the occurrences instead."""
+    frequent = _frequent(places)
+    if not frequent:
+        return each.join(_firsts(found, places), "hash")
+    often = F.col("hash").isin(frequent)
+    rest = each.where(~often).join(_firsts(found.where(~often), places), "hash")
+    return rest.unionAll(each.where(often).join(F.broadcast(_firsts(found.where(often), places)), "hash"))
+
+
 def removed_words(words: Words, key: int, hits: list[tuple[int, int, int, bytes, bytes]], least: int) -> np.ndarray:
     """Which words of a (single) text go: those in runs of ``least`` or more that equal the words
     around the first occurrences.  A hit: place, source, shift, chunk, before."""
@@ -388,8 +409,8 @@ def cleaned_rows(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     places = _places(found)
     each = found.select("hash", "key", "place", "next", "back")  # the key is of the id and text
     itself = (F.col("key") == F.col("first.key")) & (F.col("place") == F.col("first.place"))
-    later = each.join(_firsts(found, places), "hash").where(~itself)
-    touched = each.select("hash", "key", "place").join(places, "hash").where(~itself)
+    later = _with_firsts(each, found, places).where(~itself)
+    touched = each.select("hash", "key", "place").join(places.drop("n"), "hash").where(~itself)
     shared = docs.sparkSession.sparkContext.broadcast(_filter(touched.select(F.col("key").alias("hash"))))
 
     def unless(link: str, far: str) -> Column:
